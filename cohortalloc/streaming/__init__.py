@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The allocation is recomputed once a year from complete yearly tables; the
+published rule has no watermark, window, trigger or late-data handling, so
+none is built.  A yearly refresh is a batch run of ``cohortalloc.plans``
+(see ``cohortalloc.sinks`` for overwrite / append).
+"""
