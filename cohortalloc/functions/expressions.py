@@ -89,6 +89,23 @@ def sum_propagate_nulls(*cols: Column) -> Column:
     return total
 
 
+def ordered_sum(col: Column) -> Column:
+    """Aggregate: sum of a small, bounded group added in ascending order.
+
+    Floating-point addition is not associative, so a plain ``sum`` can differ
+    in the last bit between runs depending on the order rows arrive in.
+    Sorting first makes the result reproducible.  Only for groups with a
+    proven small bound (e.g. one row per fiscal year of the matrix).
+    """
+    values = F.array_sort(F.collect_list(col))
+    return F.when(F.size(values) > 0, F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x))
+
+
+def exact_sum(col: Column, scale: int = 17) -> Column:
+    """Aggregate: order-independent sum of doubles, taken in DECIMAL(38, scale)."""
+    return F.sum(col.cast(f"decimal(38,{scale})"))
+
+
 def safe_ratio(numerator: Column, denominator: Column) -> Column:
     """Double division; NULL instead of an error on a zero denominator."""
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))

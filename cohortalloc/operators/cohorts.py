@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortalloc.functions.expressions import safe_ratio
+from cohortalloc.functions.expressions import ordered_sum, safe_ratio
 from cohortalloc.sources.lookups import OVERLAP_YEARS, cohort_years
 
 FISCAL, CALENDAR = "fiscal", "calendar"
@@ -182,10 +182,12 @@ def rate_by_acad_year(
 
     Years that feed four fiscal years are scaled by 3/4.  ``overlap='literal'``
     uses the fixed year list; ``overlap='derived'`` computes the factor from
-    the matrix (equal on the published matrix).
+    the matrix (equal on the published matrix).  A group holds one rate per
+    fiscal year the year feeds (at most four on the published matrix), so the
+    rates are added in sorted order for a reproducible total.
     """
     summed = rates.groupBy("newid", "class_course", "acad_year").agg(
-        F.sum("ssi_per_course_per_cr_hours").alias("total_ssi")
+        ordered_sum(F.col("ssi_per_course_per_cr_hours")).alias("total_ssi")
     )
     if overlap == "literal":
         adj = F.when(

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortalloc.functions.expressions import round_half_even, round_half_up, safe_ratio
+from cohortalloc.functions.expressions import exact_sum, round_half_even, round_half_up, safe_ratio
 from cohortalloc.operators.payouts import PAYOUT_YEARS, attach_by_year, attach_status, downgrade_missing
 
 COMBO_COLUMNS = [
@@ -157,8 +157,12 @@ def finish_degrees(rows: DataFrame, year_matrix: DataFrame) -> DataFrame:
     return rounded.select(*DEGREE_OUTPUT)
 
 
-def degree_stats(final: DataFrame, by: list[str]) -> DataFrame:
-    """min / max / mean / median of the three-year total over complete rows."""
+def degree_stats(final: DataFrame, by: list[str], scale: int = 2) -> DataFrame:
+    """min / max / mean / median of the three-year total over complete rows.
+
+    The totals are sums of values rounded to 0.1, so the mean is taken from
+    an exact DECIMAL sum (``scale`` digits) and is independent of row order.
+    """
     total = F.col(TOTAL_COLUMN)
     return (
         final.where(F.col("complete_flag") == "complete")
@@ -166,7 +170,7 @@ def degree_stats(final: DataFrame, by: list[str]) -> DataFrame:
         .agg(
             F.min(total).alias("min"),
             F.max(total).alias("max"),
-            F.avg(total).alias("mean"),
+            (exact_sum(total, scale).cast("double") / F.count(total)).alias("mean"),
             F.median(total).alias("median"),
         )
     )

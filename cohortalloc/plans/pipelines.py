@@ -16,6 +16,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortalloc.functions.expressions import exact_sum
 from cohortalloc.operators import audit, cohorts, degrees, doctoral, payouts, registration
 from cohortalloc.operators.payouts import COURSE_AMOUNTS, DOCTORAL_RATES, PAYOUT_YEARS
 from cohortalloc.sources.lookups import cohort_years
@@ -150,11 +151,16 @@ class Allocation:
     @cached_property
     def course_reconciliation(self) -> DataFrame:
         """Allocated dollars per academic year next to recognised dollars per FY."""
+        def cents(total):
+            return F.round(total, 2).cast("double")
+
         allocated = self.course_subsidy.groupBy(F.col("time_academic_yr").alias("year")).agg(
-            F.coalesce(F.sum("ssi_total_all_three_years_combined"), F.lit(0.0)).alias("total_amount")
+            cents(F.coalesce(exact_sum(F.col("ssi_total_all_three_years_combined")), F.lit(0))).alias(
+                "total_amount"
+            )
         )
         recognised = self.dollars.groupBy(F.col("fiscal_year_ssi_recognized").alias("year")).agg(
-            F.sum("ssi_total_amount").alias("total_amount")
+            cents(exact_sum(F.col("ssi_total_amount"))).alias("total_amount")
         )
         return allocated.withColumn("measure", F.lit("allocated_by_acad_year")).unionByName(
             recognised.withColumn("measure", F.lit("recognised_by_fiscal_year"))

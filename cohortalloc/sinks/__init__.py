@@ -1 +1,10 @@
+"""CSV export and table writers (create, overwrite, append by column name)."""
 
+from cohortalloc.sinks.writers import (  # noqa: F401
+    align_to,
+    append_table,
+    create_table,
+    overwrite_table,
+    write_csv,
+    write_parquet,
+)
