@@ -3,14 +3,16 @@
 The year matrix says, for every fiscal year FY, which three years feed it.
 Instead of looping over fiscal years, the facts are joined once to the
 unpivoted matrix (69 rows, broadcast) and aggregated with FY as a grouping
-key.  Grand totals "per FY" or "per (FY, model)" are a second, tiny
-aggregation joined back on its keys, never a window over a possibly skewed
-partition.
+key.  Grand totals "per FY" or "per (FY, model)" are window sums over the
+*aggregated* cohort rows: a window partition holds one row per (year,
+course) of the catalogue, however many enrollments stand behind them, so a
+hot model or course cannot make one task large.  (Joining an aggregate of a
+frame back to the same frame would re-run its whole lineage.)
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortalloc.functions.expressions import ordered_sum, safe_ratio
@@ -113,13 +115,10 @@ def cohort_weights(hours: DataFrame, year_matrix: DataFrame) -> DataFrame:
         F.col("year_basis").alias("aggr_type"),
         F.col("status").alias("compl_status"),
     ).agg(F.sum("total_credit_hr_per_class").alias("cumul_total_cr_hours"))
-    totals = cumul.groupBy(
-        F.col("fiscal_year").alias("t_fiscal_year"), F.col("newid").alias("t_newid")
-    ).agg(F.sum("cumul_total_cr_hours").alias("grand_total_cr_hours"))
-    weighted = cumul.join(
-        totals,
-        (cumul.fiscal_year == totals.t_fiscal_year) & cumul.newid.eqNullSafe(totals.t_newid),
-        "inner",
+    # NULL model ids form one window partition, as they form one group.
+    per_model = Window.partitionBy("fiscal_year", "newid")
+    weighted = cumul.withColumn(
+        "grand_total_cr_hours", F.sum("cumul_total_cr_hours").over(per_model)
     )
     return weighted.select(
         "newid",
@@ -238,18 +237,17 @@ def doctoral_rates(hours: DataFrame, year_matrix: DataFrame, totals: DataFrame)
     """Per (course, FY): the doctoral pool's dollars per credit hour.
 
     The cohort uses academic years whatever the FY's basis; the grand total is
-    over all courses of the FY (a per-FY aggregate, at most one row per matrix
-    FY, broadcast back), so the rate is the same for every course of an FY.
+    over all courses of the FY (a window over the per-(FY, course) rows), so
+    the rate is the same for every course of an FY.
     """
     slots = _cohorts(year_matrix).select("FY", "AY")
     joined = hours.join(slots, hours.time_academic_yr == slots.AY, "inner")
     cumul = joined.groupBy(F.col("FY").alias("fiscal_year"), "class_course").agg(
         F.sum("total_credit_hr_per_class").alias("cumul_total_cr_hours")
     )
-    grand = cumul.groupBy(F.col("fiscal_year").alias("g_fiscal_year")).agg(
-        F.sum("cumul_total_cr_hours").alias("grand_total_cr_hours")
-    )
-    weighted = cumul.join(F.broadcast(grand), cumul.fiscal_year == grand.g_fiscal_year).withColumn(
+    weighted = cumul.withColumn(
+        "grand_total_cr_hours", F.sum("cumul_total_cr_hours").over(Window.partitionBy("fiscal_year"))
+    ).withColumn(
         "credit_hours_weight",
         safe_ratio(F.col("cumul_total_cr_hours"), F.col("grand_total_cr_hours")),
     )

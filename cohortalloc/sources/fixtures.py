@@ -17,10 +17,19 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
 
 from cohortalloc.functions.expressions import clean_model_id, strict_concat
 from cohortalloc.sources.lookups import read_payout_matrix, read_year_matrix
-from cohortalloc.sources.readers import Sources
+from cohortalloc.sources.readers import Sources, spread
 
 INSTITUTIONS = ("INST", "OTHR")
 FIXTURE_FY_RANGE = (2014, 2026)
@@ -45,6 +54,39 @@ CAREER_OTHER = "GRAD"
 # -----------------------------------------------------------------------------
 
 
+def _schema(*fields) -> StructType:
+    return StructType([StructField(n, t, True) for n, t in fields])
+
+
+# Column types of the test tables the views read (only the columns used).
+# Reading with a declared schema skips the footer-inference job per read.
+TEST_TABLE_SCHEMAS = {
+    "lineitem": _schema(
+        ("l_orderkey", LongType()), ("l_partkey", LongType()), ("l_suppkey", LongType()),
+        ("l_linenumber", IntegerType()), ("l_quantity", DoubleType()),
+        ("l_extendedprice", DoubleType()), ("l_discount", DoubleType()), ("l_tax", DoubleType()),
+        ("l_returnflag", StringType()), ("l_linestatus", StringType()),
+    ),
+    "orders": _schema(
+        ("o_orderkey", LongType()), ("o_custkey", LongType()), ("o_orderstatus", StringType()),
+        ("o_orderdate", TimestampNTZType()), ("o_orderpriority", StringType()),
+    ),
+    "customer": _schema(("c_custkey", LongType()), ("c_mktsegment", StringType())),
+    "part": _schema(
+        ("p_partkey", LongType()), ("p_name", StringType()), ("p_brand", StringType()),
+        ("p_type", StringType()), ("p_size", IntegerType()), ("p_retailprice", DoubleType()),
+    ),
+}
+
+
+def _calendar_year(orderdate: Column) -> Column:
+    return (F.year(orderdate) + 20).cast("int")
+
+
+def _term(orderdate: Column) -> Column:
+    return (_calendar_year(orderdate) * 10 + F.quarter(orderdate)).cast("int")
+
+
 def _case(col: Column, mapping: dict, default) -> Column:
     expr = None
     for key, value in mapping.items():
@@ -84,13 +126,27 @@ class FixtureViews:
         self.sf_dir = sf_dir.rstrip("/")
 
     def _table(self, name: str, *cols: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet").select(*cols)
+        reader = self.spark.read.schema(TEST_TABLE_SCHEMAS[name])
+        return reader.parquet(f"{self.sf_dir}/{name}.parquet").select(*cols)
+
+    @cached_property
+    def order_terms(self) -> DataFrame:
+        """Distinct (term, calendar year) in which orders were placed; a few
+        rows per year, read from the orders table alone."""
+        date = F.col("o_orderdate")
+        return (
+            self._table("orders", "o_orderdate")
+            .select(_term(date).alias("strm"), _calendar_year(date).alias("cal"))
+            .distinct()
+        )
 
     @cached_property
     def base(self) -> DataFrame:
-        li = self._table(
-            "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-            "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+        li = spread(
+            self._table(
+                "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+            )
         )
         orders = self._table(
             "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
@@ -102,13 +158,13 @@ class FixtureViews:
             .join(cust, F.col("o_custkey") == cust.c_custkey)
             .join(part, F.col("l_partkey") == part.p_partkey)
         )
-        cal = (F.year("o_orderdate") + 20).cast("int")
+        cal = _calendar_year(F.col("o_orderdate"))
         qtr = F.quarter("o_orderdate")
         return joined.withColumns(
             {
                 "cal": cal,
                 "ay": (cal + F.when(qtr >= 3, 1).otherwise(0)).cast("int"),
-                "strm": (cal * 10 + qtr).cast("int"),
+                "strm": _term(F.col("o_orderdate")),
                 "pid": F.concat(F.lit("P"), F.lpad(F.col("o_custkey").cast("string"), 8, "0")),
             }
         )
@@ -160,15 +216,15 @@ class FixtureViews:
 
     @cached_property
     def term_lookup(self) -> DataFrame:
-        return self.base.select(
+        return self.order_terms.select(
             F.col("strm").cast("string").alias("term_code"),
             F.col("strm"),
             F.col("cal").cast("string").alias("term_year"),
-        ).distinct()
+        )
 
     def _terms_array(self) -> Column:
         # All terms in the data, as one scalar sub-query (a few per year).
-        return self.base.select(F.array_sort(F.collect_set("strm"))).scalar()
+        return self.order_terms.select(F.array_sort(F.collect_list("strm"))).scalar()
 
     def _part_newids(self) -> DataFrame:
         part = self._table("part", "p_partkey", "p_type", "p_size", "p_retailprice")
@@ -233,7 +289,7 @@ class FixtureViews:
 
     @cached_property
     def acad_plans(self) -> DataFrame:
-        terms = self.base.select("strm").distinct()
+        terms = self.order_terms.select("strm")
         k = F.col("k")
         return terms.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(N_PLANS - 1)))).select(
             "strm",
@@ -246,7 +302,7 @@ class FixtureViews:
     def degree_allocations(self) -> DataFrame:
         lo, hi = FIXTURE_FY_RANGE
         # generated from the institution list; one row per (inst, model, FY)
-        insts = self.spark.createDataFrame([(i,) for i in INSTITUTIONS], "inst string")
+        insts = self.spark.range(1).select(F.explode(F.array(*map(F.lit, INSTITUTIONS))).alias("inst"))
         grid = insts.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(N_MATCH_IDS - 1)))).withColumn(
             "fiscal_year", F.explode(F.sequence(F.lit(lo), F.lit(hi)))
         )

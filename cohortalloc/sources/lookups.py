@@ -93,18 +93,31 @@ def _csv_frame(spark: SparkSession, path: str, schema) -> DataFrame:
     )
 
 
+def _sql_literal(v) -> str:
+    return "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v)
+
+
+def _local_table(spark: SparkSession, rows, schema) -> DataFrame:
+    """A JVM-side local relation (SQL VALUES): no Python worker is involved
+    when it is scanned, and Catalyst can fold filters over it."""
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    names = ", ".join(schema.fieldNames())
+    df = spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def read_year_matrix(spark: SparkSession, path: str | None = None) -> DataFrame:
     """Wide year matrix (23 rows built in); ``path`` reads a CSV instead."""
     if path:
         return _csv_frame(spark, path, YEAR_MATRIX)
-    return spark.createDataFrame(YEAR_MATRIX_ROWS, YEAR_MATRIX)
+    return _local_table(spark, YEAR_MATRIX_ROWS, YEAR_MATRIX)
 
 
 def read_payout_matrix(spark: SparkSession, path: str | None = None) -> DataFrame:
     """Payout matrix (18 rows built in); ``path`` reads a CSV (BOM tolerated)."""
     if path:
         return _csv_frame(spark, path, PAYOUT_MATRIX)
-    return spark.createDataFrame(PAYOUT_MATRIX_ROWS, PAYOUT_MATRIX)
+    return _local_table(spark, PAYOUT_MATRIX_ROWS, PAYOUT_MATRIX)
 
 
 def matrix_csv_text(rows, schema, bom: bool = False) -> str:

@@ -28,6 +28,22 @@ def conform(df: DataFrame, schema: StructType, lenient: bool = False) -> DataFra
     return df.select(*cols)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Guarantee scan parallelism for a fact table.
+
+    A file stored as one large row group is read by one task, and every
+    narrow operator after the scan (projections, broadcast joins, partial
+    aggregates) then runs on one core.  If the scan yields fewer splits than
+    the cluster's default parallelism, spread the rows round-robin; on a
+    real data set with many splits this is a no-op.  The split count comes
+    from planning only; no data is read to decide.
+    """
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < parallelism:
+        return df.repartition(parallelism)
+    return df
+
+
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     df = spark.read.parquet(path)
     return conform(df, schema) if schema is not None else df
