@@ -29,12 +29,19 @@ def _round(df: DataFrame, digits: int, cols: list[str]) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), digits) for c in cols})
 
 
-def _stage(name: str, round_cols: tuple[list[str], int] | None = None):
+def _stage(
+    name: str,
+    round_cols: tuple[list[str], int] | None = None,
+    order_by: list[str] | None = None,
+):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = getattr(allocation(spark, sf_dir), name)
         if round_cols:
             cols, digits = round_cols
             df = _round(df, digits, cols)
+        if order_by:
+            # presentation order of the published report (a range-partitioned sort)
+            df = df.orderBy(*order_by)
         return df
 
     run.__name__ = name
@@ -119,7 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "course_subsidy": _stage("course_subsidy", (COURSE_AMOUNT_COLS, RATE_DIGITS)),
     "course_reconciliation": _stage("course_reconciliation", (["total_amount"], MONEY_DIGITS)),
     "doctoral_basis": _stage("doctoral_basis"),
-    "doctoral_totals": _stage("doctoral_totals"),
+    "doctoral_totals": _stage("doctoral_totals", order_by=["ssi_payout_y1"]),
     "doctoral_hours": _stage("doctoral_hours"),
     "doctoral_rates": _stage("doctoral_rates", (RATE_COLS, 9)),
     "doctoral_subsidy": _stage("doctoral_subsidy", (COURSE_AMOUNT_COLS, RATE_DIGITS)),
@@ -133,12 +140,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "degree_averages": _stage("degree_averages"),
     "degree_subsidy": _stage("degree_subsidy"),
     "degree_stats": _stage("degree_stats", (["mean", "median"], RATE_DIGITS)),
-    "degree_flag_check": _stage("degree_flag_check"),
-    "doctoral_degree_basis": _stage("doctoral_degree_basis"),
+    "degree_flag_check": _stage("degree_flag_check", order_by=["ssi_payout_y1"]),
+    "doctoral_degree_basis": _stage("doctoral_degree_basis", order_by=["degree_ocurred"]),
     "doctoral_degree_cohorts": _stage("doctoral_degree_cohorts"),
     "doctoral_degree_subsidy": _stage("doctoral_degree_subsidy"),
     "doctoral_degree_stats": _stage("doctoral_degree_stats", (["mean", "median"], RATE_DIGITS)),
-    "doctoral_degree_flag_check": _stage("doctoral_degree_flag_check"),
+    "doctoral_degree_flag_check": _stage("doctoral_degree_flag_check", order_by=["ssi_payout_y1"]),
     "combined_course_table": _stage("combined_course_table", (COURSE_AMOUNT_COLS, RATE_DIGITS)),
     "combined_degree_table": _stage("combined_degree_table"),
     "rate_range_check": _stage(

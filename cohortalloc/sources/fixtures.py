@@ -87,31 +87,37 @@ def _term(orderdate: Column) -> Column:
     return (_calendar_year(orderdate) * 10 + F.quarter(orderdate)).cast("int")
 
 
-def _case(col: Column, mapping: dict, default) -> Column:
-    expr = None
-    for key, value in mapping.items():
-        cond = col == F.lit(key)
-        expr = F.when(cond, F.lit(value)) if expr is None else expr.when(cond, F.lit(value))
-    return expr.otherwise(F.lit(default))
+def _sql_value(v) -> str:
+    if v is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + str(v).replace("'", "''") + "'" if isinstance(v, str) else str(v)
 
 
-def subject(p_type: Column) -> Column:
-    return _case(p_type, SUBJECT_BY_PART_TYPE, SUBJECT_OTHER)
+def _case_sql(expr: str, mapping: dict, default) -> str:
+    whens = " ".join(f"WHEN {_sql_value(k)} THEN {_sql_value(v)}" for k, v in mapping.items())
+    return f"CASE {expr} {whens} ELSE {_sql_value(default)} END"
 
 
-def level(p_size: Column) -> Column:
-    return (p_size % 3).cast("string")
+# The mappings are written as SQL expression text: one parse per expression
+# instead of one driver round trip per branch.
+def subject(p_type: str) -> Column:
+    return F.expr(_case_sql(p_type, SUBJECT_BY_PART_TYPE, SUBJECT_OTHER))
 
 
-def model(partkey: Column) -> Column:
-    return F.when(partkey % 50 == 0, F.lit(None).cast("string")).otherwise(
-        (partkey % 5).cast("string")
-    )
+def level(p_size: str) -> Column:
+    return F.expr(f"CAST({p_size} % 3 AS STRING)")
 
 
-def grade(quantity: Column) -> Column:
-    idx = quantity.cast("int") % 12
-    return _case(idx, dict(enumerate(GRADE_BY_QUANTITY)), None).cast("string")
+def model(partkey: str) -> Column:
+    return F.expr(f"CASE WHEN {partkey} % 50 = 0 THEN CAST(NULL AS STRING) ELSE CAST({partkey} % 5 AS STRING) END")
+
+
+def grade(quantity: str) -> Column:
+    return F.expr(_case_sql(f"CAST({quantity} AS INT) % 12", dict(enumerate(GRADE_BY_QUANTITY)), None))
+
+
+def career(segment: str) -> Column:
+    return F.expr(_case_sql(segment, CAREER_BY_SEGMENT, CAREER_OTHER))
 
 
 class FixtureViews:
@@ -146,7 +152,9 @@ class FixtureViews:
             self._table(
                 "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                 "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
-            )
+            ),
+            "l_orderkey",
+            "l_linenumber",
         )
         orders = self._table(
             "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
@@ -171,47 +179,39 @@ class FixtureViews:
 
     @cached_property
     def registrations(self) -> DataFrame:
-        b = self.base
-        return b.select(
+        return self.base.select(
             F.col("l_partkey").alias("class_crse_id"),
-            (F.col("l_partkey") % 1000).alias("class_number"),
+            F.expr("l_partkey % 1000").alias("class_number"),
             F.col("strm").alias("time_strm"),
-            F.concat(F.col("p_brand"), F.lit(" "), F.col("p_size").cast("string")).alias(
-                "class_course"
-            ),
+            F.expr("concat(p_brand, ' ', CAST(p_size AS STRING))").alias("class_course"),
             F.col("p_name").alias("class_title_ld"),
             F.col("o_custkey").alias("stdnt_emplid"),
             F.col("pid").alias("campus_id"),
-            (F.col("l_linenumber") - 1).cast("int").alias("credit_hours"),
-            grade(F.col("l_quantity")).alias("class_grade"),
-            _case(F.col("c_mktsegment"), CAREER_BY_SEGMENT, CAREER_OTHER)
-            .cast("string")
-            .alias("stdnt_acad_career_cd"),
-            F.col("ay").cast("string").alias("time_academic_yr"),
+            F.expr("CAST(l_linenumber - 1 AS INT)").alias("credit_hours"),
+            grade("l_quantity").alias("class_grade"),
+            career("c_mktsegment").alias("stdnt_acad_career_cd"),
+            F.expr("CAST(ay AS STRING)").alias("time_academic_yr"),
         )
 
     @cached_property
     def enrollments(self) -> DataFrame:
-        b = self.base
-        final = (F.col("l_returnflag") != "N") | (F.col("l_discount") > 0.05)
-        return b.select(
-            F.lpad((F.col("l_partkey") % 1000).cast("string"), 5, "0").alias("class_nbr"),
+        return self.base.select(
+            F.expr("lpad(CAST(l_partkey % 1000 AS STRING), 5, '0')").alias("class_nbr"),
             F.col("pid").alias("student_pid"),
-            F.concat(F.col("strm").cast("string"), F.when(final, "F").otherwise("")).alias(
-                "term_code"
+            F.expr(
+                "concat(CAST(strm AS STRING), "
+                "CASE WHEN l_returnflag <> 'N' OR l_discount > CAST(0.05 AS DOUBLE) THEN 'F' ELSE '' END)"
+            ).alias("term_code"),
+            subject("p_type").alias("enrl_newtax_subject"),
+            level("p_size").alias("enrl_course_level"),
+            model("l_partkey").alias("enrl_newtax_model"),
+            F.expr(
+                "CAST(CASE WHEN l_linestatus = 'O' OR l_tax >= CAST(0.04 AS DOUBLE) THEN 1 ELSE 2 END AS INT)"
+            ).alias("subsidy_eligible_code"),
+            F.expr("CAST(CASE l_suppkey % 3 WHEN 0 THEN 0 WHEN 1 THEN 1 END AS INT)").alias(
+                "completed_flag"
             ),
-            subject(F.col("p_type")).alias("enrl_newtax_subject"),
-            level(F.col("p_size")).alias("enrl_course_level"),
-            model(F.col("l_partkey")).alias("enrl_newtax_model"),
-            F.when((F.col("l_linestatus") == "O") | (F.col("l_tax") >= 0.04), 1)
-            .otherwise(2)
-            .cast("int")
-            .alias("subsidy_eligible_code"),
-            F.when(F.col("l_suppkey") % 3 == 0, 0)
-            .when(F.col("l_suppkey") % 3 == 1, 1)
-            .cast("int")
-            .alias("completed_flag"),
-            F.lit(None).cast("string").alias("crse_grade_off"),
+            F.expr("CAST(NULL AS STRING)").alias("crse_grade_off"),
         )
 
     @cached_property
@@ -228,7 +228,7 @@ class FixtureViews:
 
     def _part_newids(self) -> DataFrame:
         part = self._table("part", "p_partkey", "p_type", "p_size", "p_retailprice")
-        raw = strict_concat(subject(F.col("p_type")), level(F.col("p_size")), model(F.col("p_partkey")))
+        raw = strict_concat(subject("p_type"), level("p_size"), model("p_partkey"))
         return part.select(clean_model_id(raw).alias("newid"), "p_retailprice").where(
             F.col("newid").isNotNull()
         )
@@ -325,9 +325,9 @@ class FixtureViews:
             (F.col("p_partkey") % 3 + 1).alias("strm_version"),
             F.col("p_brand").alias("crse_subject"),
             F.col("p_size").cast("string").alias("crse_catalog_nbr"),
-            subject(F.col("p_type")).alias("hei_subsidy_model_subj"),
-            level(F.col("p_size")).alias("hei_course_level"),
-            model(F.col("p_partkey")).alias("hei_subsidy_model_code"),
+            subject("p_type").alias("hei_subsidy_model_subj"),
+            level("p_size").alias("hei_course_level"),
+            model("p_partkey").alias("hei_subsidy_model_code"),
             F.when(F.col("p_partkey") % 5 == 0, "N").otherwise("Y").alias("hei_subsidy_eligible"),
         )
 
@@ -348,7 +348,16 @@ class FixtureViews:
             .distinct()
         )
 
+    @cached_property
+    def year_matrix(self) -> DataFrame:
+        return read_year_matrix(self.spark)
+
+    @cached_property
+    def payout_matrix(self) -> DataFrame:
+        return read_payout_matrix(self.spark)
+
     def sources(self) -> Sources:
+        """All twelve frames at once (builds every view's plan)."""
         return Sources(
             registrations=self.registrations,
             enrollments=self.enrollments,
@@ -365,5 +374,7 @@ class FixtureViews:
         )
 
 
-def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    return FixtureViews(spark, sf_dir).sources()
+def fixture_sources(spark: SparkSession, sf_dir: str) -> FixtureViews:
+    """The fixture views as a lazy source bundle: a view's plan is built only
+    when a pipeline stage asks for it (same attribute names as ``Sources``)."""
+    return FixtureViews(spark, sf_dir)

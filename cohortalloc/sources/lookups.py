@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import csv
 import io
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -134,13 +135,23 @@ def status_by_fiscal_year(year_matrix: DataFrame) -> DataFrame:
     return year_matrix.select("FY", "status").distinct()
 
 
+_COHORTS: "weakref.WeakKeyDictionary[DataFrame, DataFrame]" = weakref.WeakKeyDictionary()
+
+
 def cohort_years(year_matrix: DataFrame) -> DataFrame:
     """Unpivot the year matrix to one row per (FY, contributing year).
 
     ``years_included`` keeps the matrix order of the three years
     (``"2012,2011,2010"``); it is built before unpivoting so that no ordered
-    collection is needed afterwards.
+    collection is needed afterwards.  The frame is built once per matrix.
     """
+    cached = _COHORTS.get(year_matrix)
+    if cached is None:
+        cached = _COHORTS[year_matrix] = _unpivot_matrix(year_matrix)
+    return cached
+
+
+def _unpivot_matrix(year_matrix: DataFrame) -> DataFrame:
     with_list = year_matrix.withColumn(
         "years_included",
         F.concat_ws(",", *[F.col(c).cast("string") for c in ("AY_1", "AY_2", "AY_3")]),

@@ -28,20 +28,27 @@ def conform(df: DataFrame, schema: StructType, lenient: bool = False) -> DataFra
     return df.select(*cols)
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Guarantee scan parallelism for a fact table.
 
     A file stored as one large row group is read by one task, and every
     narrow operator after the scan (projections, broadcast joins, partial
     aggregates) then runs on one core.  If the scan yields fewer splits than
-    the cluster's default parallelism, spread the rows round-robin; on a
-    real data set with many splits this is a no-op.  The split count comes
-    from planning only; no data is read to decide.
+    the cluster's default parallelism, spread the rows over that many
+    partitions by a hash of ``keys`` (high-cardinality columns: balanced,
+    and deterministic on a task retry without the sort a round-robin
+    repartition needs).  On a real data set with many splits this is a
+    no-op.  The split count comes from planning only; no data is read.
     """
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        return df.repartition(parallelism)
-    return df
+    try:
+        parallelism = df.sparkSession.sparkContext.defaultParallelism
+        # planned partitions of the JVM plan (no Python RDD wrapper is built)
+        splits = df._jdf.rdd().getNumPartitions()
+    except Exception:  # sessions without JVM access (e.g. Spark Connect)
+        return df
+    if splits >= parallelism:
+        return df
+    return df.repartition(parallelism, *keys) if keys else df.repartition(parallelism)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
