@@ -73,15 +73,31 @@ def model_id_discrepancy_counts(rows: DataFrame) -> DataFrame:
     )
 
 
-def comparable_terms(enrollments: DataFrame, term_lookup: DataFrame) -> DataFrame:
-    """Distinct terms that have eligible, completed, final enrollment rows."""
+def _comparable_rows(enrollments: DataFrame, term_lookup: DataFrame) -> DataFrame:
+    """Eligible, completed, final enrollment rows with their term."""
     enr = enrollments.where(
         (F.col("subsidy_eligible_code") == 1)
         & (F.col("completed_flag") == 1)
         & F.col("term_code").endswith("F")
-    ).select(strip_final_marker(F.col("term_code")).alias("k"))
+    ).select("class_nbr", strip_final_marker(F.col("term_code")).alias("k"))
     terms = term_lookup.select(F.col("term_code").alias("t_code"), "strm")
-    return enr.join(F.broadcast(terms), enr.k == terms.t_code).select("strm").distinct()
+    return enr.join(F.broadcast(terms), enr.k == terms.t_code)
+
+
+def comparable_terms(enrollments: DataFrame, term_lookup: DataFrame) -> DataFrame:
+    """Distinct terms that have eligible, completed, final enrollment rows."""
+    return _comparable_rows(enrollments, term_lookup).select("strm").distinct()
+
+
+def class_number_lengths(enrollments: DataFrame, term_lookup: DataFrame) -> DataFrame:
+    """Per comparable term: rows and the longest class number (padding check:
+    class numbers are matched as five-character, zero-padded text)."""
+    rows = _comparable_rows(enrollments, term_lookup)
+    return rows.groupBy("strm").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.max(F.length("class_nbr")).alias("max_length"),
+        F.min(F.length("class_nbr")).alias("min_length"),
+    )
 
 
 def unmatched_breakdown(

@@ -162,6 +162,10 @@ def degree_stats(final: DataFrame, by: list[str], scale: int = 2) -> DataFrame:
 
     The totals are sums of values rounded to 0.1, so the mean is taken from
     an exact DECIMAL sum (``scale`` digits) and is independent of row order.
+    The exact median keeps a value -> count map per group (merged from
+    partial aggregates); a degree's total depends only on its model and
+    payout years, so a group holds at most one distinct value per fiscal
+    year, however many degrees it counts.
     """
     total = F.col(TOTAL_COLUMN)
     return (

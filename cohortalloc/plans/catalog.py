@@ -158,6 +158,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_id_discrepancy_rows": _stage("model_id_discrepancy_rows"),
     "model_id_discrepancies": _stage("model_id_discrepancies"),
     "comparable_terms": _stage("comparable_terms"),
+    "class_number_lengths": _stage("class_number_lengths"),
     "unmatched_breakdown": _stage("unmatched_breakdown"),
     "clean_text_load": _clean_text_load,
 }

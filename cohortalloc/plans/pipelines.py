@@ -315,6 +315,10 @@ class Allocation:
     def comparable_terms(self) -> DataFrame:
         return audit.comparable_terms(self.src.enrollments, self.src.term_lookup)
 
+    @cached_property
+    def class_number_lengths(self) -> DataFrame:
+        return audit.class_number_lengths(self.src.enrollments, self.src.term_lookup)
+
     @cached_property
     def unmatched_breakdown(self) -> DataFrame:
         return audit.unmatched_breakdown(self.src.unmatched, self.src.enrollments, self.src.term_lookup)

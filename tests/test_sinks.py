@@ -44,3 +44,15 @@ def test_create_table_fails_if_exists(spark):
     with pytest.raises(Exception):
         create_table(spark, df, table)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def test_append_rejects_unknown_columns(spark):
+    import pytest
+
+    wh = tempfile.mkdtemp(prefix="wh-")
+    table = "sink_extra_tbl"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"CREATE TABLE {table} (id int) USING parquet LOCATION '{wh}/t'")
+    with pytest.raises(ValueError):
+        append_table(spark, spark.createDataFrame([(1, "x")], "id int, extra string"), table)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
