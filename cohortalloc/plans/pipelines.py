@@ -85,8 +85,11 @@ class Allocation:
 
     @cached_property
     def matched_plain(self) -> DataFrame:
-        """Matched registrations without the calendar year (doctoral basis)."""
-        return registration.matched_registrations(self.passed, self.eligible, with_calendar_year=False)
+        """Matched registrations without the calendar year (doctoral basis).
+
+        The same rows as :attr:`matched`, so both pipelines share one join
+        (and one checkpoint when the shared frame is materialised)."""
+        return self.matched.drop("calendar_year")
 
     @cached_property
     def dollars(self) -> DataFrame:

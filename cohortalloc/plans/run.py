@@ -25,6 +25,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from cohortalloc.plans.pipelines import Allocation
+from cohortalloc.session import configured_checkpoint_dir
 from cohortalloc.sinks.writers import write_csv, write_parquet
 from cohortalloc.sources.readers import load_tables
 
@@ -51,8 +52,7 @@ def run(
     outputs: tuple[str, ...] = OUTPUTS,
 ) -> dict[str, str]:
     """Write each requested output under ``out_root``; returns name -> path."""
-    checkpoint_dir = spark.sparkContext.getCheckpointDir()
-    if checkpoint_dir:
+    if configured_checkpoint_dir(spark):
         alloc.checkpoint_shared()
     written = {}
     for name in outputs:

@@ -44,6 +44,20 @@ def build_session(
     return spark
 
 
+def configured_checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared checkpoint folder the cluster names, applied to the context."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    if current is None:
+        try:
+            current = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:
+            current = None
+    if current and not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return current
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; set ``fallback`` only when unset.
 

@@ -84,14 +84,23 @@ MAX_LOOKUP_ROWS = 1000
 
 
 def _csv_frame(spark: SparkSession, path: str, schema) -> DataFrame:
-    # Spark's CSV reader drops a UTF-8 byte-order mark at the start of a file.
-    return (
+    """A lookup table from a header CSV (Spark drops a UTF-8 byte-order mark).
+
+    The lookups are broadcast wherever they are joined, so a user-supplied
+    file is size-checked once here (a count of a small config file) instead
+    of being trusted.
+    """
+    df = (
         spark.read.option("header", True)
         .option("mode", "FAILFAST")
         .option("encoding", "UTF-8")
         .schema(schema)
         .csv(path)
     )
+    n = df.limit(MAX_LOOKUP_ROWS + 1).count()
+    if n > MAX_LOOKUP_ROWS:
+        raise ValueError(f"{path}: more than {MAX_LOOKUP_ROWS} rows; not a yearly lookup table")
+    return df
 
 
 def _sql_literal(v) -> str:

@@ -61,3 +61,17 @@ def test_csv_readers_round_trip_with_bom(spark):
     got = read_payout_matrix(spark, pm)
     assert got.columns[0] == "year"
     assert sorted(tuple(r) for r in got.collect()) == sorted(PAYOUT_MATRIX_ROWS)
+
+
+def test_oversized_lookup_csv_is_rejected(spark):
+    import pytest
+
+    from cohortalloc.sources import lookups
+
+    d = tempfile.mkdtemp(prefix="lookups-big-")
+    path = os.path.join(d, "year_matrix.csv")
+    rows = [(2000 + i, 1, 1, 1, "complete", "fiscal", 1) for i in range(lookups.MAX_LOOKUP_ROWS + 5)]
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(matrix_csv_text(rows, YEAR_MATRIX))
+    with pytest.raises(ValueError):
+        read_year_matrix(spark, path)
