@@ -27,10 +27,17 @@ PAYOUT_YEARS = ("ssi_payout_y1", "ssi_payout_y2", "ssi_payout_y3")
 def add_payout_years(rows: DataFrame, payout_matrix: DataFrame, year_col: str = "time_academic_yr") -> DataFrame:
     """Inner join to the payout matrix (one row per academic year, broadcast).
 
-    Rows whose year is outside the matrix are dropped, as in the published rule.
+    Rows whose year is outside the matrix (or missing) are dropped, as in the
+    published rule.  The condition is written NULL-safe: the matrix year is
+    never NULL, so the result is the same, but no ``isnotnull(year)`` filter
+    is inferred and pushed into the shared registration subtree, which keeps
+    that subtree identical to the one the cohort aggregation reads and lets
+    Spark reuse its shuffle instead of recomputing it.
     """
     payout = payout_matrix.select(F.col("year").alias("_payout_year"), *PAYOUT_YEARS)
-    joined = rows.join(F.broadcast(payout), rows[year_col] == F.col("_payout_year"), "inner")
+    joined = rows.join(
+        F.broadcast(payout), rows[year_col].eqNullSafe(F.col("_payout_year")), "inner"
+    )
     return joined.drop("_payout_year")
 
 
