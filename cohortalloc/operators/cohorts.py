@@ -241,7 +241,9 @@ def doctoral_rates(hours: DataFrame, year_matrix: DataFrame, totals: DataFrame)
     the rate is the same for every course of an FY.
     """
     slots = _cohorts(year_matrix).select("FY", "AY")
-    joined = hours.join(slots, hours.time_academic_yr == slots.AY, "inner")
+    # NULL-safe (AY is never NULL): keeps the shared basis subtree free of an
+    # inferred filter, so the final-row branch can reuse its shuffles.
+    joined = hours.join(slots, hours.time_academic_yr.eqNullSafe(slots.AY), "inner")
     cumul = joined.groupBy(F.col("FY").alias("fiscal_year"), "class_course").agg(
         F.sum("total_credit_hr_per_class").alias("cumul_total_cr_hours")
     )
@@ -270,7 +272,8 @@ def degree_cohort_totals(basis: DataFrame, year_matrix: DataFrame) -> DataFrame:
     does that pre-aggregation.
     """
     slots = _cohorts(year_matrix).select("FY", "AY")
-    joined = basis.join(slots, basis.degree_ocurred == slots.AY, "inner")
+    # NULL-safe (AY is never NULL): see doctoral_rates.
+    joined = basis.join(slots, basis.degree_ocurred.eqNullSafe(slots.AY), "inner")
     return joined.groupBy("matchid", "FY").agg(F.count(F.lit(1)).alias("total_degrees")).select(
         "matchid", "total_degrees", F.col("FY").alias("fiscal_year")
     )
@@ -279,7 +282,7 @@ def degree_cohort_totals(basis: DataFrame, year_matrix: DataFrame) -> DataFrame:
 def doctoral_degree_cohort_totals(basis: DataFrame, year_matrix: DataFrame) -> DataFrame:
     """Degrees per FY over all models (the per-model totals rolled up)."""
     slots = _cohorts(year_matrix).select("FY", "AY")
-    joined = basis.join(slots, basis.degree_ocurred == slots.AY, "inner")
+    joined = basis.join(slots, basis.degree_ocurred.eqNullSafe(slots.AY), "inner")
     return joined.groupBy(F.col("FY").alias("fiscal_year")).agg(
         F.count(F.lit(1)).alias("total_degrees")
     )

@@ -52,7 +52,7 @@ def test_shared_cohort_and_basis_switch():
 
 def test_csv_readers_round_trip_with_bom(spark):
     d = tempfile.mkdtemp(prefix="lookups-")
-    ym, pm = os.path.join(d, "year_matrix.csv"), os.path.join(d, "payout_matrix.csv")
+    ym, pm = os.path.join(d, "years.csv"), os.path.join(d, "payouts.csv")
     with open(ym, "w", encoding="utf-8") as f:
         f.write(matrix_csv_text(YEAR_MATRIX_ROWS, YEAR_MATRIX))
     with open(pm, "w", encoding="utf-8") as f:
@@ -69,7 +69,7 @@ def test_oversized_lookup_csv_is_rejected(spark):
     from cohortalloc.sources import lookups
 
     d = tempfile.mkdtemp(prefix="lookups-big-")
-    path = os.path.join(d, "year_matrix.csv")
+    path = os.path.join(d, "years.csv")
     rows = [(2000 + i, 1, 1, 1, "complete", "fiscal", 1) for i in range(lookups.MAX_LOOKUP_ROWS + 5)]
     with open(path, "w", encoding="utf-8") as f:
         f.write(matrix_csv_text(rows, YEAR_MATRIX))
