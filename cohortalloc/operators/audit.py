@@ -50,12 +50,18 @@ def model_id_set_difference(dollars: DataFrame, inventory: DataFrame) -> tuple[D
 
 def model_id_discrepancy_rows(merged: DataFrame, inventory: DataFrame) -> DataFrame:
     """Distinct merged registrations with the inventory's model id and an
-    equality flag (a NULL on either side counts as equal)."""
+    equality flag (a NULL on either side counts as equal).
+
+    Only (course, term, model id) is read from the inventory, and the result
+    is DISTINCT, so the inventory side is de-duplicated on those three
+    columns before the join: same rows, but a course with many inventory
+    rows no longer multiplies every registration before the final shuffle.
+    """
     inv = inventory.select(
         F.col("class_course").alias("i_class_course"),
         F.col("strm").alias("i_strm"),
         F.col("newid").alias("ci_newid"),
-    )
+    ).distinct()
     joined = merged.join(
         inv,
         (merged.class_course == inv.i_class_course) & (merged.time_strm == inv.i_strm),
