@@ -23,3 +23,14 @@ def test_lineitem_scan_is_pruned(spark):
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "l_shipdate" not in text
     assert "o_totalprice" not in text
+
+
+def test_course_pipeline_reuses_shared_registration_shuffle(spark):
+    # The rate branch and the enrollment-grain branch read the same matched
+    # registrations; after execution the final adaptive plan must reuse the
+    # registration DISTINCT shuffle instead of running it twice.
+    df = QUERIES["course_subsidy"](spark, SF)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString()
+    reused = [line for line in final.split("\n") if "ReusedExchange" in line]
+    assert any("uniq_combo_id" in line for line in reused), "registration shuffle not reused"
