@@ -1,6 +1,6 @@
 """The four allocation pipelines and the audits, as one lazy plan each.
 
-``Allocation`` wires the operators together over a :class:`Sources` bundle.
+``Allocation`` wires the operators together over a source bundle (:class:`SourceTables`).
 Every attribute is a DataFrame; nothing runs until a caller writes or
 collects one.  Intermediate frames that several outputs share (the matched
 registrations) appear once in each plan and Spark reuses the exchange; a
@@ -20,7 +20,7 @@ from cohortalloc.functions.expressions import exact_sum
 from cohortalloc.operators import audit, cohorts, degrees, doctoral, payouts, registration
 from cohortalloc.operators.payouts import COURSE_AMOUNTS, DOCTORAL_RATES, PAYOUT_YEARS
 from cohortalloc.sources.lookups import cohort_years
-from cohortalloc.sources.readers import Sources
+from cohortalloc.sources.readers import SourceTables
 
 COURSE_OUTPUT = [
     "class_crse_id", "class_number", "new_class_number", "time_strm", "class_course",
@@ -49,7 +49,7 @@ class Allocation:
 
     def __init__(
         self,
-        sources: Sources,
+        sources: SourceTables,
         institution: str,
         overlap: str = "literal",
         course_recode: bool = False,

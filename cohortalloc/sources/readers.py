@@ -4,6 +4,7 @@ plus the load-time text cleaning the warehouse applied on COPY."""
 from __future__ import annotations
 
 from dataclasses import dataclass, fields
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -125,6 +126,27 @@ def clean_strings(df: DataFrame, widths: dict[str, int] | None = None) -> DataFr
     )
 
 
+class SourceTables(Protocol):
+    """What the pipelines read: ten tables and two yearly lookups.
+
+    Satisfied by :class:`Sources` (eager bundle) and by the lazy fixture
+    views, whose plans are built only when a stage asks for them.
+    """
+
+    registrations: DataFrame
+    enrollments: DataFrame
+    term_lookup: DataFrame
+    course_allocations: DataFrame
+    doctoral_subsidy: DataFrame
+    completions: DataFrame
+    acad_plans: DataFrame
+    degree_allocations: DataFrame
+    course_inventory: DataFrame
+    unmatched: DataFrame
+    year_matrix: DataFrame
+    payout_matrix: DataFrame
+
+
 @dataclass
 class Sources:
     """The ten warehouse tables plus the two yearly lookups, as DataFrames."""
