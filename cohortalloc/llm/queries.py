@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortalloc.llm.bpe_chunks import op9_bpe_chunks
+from cohortalloc.llm.secret_scan import op2_secret_scan
 from cohortalloc.llm.token_file import op5_token_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_secret_scan": op2_secret_scan,
     "op5_token_file": op5_token_file,
     "op9_bpe_chunks": op9_bpe_chunks,
 }
