@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortalloc.llm.bpe_chunks import op9_bpe_chunks
+from cohortalloc.llm.language_id import op10_language_id
 from cohortalloc.llm.secret_scan import op2_secret_scan
 from cohortalloc.llm.token_file import op5_token_file
 
@@ -14,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op5_token_file": op5_token_file,
     "op9_bpe_chunks": op9_bpe_chunks,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {}
