@@ -10,12 +10,14 @@ from cohortalloc.llm.bpe_chunks import op9_bpe_chunks
 from cohortalloc.llm.language_id import op10_language_id
 from cohortalloc.llm.order_minhash import op4_order_minhash
 from cohortalloc.llm.secret_scan import op2_secret_scan
+from cohortalloc.llm.soft_mixing import op8_soft_mixing
 from cohortalloc.llm.token_file import op5_token_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op4_order_minhash": op4_order_minhash,
     "op5_token_file": op5_token_file,
+    "op8_soft_mixing": op8_soft_mixing,
     "op9_bpe_chunks": op9_bpe_chunks,
     "op10_language_id": op10_language_id,
 }

@@ -46,7 +46,7 @@ STEP = 256
 BLOB_TOKENS = 1 << 18
 MAGIC = b"HUF1"
 #: Pieces kept per Python worker (about 200 bytes each).
-CACHE_PIECES = 400_000
+CACHE_PIECES = 300_000
 
 
 # fixed value: the split of the word-level vocabulary, for ASCII and Latin letters
