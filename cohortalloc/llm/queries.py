@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortalloc.llm.bpe_chunks import op9_bpe_chunks
+from cohortalloc.llm.fingerprint import op1_fingerprint
 from cohortalloc.llm.language_id import op10_language_id
 from cohortalloc.llm.order_minhash import op4_order_minhash
 from cohortalloc.llm.secret_scan import op2_secret_scan
@@ -14,6 +15,7 @@ from cohortalloc.llm.soft_mixing import op8_soft_mixing
 from cohortalloc.llm.token_file import op5_token_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_fingerprint": op1_fingerprint,
     "op2_secret_scan": op2_secret_scan,
     "op4_order_minhash": op4_order_minhash,
     "op5_token_file": op5_token_file,
