@@ -36,7 +36,7 @@ from cohortalloc.llm.common import id_bounds, range_of, shuffle_partitions, tabl
 
 SHINGLE = 5
 BINS = 256
-BITS = 4
+BITS = 8
 PROBES = 12
 #: Bits of a hash below its bin; all set: no shingle in the bin.
 LOW = 64 - BINS.bit_length() + 1
