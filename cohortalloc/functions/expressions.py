@@ -112,8 +112,17 @@ def safe_ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def round_half_even(col: Column, digits: int) -> Column:
-    """Ties-to-even rounding, the statistical-package convention."""
-    return F.bround(col, digits)
+    """Rounding as the statistics package does it: of the two neighbouring
+    decimals the one nearer in double arithmetic, the even one if equally near.
+    (0.15 gives 0.1, 0.25 gives 0.2, 2.45 gives 2.5.)
+    """
+    unit = F.lit(10.0**digits)
+    steps = F.floor(col * unit)
+    low, high = steps / unit, (steps + 1) / unit
+    below, above = col - low, high - col
+    return F.when((below < above) | ((below == above) & (steps % 2 == 0)), low).otherwise(
+        F.when(col.isNotNull(), high)
+    )
 
 
 def round_half_up(col: Column, digits: int) -> Column:

@@ -87,7 +87,7 @@ def _comparable_rows(enrollments: DataFrame, term_lookup: DataFrame) -> DataFram
         & F.col("term_code").endswith("F")
     ).select("class_nbr", strip_final_marker(F.col("term_code")).alias("k"))
     terms = term_lookup.select(F.col("term_code").alias("t_code"), "strm")
-    return enr.join(F.broadcast(terms), enr.k == terms.t_code)
+    return enr.join(terms, enr.k == terms.t_code)
 
 
 def comparable_terms(enrollments: DataFrame, term_lookup: DataFrame) -> DataFrame:
@@ -117,7 +117,7 @@ def unmatched_breakdown(
     under a NULL eligibility code with a NULL completed flag.
     """
     terms = comparable_terms(enrollments, term_lookup)
-    tl = F.broadcast(term_lookup.select(F.col("strm").alias("tl_strm"), F.col("term_code").alias("tl_term_code")))
+    tl = term_lookup.select(F.col("strm").alias("tl_strm"), F.col("term_code").alias("tl_term_code"))
     u = unmatched.join(terms, unmatched.time_strm == terms.strm, "left_semi")
     u = u.join(tl, u.time_strm == tl.tl_strm, "inner").select(
         "new_class_number", "time_strm", F.col("tl_term_code").alias("term_code"), "campus_id"

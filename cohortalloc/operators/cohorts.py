@@ -3,16 +3,15 @@
 The year matrix says, for every fiscal year FY, which three years feed it.
 Instead of looping over fiscal years, the facts are joined once to the
 unpivoted matrix (69 rows, broadcast) and aggregated with FY as a grouping
-key.  Grand totals "per FY" or "per (FY, model)" are window sums over the
-*aggregated* cohort rows: a window partition holds one row per (year,
-course) of the catalogue, however many enrollments stand behind them, so a
-hot model or course cannot make one task large.  (Joining an aggregate of a
-frame back to the same frame would re-run its whole lineage.)
+key.  Grand totals "per FY" or "per (FY, model)" are aggregates of the
+*aggregated* cohort rows (one row per year and course of the catalogue,
+however many enrollments stand behind them), joined back over the same,
+reused exchange.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortalloc.functions.expressions import ordered_sum, safe_ratio
@@ -115,10 +114,14 @@ def cohort_weights(hours: DataFrame, year_matrix: DataFrame) -> DataFrame:
         F.col("year_basis").alias("aggr_type"),
         F.col("status").alias("compl_status"),
     ).agg(F.sum("total_credit_hr_per_class").alias("cumul_total_cr_hours"))
-    # NULL model ids form one window partition, as they form one group.
-    per_model = Window.partitionBy("fiscal_year", "newid")
-    weighted = cumul.withColumn(
-        "grand_total_cr_hours", F.sum("cumul_total_cr_hours").over(per_model)
+    # totals as an aggregate of their own (partial sums first), joined back: a
+    # model with many courses is never one task's window.  NULL model ids form
+    # one group and meet it again (NULL-safe).
+    totals = cumul.groupBy(F.col("fiscal_year").alias("_fy"), F.col("newid").alias("_model")).agg(
+        F.sum("cumul_total_cr_hours").alias("grand_total_cr_hours")
+    )
+    weighted = cumul.join(
+        totals, (cumul.fiscal_year == totals._fy) & cumul.newid.eqNullSafe(totals._model)
     )
     return weighted.select(
         "newid",
@@ -237,8 +240,9 @@ def doctoral_rates(hours: DataFrame, year_matrix: DataFrame, totals: DataFrame)
     """Per (course, FY): the doctoral pool's dollars per credit hour.
 
     The cohort uses academic years whatever the FY's basis; the grand total is
-    over all courses of the FY (a window over the per-(FY, course) rows), so
-    the rate is the same for every course of an FY.
+    over all courses of the FY, so
+    the rate is the same for every course of an FY.  A fiscal year with
+    several totals has a rate for each.
     """
     slots = _cohorts(year_matrix).select("FY", "AY")
     # NULL-safe (AY is never NULL): keeps the shared basis subtree free of an
@@ -247,9 +251,11 @@ def doctoral_rates(hours: DataFrame, year_matrix: DataFrame, totals: DataFrame)
     cumul = joined.groupBy(F.col("FY").alias("fiscal_year"), "class_course").agg(
         F.sum("total_credit_hr_per_class").alias("cumul_total_cr_hours")
     )
-    weighted = cumul.withColumn(
-        "grand_total_cr_hours", F.sum("cumul_total_cr_hours").over(Window.partitionBy("fiscal_year"))
-    ).withColumn(
+    # one row per fiscal year of the matrix
+    grand = cumul.groupBy(F.col("fiscal_year").alias("_fy")).agg(
+        F.sum("cumul_total_cr_hours").alias("grand_total_cr_hours")
+    )
+    weighted = cumul.join(F.broadcast(grand), cumul.fiscal_year == grand._fy).withColumn(
         "credit_hours_weight",
         safe_ratio(F.col("cumul_total_cr_hours"), F.col("grand_total_cr_hours")),
     )

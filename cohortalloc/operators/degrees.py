@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortalloc.functions.expressions import exact_sum, round_half_even, round_half_up, safe_ratio
-from cohortalloc.operators.payouts import PAYOUT_YEARS, attach_by_year, attach_status, downgrade_missing
+from cohortalloc.operators.payouts import PAYOUT_YEARS, attach_status, downgrade_missing
 
 COMBO_COLUMNS = [
     "stdnt_emplid", "matchid", "completion_term", "plan_acad_plan_ld", "plan_acad_plan_code",
@@ -62,7 +62,8 @@ def _with_payout(combo: DataFrame, dollars: DataFrame, by_model: bool) -> DataFr
     cond = combo.degree_ocurred == dollars.d_fy - 1
     if by_model:
         cond = cond & (dollars.d_match == combo.matchid)
-    joined = combo.join(dollars, cond, "inner")
+    # without a model the dollars are a few rows per fiscal year
+    joined = combo.join(dollars if by_model else F.broadcast(dollars), cond, "inner")
     fy = F.col("d_fy").cast("int")
     return joined.select(
         *COMBO_COLUMNS,
@@ -98,17 +99,16 @@ def doctoral_degree_basis(
 def attach_degree_counts(basis: DataFrame, cohort_totals: DataFrame, by_model: bool = True) -> DataFrame:
     """Cohort degree counts for the three payout FYs (NULL when none)."""
     targets = dict(zip(COUNT_COLUMNS, PAYOUT_YEARS))
-    if by_model:
-        return attach_by_year(
-            basis, cohort_totals, ["matchid"], "fiscal_year", "total_degrees", targets
-        )
-    # one row per matrix FY at most: broadcast
+    # by model: keyed by (model, FY), so that a model's degrees spread over the
+    # years; over all models: one row per matrix FY at most, broadcast
     out = basis
     for col, year in targets.items():
-        t = F.broadcast(
-            cohort_totals.select(F.col("fiscal_year").alias("_fy"), F.col("total_degrees").alias(col))
-        )
-        out = out.join(t, out[year] == t._fy, "left").drop("_fy")
+        keys = [F.col("matchid").alias("_model")] if by_model else []
+        t = cohort_totals.select(*keys, F.col("fiscal_year").alias("_fy"), F.col("total_degrees").alias(col))
+        cond = out[year] == t._fy
+        if by_model:
+            cond = cond & out.matchid.eqNullSafe(t._model)
+        out = out.join(t if by_model else F.broadcast(t), cond, "left").drop("_fy", "_model")
     return out
 
 
@@ -132,7 +132,8 @@ def attach_degree_dollars(rows: DataFrame, by_model: bool = True) -> DataFrame:
         cond = out[year] == t._a_fy
         for k in keys:
             cond = cond & out[k].eqNullSafe(t[f"_a_{k}"])
-        out = out.join(t, cond, "left").drop("_a_fy", *[f"_a_{k}" for k in keys])
+        # without a model the table has the totals of the calendar's years only
+        out = out.join(t if keys else F.broadcast(t), cond, "left").drop("_a_fy", *[f"_a_{k}" for k in keys])
     return out
 
 

@@ -3,9 +3,8 @@
 An enrollment is paid in three fiscal years (y1, y2, y3).  Looking a rate up
 for each of them with three joins would shuffle the large side three times
 when the rate table is too big to broadcast.  :func:`attach_by_year` instead
-folds the rate table to one row per key holding a ``year -> value`` map (at
-most one entry per matrix year), joins once, and reads the three years from
-the map.
+folds the rate table to one row per key holding its values by year, joins
+once, and reads the three years from there.
 """
 
 from __future__ import annotations
@@ -51,26 +50,30 @@ def attach_by_year(
 ) -> DataFrame:
     """Left-join ``table[value_col]`` for several year columns of ``rows`` at once.
 
-    ``table`` must be unique on ``keys + [year_col]`` (it is, by construction,
-    for every caller: it comes out of a ``groupBy`` on those columns); a
-    duplicate raises instead of silently choosing a value.  ``targets`` maps
-    each output column to the year column of ``rows`` to look up.  Keys are
-    matched NULL-safely, like the data-frame joins of the published rule.
+    ``targets`` maps each output column to the year column of ``rows`` to look
+    up.  Keys are matched NULL-safely, like the data-frame joins of the
+    published rule; several values for one key and year fan a row out, once
+    per target, as one left join per target would.  The folded table holds
+    the values of a key by year, so the rows are joined (and shuffled) once.
     """
     prefixed = {k: f"_lk_{k}" for k in keys}
-    folded = table.groupBy(*[F.col(k).alias(prefixed[k]) for k in keys]).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(year_col), F.col(value_col)))).alias(
-            "_lk_map"
-        )
+    held = [F.col(k).alias(prefixed[k]) for k in keys]
+    by_year = table.groupBy(*held, F.col(year_col).alias("_lk_year")).agg(
+        # wrapped: a NULL value is a match too
+        F.collect_list(F.struct(F.col(value_col).alias("v"))).alias("_lk_values")
+    )
+    folded = by_year.where(F.col("_lk_year").isNotNull()).groupBy(*prefixed.values()).agg(
+        F.map_from_entries(F.collect_list(F.struct("_lk_year", "_lk_values"))).alias("_lk_map")
     )
     cond = None
     for k in keys:
         c = rows[k].eqNullSafe(folded[prefixed[k]])
         cond = c if cond is None else cond & c
-    joined = rows.join(folded, cond, "left")
-    return joined.withColumns(
-        {out: F.try_element_at(F.col("_lk_map"), F.col(year)) for out, year in targets.items()}
-    ).drop("_lk_map", *prefixed.values())
+    out = rows.join(folded, cond, "left")
+    for name, year in targets.items():
+        out = out.withColumn("_lk_hit", F.explode_outer(F.try_element_at(F.col("_lk_map"), F.col(year))))
+        out = out.withColumn(name, F.col("_lk_hit.v"))
+    return out.drop("_lk_map", "_lk_hit", *prefixed.values())
 
 
 def attach_status(rows: DataFrame, year_matrix: DataFrame, y1: str = "ssi_payout_y1", y3: str = "ssi_payout_y3") -> DataFrame:
@@ -111,7 +114,7 @@ def attach_course_payouts(rows: DataFrame, rates_by_year: DataFrame, key_by: str
 
     The rate table is keyed by the year the credit was earned while the
     lookup uses the payout fiscal year; that is the published rule and the
-    default.  (``key_by`` only names the table's year column.)
+    default.  ``key_by='fiscal_year'`` reads rates summed by fiscal year.
     """
     return attach_by_year(
         rows,

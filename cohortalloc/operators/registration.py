@@ -72,7 +72,7 @@ def eligible_enrollments(
 ) -> DataFrame:
     """Final ('F'-suffixed) enrollment rows with subsidy_eligible_code = 1.
 
-    The term lookup is broadcast: it has a handful of rows per calendar year.
+    Whether the term lookup is broadcast is left to its measured size.
     ``newid`` is the raw model id (subject || level || model, NULL if any
     part is NULL).
     """
@@ -87,7 +87,7 @@ def eligible_enrollments(
         "strm",
         F.col("term_year").cast("int").alias("calendar_year"),
     )
-    joined = enr.join(F.broadcast(terms), enr.upd_term_code == terms.tl_term_code)
+    joined = enr.join(terms, enr.upd_term_code == terms.tl_term_code)
     return joined.select(
         "class_nbr",
         "student_pid",

@@ -29,13 +29,19 @@ def _round(df: DataFrame, digits: int, cols: list[str]) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), digits) for c in cols})
 
 
+def published(df: DataFrame) -> DataFrame:
+    """Decimal columns (credit hours and their sums) as doubles."""
+    decimals = [f.name for f in df.schema.fields if f.dataType.typeName() == "decimal"]
+    return df.withColumns({c: F.col(c).cast("double") for c in decimals})
+
+
 def _stage(
     name: str,
     round_cols: tuple[list[str], int] | None = None,
     order_by: list[str] | None = None,
 ):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = getattr(allocation(spark, sf_dir), name)
+        df = published(getattr(allocation(spark, sf_dir), name))
         if round_cols:
             cols, digits = round_cols
             df = _round(df, digits, cols)
@@ -65,7 +71,7 @@ def _models_only_in_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _recoded_course_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = allocation(spark, sf_dir, course_recode=True).course_completeness
-    return _round(df, RATE_DIGITS, COURSE_AMOUNT_COLS[:3])
+    return _round(published(df), RATE_DIGITS, COURSE_AMOUNT_COLS[:3])
 
 
 def _derived_overlap_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +95,7 @@ def _clean_text_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def seeded_text(regs: DataFrame) -> DataFrame:
     """Registration text fields seeded, by key, with padding, blanks and 'NULL'."""
-    k = F.col("class_crse_id") % 5
+    k = F.col("class_crse_id").cast("long") % 5
     title = F.col("class_title_ld")
     raw_title = (
         F.when(k == 0, F.concat(F.lit("  "), title, F.lit("   ")))

@@ -29,11 +29,13 @@ from pyspark.sql.types import (
 
 from cohortalloc.functions.expressions import clean_model_id, strict_concat
 from cohortalloc.sources.lookups import read_payout_matrix, read_year_matrix
-from cohortalloc.sources.readers import Sources, spread
+from cohortalloc.sources import schemas
+from cohortalloc.sources.readers import Sources, conform
 
 INSTITUTIONS = ("INST", "OTHR")
 FIXTURE_FY_RANGE = (2014, 2026)
 N_PLANS = 60
+SECOND_TOTAL_FY = 2017
 N_MATCH_IDS = 15
 
 # --- Fixed values of the fixture mapping ------------------------------------
@@ -148,13 +150,9 @@ class FixtureViews:
 
     @cached_property
     def base(self) -> DataFrame:
-        li = spread(
-            self._table(
-                "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
-            ),
-            "l_orderkey",
-            "l_linenumber",
+        li = self._table(
+            "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+            "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
         )
         orders = self._table(
             "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
@@ -179,19 +177,21 @@ class FixtureViews:
 
     @cached_property
     def registrations(self) -> DataFrame:
-        return self.base.select(
-            F.col("l_partkey").alias("class_crse_id"),
-            F.expr("l_partkey % 1000").alias("class_number"),
+        rows = self.base.select(
+            F.expr("lpad(CAST(l_partkey AS STRING), 7, '0')").alias("class_crse_id"),
+            F.expr("lpad(CAST(l_partkey % 1000 AS STRING), 3, '0')").alias("class_number"),
             F.col("strm").alias("time_strm"),
             F.expr("concat(p_brand, ' ', CAST(p_size AS STRING))").alias("class_course"),
             F.col("p_name").alias("class_title_ld"),
-            F.col("o_custkey").alias("stdnt_emplid"),
+            F.expr("lpad(CAST(o_custkey AS STRING), 8, '0')").alias("stdnt_emplid"),
             F.col("pid").alias("campus_id"),
-            F.expr("CAST(l_linenumber - 1 AS INT)").alias("credit_hours"),
+            # half hours for every fourth part
+            F.expr("CAST(l_linenumber - 1 + CASE WHEN l_partkey % 4 = 0 THEN 0.5 ELSE 0 END AS DOUBLE)").alias("credit_hours"),
             grade("l_quantity").alias("class_grade"),
             career("c_mktsegment").alias("stdnt_acad_career_cd"),
             F.expr("CAST(ay AS STRING)").alias("time_academic_yr"),
         )
+        return conform(rows, schemas.REGISTRATIONS)
 
     @cached_property
     def enrollments(self) -> DataFrame:
@@ -266,18 +266,21 @@ class FixtureViews:
             .cast("double")
             .alias("degrees"),
         )
-        return per_year.select(
+        totals = per_year.select(
             F.explode(F.array(*map(F.lit, INSTITUTIONS))).alias("inst"),
             (F.col("ay") + 1).cast("int").alias("fiscal_year"),
             "completed_fte",
             "degrees",
         )
+        # one fiscal year carries a second course total (the degree total is the same)
+        again = totals.where(F.col("fiscal_year") == SECOND_TOTAL_FY)
+        return totals.unionByName(again.withColumn("completed_fte", F.col("completed_fte") + 1000))
 
     @cached_property
     def completions(self) -> DataFrame:
         b = self.base.where(F.col("o_orderstatus") == "F")
-        return b.select(
-            F.col("o_custkey").alias("stdnt_emplid"),
+        rows = b.select(
+            F.expr("lpad(CAST(o_custkey AS STRING), 8, '0')").alias("stdnt_emplid"),
             F.col("strm").alias("completion_term"),
             F.col("ay").alias("time_academic_year"),
             F.col("c_mktsegment").alias("plan_acad_plan_ld"),
@@ -286,6 +289,7 @@ class FixtureViews:
             ),
             F.when(F.col("o_orderpriority") == "1-URGENT", "PHD").otherwise("BA").alias("degree_cd"),
         )
+        return conform(rows, schemas.COMPLETIONS)
 
     @cached_property
     def acad_plans(self) -> DataFrame:

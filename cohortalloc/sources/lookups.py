@@ -78,29 +78,28 @@ PAYOUT_MATRIX_ROWS = [
 OVERLAP_YEARS = (2018, 2019, 2020)
 # -----------------------------------------------------------------------------
 
-# Upper bound on rows accepted from a user-supplied lookup CSV.  One row per
-# year: anything larger is not a year table and must not be broadcast.
-MAX_LOOKUP_ROWS = 1000
-
-
 def _csv_frame(spark: SparkSession, path: str, schema) -> DataFrame:
     """A lookup table from a header CSV (Spark drops a UTF-8 byte-order mark).
 
-    The lookups are broadcast wherever they are joined, so a user-supplied
-    file is size-checked once here (a count of a small config file) instead
-    of being trusted.
+    Read lazily; :func:`repeated_years` tells whether a year has several rows.
     """
-    df = (
+    return (
         spark.read.option("header", True)
         .option("mode", "FAILFAST")
         .option("encoding", "UTF-8")
         .schema(schema)
         .csv(path)
     )
-    n = df.limit(MAX_LOOKUP_ROWS + 1).count()
-    if n > MAX_LOOKUP_ROWS:
-        raise ValueError(f"{path}: more than {MAX_LOOKUP_ROWS} rows; not a yearly lookup table")
-    return df
+
+
+def repeated_years(year_matrix: DataFrame, payout_matrix: DataFrame) -> DataFrame:
+    """(lookup, year, n_rows) of years that have several rows in a lookup; none in a sound one."""
+    found = [
+        df.groupBy(F.col(key).alias("year")).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
+        .select(F.lit(name).alias("lookup"), "year", "n_rows")
+        for name, df, key in (("year_matrix", year_matrix, "FY"), ("payout_matrix", payout_matrix, "year"))
+    ]
+    return found[0].unionByName(found[1])
 
 
 def _sql_literal(v) -> str:

@@ -8,67 +8,68 @@ from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import (
+    DataType,
+    DoubleType,
+    FloatType,
+    NumericType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from cohortalloc.sources import schemas
 from cohortalloc.sources.lookups import read_payout_matrix, read_year_matrix
 
 
+def _same_value(col: Column, cast: Column, source: DataType, target: DataType) -> Column:
+    """Whether a cast kept the value: numbers by value, everything else by its way back."""
+    if isinstance(target, NumericType) and isinstance(source, (NumericType, StringType)):
+        exact = "decimal(38,18)"
+        if isinstance(target, (DoubleType, FloatType)):
+            return cast.isNotNull()  # any number has a double; unparsable text has none
+        return col.try_cast(exact) == cast.try_cast(exact)
+    return cast.try_cast(source) == col
+
+
 def conform(df: DataFrame, schema: StructType, lenient: bool = False) -> DataFrame:
     """Select exactly the schema's columns, cast to its types.
 
-    ``lenient=True`` turns unparsable text into NULL (``try_cast``); the
-    default raises, so that a bad year code is never silently dropped.
+    A cast that would change a value (a fraction cut off, text that is no
+    number) raises, so that nothing is silently lost; ``lenient=True`` turns
+    such values into NULL instead.
     """
     cols = []
     for field in schema.fields:
-        col = F.col(field.name)
-        if df.schema[field.name].dataType != field.dataType:
-            col = col.try_cast(field.dataType) if lenient else col.cast(field.dataType)
+        col, source = F.col(field.name), df.schema[field.name].dataType
+        if source != field.dataType:
+            cast = col.try_cast(field.dataType)
+            if not isinstance(field.dataType, StringType):
+                lost = col.isNotNull() & ~F.coalesce(_same_value(col, cast, source, field.dataType), F.lit(False))
+                if lenient:
+                    cast = F.when(~lost, cast)
+                else:
+                    said = F.concat(F.lit(f"{field.name}: cannot keep as {field.dataType.simpleString()}: "), col.cast("string"))
+                    cast = F.when(lost, F.raise_error(said).cast(field.dataType)).otherwise(cast)
+            col = cast
         cols.append(col.alias(field.name))
     return df.select(*cols)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Guarantee scan parallelism for a fact table.
-
-    A file stored as one large row group is read by one task, and every
-    narrow operator after the scan (projections, broadcast joins, partial
-    aggregates) then runs on one core.  If the scan yields fewer splits than
-    the cluster's default parallelism, spread the rows over that many
-    partitions by a hash of ``keys`` (high-cardinality columns: balanced,
-    and deterministic on a task retry without the sort a round-robin
-    repartition needs).  On a real data set with many splits this is a
-    no-op.  The split count comes from planning only; no data is read.
-    """
-    try:
-        parallelism = df.sparkSession.sparkContext.defaultParallelism
-        # planned partitions of the JVM plan (no Python RDD wrapper is built)
-        splits = df._jdf.rdd().getNumPartitions()
-    except Exception:  # sessions without JVM access (e.g. Spark Connect)
-        return df
-    if splits >= parallelism:
-        return df
-    return df.repartition(parallelism, *keys) if keys else df.repartition(parallelism)
-
-
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     df = spark.read.parquet(path)
     return conform(df, schema) if schema is not None else df
 
 
-def read_csv(
-    spark: SparkSession, path: str, schema: StructType, null_text: str = "NULL"
-) -> DataFrame:
-    """Header CSV with an explicit schema (no inference pass over the data)."""
-    return (
-        spark.read.option("header", True)
-        .option("nullValue", null_text)
-        .option("ignoreTrailingWhiteSpace", True)
-        .option("mode", "FAILFAST")
-        .schema(schema)
-        .csv(path)
-    )
+def read_csv(spark: SparkSession, path: str, schema: StructType, widths: dict[str, int] | None = None) -> DataFrame:
+    """Header CSV: every field read as text, cleaned (:func:`clean_text`), then cast.
+
+    No inference pass; blank lines are skipped.  The text ``NULL`` alone is
+    NULL; with blanks before it, it is text.
+    """
+    names = StructType([StructField(f.name, StringType(), True) for f in schema.fields])
+    raw = spark.read.option("header", True).option("mode", "FAILFAST").schema(names).csv(path)
+    return conform(clean_strings(raw, widths), schema)
 
 
 def read_jdbc(

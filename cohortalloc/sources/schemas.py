@@ -7,6 +7,7 @@ implicit text/number coercion.
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    DecimalType,
     DoubleType,
     IntegerType,
     LongType,
@@ -21,6 +22,8 @@ def _schema(*fields: tuple[str, object]) -> StructType:
 
 
 S, I, L, D = StringType(), IntegerType(), LongType(), DoubleType()
+# credit hours may be fractional; ids are text (leading zeros, letters)
+HOURS = DecimalType(9, 2)
 
 YEAR_MATRIX = _schema(
     ("FY", I), ("AY_1", I), ("AY_2", I), ("AY_3", I),
@@ -33,8 +36,8 @@ PAYOUT_MATRIX = _schema(
 )
 
 REGISTRATIONS = _schema(
-    ("class_crse_id", L), ("class_number", L), ("time_strm", I), ("class_course", S),
-    ("class_title_ld", S), ("stdnt_emplid", L), ("campus_id", S), ("credit_hours", I),
+    ("class_crse_id", S), ("class_number", S), ("time_strm", I), ("class_course", S),
+    ("class_title_ld", S), ("stdnt_emplid", S), ("campus_id", S), ("credit_hours", HOURS),
     ("class_grade", S), ("stdnt_acad_career_cd", S), ("time_academic_yr", S),
 )
 
@@ -55,7 +58,7 @@ DOCTORAL_SUBSIDY = _schema(
 )
 
 COMPLETIONS = _schema(
-    ("stdnt_emplid", L), ("completion_term", I), ("time_academic_year", I),
+    ("stdnt_emplid", S), ("completion_term", I), ("time_academic_year", I),
     ("plan_acad_plan_ld", S), ("plan_acad_plan_code", S), ("degree_cd", S),
 )
 
