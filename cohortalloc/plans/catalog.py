@@ -8,13 +8,18 @@ result does not depend on the order in which partitions are added.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from cohortalloc.plans.pipelines import Allocation
+from cohortalloc.session import configured_checkpoint_dir
+from cohortalloc.sinks.writers import append_table, create_table, overwrite_table, write_csv
 from cohortalloc.sources.fixtures import fixture_sources
+from cohortalloc.sources.readers import read_csv
 
 FIXTURE_INSTITUTION = "INST"
 RATE_DIGITS = 6
@@ -93,6 +98,44 @@ def _clean_text_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _shared_path(spark: SparkSession, name: str) -> str:
+    """A new folder on the shared storage of the session."""
+    root = configured_checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+def _csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seeded registration text written as CSV and read back: cleaned, then cast."""
+    seeded = seeded_text(fixture_sources(spark, sf_dir).registrations)
+    path = _shared_path(spark, "csv-load")
+    write_csv(seeded, path)
+    schema = StructType([StructField(f.name, f.dataType, True) for f in seeded.schema.fields])
+    return read_csv(spark, path, schema, widths={"raw_title": 12})
+
+
+def _table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The degree table created, loaded, loaded again and appended to; rows counted by source."""
+    alloc = allocation(spark, sf_dir)
+    table = f"load_{uuid.uuid4().hex}"
+    degrees = alloc.degree_subsidy.withColumn("source", F.lit("degree"))
+    create_table(spark, degrees, table)
+    overwrite_table(degrees, table)
+    overwrite_table(degrees, table)
+    append_table(spark, alloc.doctoral_degree_subsidy.withColumn("source", F.lit("doctoral_degree")), table)
+    return spark.table(table).groupBy("source", "complete_flag").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("total_all_three_years_ssi_per_degree").alias("n_totals")
+    )
+
+
+def _rates_by_fiscal_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = allocation(spark, sf_dir, rate_key="fiscal_year").course_payouts
+    return _round(published(df), RATE_DIGITS, COURSE_AMOUNT_COLS[:3])
+
+
+def _latest_inventory_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return allocation(spark, sf_dir, clean_inventory_ids=True).latest_inventory
+
+
 def seeded_text(regs: DataFrame) -> DataFrame:
     """Registration text fields seeded, by key, with padding, blanks and 'NULL'."""
     k = F.col("class_crse_id").cast("long") % 5
@@ -101,7 +144,7 @@ def seeded_text(regs: DataFrame) -> DataFrame:
         F.when(k == 0, F.concat(F.lit("  "), title, F.lit("   ")))
         .when(k == 1, F.lit(""))
         .when(k == 2, F.lit("NULL"))
-        .when(k == 3, F.lit("    "))
+        .when(k == 3, F.when(F.col("time_strm") % 2 == 0, F.lit("    ")).otherwise(F.lit(" NULL")))
         .otherwise(F.concat(title, F.lit(" "), title))
     )
     raw_grade = F.when(k == 2, F.lit("NULL")).otherwise(F.concat(F.col("class_grade"), F.lit(" ")))
@@ -167,4 +210,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "class_number_lengths": _stage("class_number_lengths"),
     "unmatched_breakdown": _stage("unmatched_breakdown"),
     "clean_text_load": _clean_text_load,
+    "csv_load": _csv_load,
+    "table_load": _table_load,
+    "course_payouts_by_fiscal_year": _rates_by_fiscal_year,
+    "latest_inventory_cleaned": _latest_inventory_cleaned,
 }

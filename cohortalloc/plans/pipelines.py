@@ -4,9 +4,8 @@
 Every attribute is a DataFrame; nothing runs until a caller writes or
 collects one.  Intermediate frames that several outputs share (the matched
 registrations) appear once in each plan and Spark reuses the exchange; a
-caller that writes several outputs in one job can ``persist_shared()`` them
-first, or cut lineage to the shared checkpoint folder with
-``checkpoint_shared()``.
+caller that writes several outputs first cuts their lineage to the shared
+checkpoint folder with ``checkpoint_shared()``.
 """
 
 from __future__ import annotations
@@ -45,6 +44,9 @@ class Allocation:
     overlap            'literal' (fixed 3/4 years) or 'derived' (from the matrix)
     course_recode      downgrade course rows whose payout amount is missing
     times_credit_hours multiply the course amounts by the row's credit hours
+    rate_key           'acad_year' (rates by the year credit was earned, as
+                       published) or 'fiscal_year' (rates by the year paid)
+    clean_inventory_ids  compare cleaned model ids of the inventory in the audits
     """
 
     def __init__(
@@ -54,12 +56,17 @@ class Allocation:
         overlap: str = "literal",
         course_recode: bool = False,
         times_credit_hours: bool = False,
+        rate_key: str = "acad_year",
+        clean_inventory_ids: bool = False,
     ):
         self.src = sources
         self.institution = institution
         self.overlap = overlap
         self.course_recode = course_recode
         self.times_credit_hours = times_credit_hours
+        self.rate_key = rate_key
+        self.clean_inventory_ids = clean_inventory_ids
+        self._kept: set[str] = set()
 
     # --- shared registration stages -------------------------------------------
 
@@ -131,7 +138,11 @@ class Allocation:
 
     @cached_property
     def course_payouts(self) -> DataFrame:
-        return payouts.attach_course_payouts(self.payout_years, self.rate_by_acad_year)
+        if self.rate_key == "fiscal_year":
+            rates = cohorts.rate_by_fiscal_year(self.allocated_rates)
+        else:
+            rates = self.rate_by_acad_year
+        return payouts.attach_course_payouts(self.payout_years, rates, self.rate_key)
 
     @cached_property
     def course_completeness(self) -> DataFrame:
@@ -296,7 +307,7 @@ class Allocation:
 
     @cached_property
     def latest_inventory(self) -> DataFrame:
-        return audit.latest_inventory(self.src.course_inventory)
+        return audit.latest_inventory(self.src.course_inventory, self.clean_inventory_ids)
 
     @cached_property
     def model_id_set_difference(self) -> tuple[DataFrame, DataFrame]:
@@ -328,13 +339,14 @@ class Allocation:
 
     # --- materialisation ------------------------------------------------------------------
 
-    def persist_shared(self) -> None:
-        """Keep the matched registrations in executor memory/disk for reuse."""
-        from pyspark import StorageLevel
-
-        self.__dict__["matched"] = self.matched.persist(StorageLevel.MEMORY_AND_DISK)
+    def checkpoint(self, *names: str) -> None:
+        """Write the named frames to the checkpoint folder (reliable, survives
+        executor loss), once, and read them back with a short lineage."""
+        for name in names:
+            if name not in self._kept:
+                self.__dict__[name] = getattr(self, name).checkpoint(eager=True)
+                self._kept.add(name)
 
     def checkpoint_shared(self) -> None:
-        """Write the matched registrations to the checkpoint folder (reliable,
-        survives executor loss) and read them back with a short lineage."""
-        self.__dict__["matched"] = self.matched.checkpoint(eager=True)
+        """Checkpoint the matched registrations, which all course outputs read."""
+        self.checkpoint("matched")

@@ -3,47 +3,75 @@
     python -m cohortalloc.plans.run --tables <root> --institution <code> --out <root>
 
 Reads the ten source tables under ``--tables`` (``<root>/<table>``, parquet
-by default), computes the four pipelines, and writes
+by default), computes the four pipelines, and writes under ``--out``
 
-    course_subsidy            course rows (overwrite: the table is rebuilt)
-    degree_subsidy            degree rows (overwrite)
-    combined_course_table     course + doctoral course rows, aligned by name
-    combined_degree_table     degree + doctoral degree rows, aligned by name
+    course_subsidy, doctoral_subsidy, degree_subsidy, doctoral_degree_subsidy
+    combined_course_table     the course rows, doctoral course rows appended
+    combined_degree_table     the degree rows, doctoral degree rows appended
     course_reconciliation     allocated vs recognised dollars
-    *_stats / *_flag_check    data-quality reports
+    audits                    statistics, flag, range and model-id checks
 
-The matched registrations feed both the cohort aggregation and the
-enrollment-grain payouts; when the session names a shared
-``spark.checkpoint.dir`` they are checkpointed there once (reliable storage:
-an executor lost later does not force the large join to be recomputed).
+The matched registrations feed every course output.  They are written once
+to the cluster's ``spark.checkpoint.dir`` (an executor lost later does not
+force the large join to be recomputed), and so are the two subsidy frames
+that a combined table shares with its own output; without that setting the
+run refuses to start.
 """
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortalloc.plans.pipelines import Allocation
 from cohortalloc.session import configured_checkpoint_dir
-from cohortalloc.sinks.writers import write_csv, write_parquet
+from cohortalloc.sinks.writers import align_to, write_csv, write_parquet
+from cohortalloc.sources.lookups import repeated_years
 from cohortalloc.sources.readers import load_tables
 
+#: Combined outputs: the frame a table is loaded with, the frame appended, the source marks.
+COMBINED = {
+    "combined_course_table": ("course_subsidy", "course", "doctoral_subsidy", "doctoral_course"),
+    "combined_degree_table": ("degree_subsidy", "degree", "doctoral_degree_subsidy", "doctoral_degree"),
+}
+AUDITS = (
+    "degree_stats",
+    "doctoral_degree_stats",
+    "degree_flag_check",
+    "doctoral_degree_flag_check",
+    "rate_range_check",
+    "doctoral_minimum_check",
+    "models_only_in_dollars",
+    "models_only_in_inventory",
+    "model_id_discrepancies",
+    "unmatched_breakdown",
+    "class_number_lengths",
+    "repeated_years",
+)
 OUTPUTS = (
     "course_subsidy",
     "doctoral_subsidy",
     "degree_subsidy",
     "doctoral_degree_subsidy",
-    "combined_course_table",
-    "combined_degree_table",
+    *COMBINED,
     "course_reconciliation",
-    "degree_stats",
-    "doctoral_degree_stats",
-    "degree_flag_check",
-    "doctoral_degree_flag_check",
+    *AUDITS,
 )
 
 
+def output(alloc: Allocation, name: str) -> DataFrame:
+    """One output frame by name."""
+    if name == "models_only_in_dollars":
+        return alloc.model_id_set_difference[0]
+    if name == "models_only_in_inventory":
+        return alloc.model_id_set_difference[1]
+    if name == "repeated_years":
+        return repeated_years(alloc.src.year_matrix, alloc.src.payout_matrix)
+    return getattr(alloc, name)
+
+
 def run(
     spark: SparkSession,
     alloc: Allocation,
@@ -52,16 +80,24 @@ def run(
     outputs: tuple[str, ...] = OUTPUTS,
 ) -> dict[str, str]:
     """Write each requested output under ``out_root``; returns name -> path."""
-    if configured_checkpoint_dir(spark):
-        alloc.checkpoint_shared()
+    if not configured_checkpoint_dir(spark):
+        raise ValueError("spark.checkpoint.dir must name a shared folder: the run keeps its shared frames there")
+    alloc.checkpoint_shared()
+    root = out_root.rstrip("/")
+    write = write_csv if fmt == "csv" else write_parquet
     written = {}
     for name in outputs:
-        df = getattr(alloc, name)
-        path = f"{out_root.rstrip('/')}/{name}"
-        if fmt == "csv":
-            write_csv(df, path)
+        path = f"{root}/{name}"
+        if name in COMBINED:
+            base, mark, more, other = COMBINED[name]
+            alloc.checkpoint(base, more)
+            first = getattr(alloc, base).withColumn("source", F.lit(mark))
+            second = getattr(alloc, more).withColumn("source", F.lit(other))
+            kinds = {f.name: f.dataType.simpleString() for f in first.schema.fields}
+            write(first, path)  # replaces the table of the last run
+            write(align_to(second, first.columns, kinds), path, mode="append")
         else:
-            write_parquet(df, path)
+            write(output(alloc, name), path)
         written[name] = path
     return written
 
@@ -76,6 +112,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--year-matrix", default=None, help="CSV replacing the built-in year matrix")
     parser.add_argument("--payout-matrix", default=None, help="CSV replacing the built-in payout matrix")
     parser.add_argument("--overlap", default="literal", choices=["literal", "derived"])
+    parser.add_argument("--rate-key", default="acad_year", choices=["acad_year", "fiscal_year"])
+    parser.add_argument("--course-recode", action="store_true", help="flag course rows without an amount incomplete")
+    parser.add_argument("--times-credit-hours", action="store_true", help="multiply course amounts by credit hours")
+    parser.add_argument("--clean-inventory-ids", action="store_true", help="clean model ids of the inventory, too")
     args = parser.parse_args(argv)
 
     from cohortalloc.session import build_session
@@ -84,7 +124,15 @@ def main(argv: list[str] | None = None) -> None:
     sources = load_tables(
         spark, args.tables, args.source_format, args.year_matrix, args.payout_matrix
     )
-    alloc = Allocation(sources, args.institution, overlap=args.overlap)
+    alloc = Allocation(
+        sources,
+        args.institution,
+        overlap=args.overlap,
+        rate_key=args.rate_key,
+        course_recode=args.course_recode,
+        times_credit_hours=args.times_credit_hours,
+        clean_inventory_ids=args.clean_inventory_ids,
+    )
     for name, path in run(spark, alloc, args.out, args.format).items():
         print(f"{name}\t{path}")
 

@@ -1,26 +1,56 @@
 """Writing pipeline outputs: CSV export, table create / overwrite / append.
 
 All writers are parallel ``DataFrame.write`` calls: each task writes its own
-part file, nothing passes through the driver.  Overwrite is a single atomic
-job (there is no separate truncate that could leave an empty table behind
-when the load fails), and errors propagate to the caller.
+part file, nothing passes through the driver.  An overwrite first writes the
+new rows beside the old ones and switches by renaming once they are
+complete: when a load fails, the old rows stay readable.  Errors propagate
+to the caller.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _replace_folder(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Write a new folder beside ``path``, then take its name; the old one goes last."""
+    mark = uuid.uuid4().hex
+    fresh, old = f"{path.rstrip('/')}.new-{mark}", f"{path.rstrip('/')}.old-{mark}"
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at, new, before = (jvm.org.apache.hadoop.fs.Path(x) for x in (path, fresh, old))
+    fs = at.getFileSystem(conf)
+    try:
+        write(fresh)
+    except Exception:
+        fs.delete(new, True)
+        raise
+    replaced = fs.exists(at)
+    if replaced and not fs.rename(at, before):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(new, at):
+        if replaced:
+            fs.rename(before, at)
+        raise OSError(f"cannot put the new rows at {path}")
+    if replaced:
+        fs.delete(before, True)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Header CSV with NULL written as an empty field (a directory of parts)."""
-    (
-        df.write.mode(mode)
-        .option("header", True)
-        .option("nullValue", "")
-        .option("emptyValue", "")
-        .csv(path)
-    )
+
+    def write(to: str, mode: str = "error") -> None:
+        options = {"header": True, "nullValue": "", "emptyValue": ""}
+        options |= {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}  # blanks are data
+        df.write.mode(mode).options(**options).csv(to)
+
+    if mode == "overwrite":
+        _replace_folder(df.sparkSession, path, write)
+    else:
+        write(path, mode)
 
 
 def create_table(spark: SparkSession, df: DataFrame, table: str, fmt: str = "parquet") -> None:
@@ -29,8 +59,25 @@ def create_table(spark: SparkSession, df: DataFrame, table: str, fmt: str = "par
 
 
 def overwrite_table(df: DataFrame, table: str, fmt: str = "parquet") -> None:
-    """Replace the table's contents with ``df`` in one job."""
-    df.write.format(fmt).mode("overwrite").saveAsTable(table)
+    """Replace the table's contents with ``df``: loaded into a new table that then takes the name."""
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    fresh, old = f"{table}_new_{mark}", f"{table}_old_{mark}"
+    try:
+        df.write.format(fmt).mode("error").saveAsTable(fresh)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        raise
+    replaced = spark.catalog.tableExists(table)
+    if replaced:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    except Exception:
+        if replaced:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        raise
+    if replaced:
+        spark.sql(f"DROP TABLE {old}")
 
 
 def align_to(df: DataFrame, columns: list[str], types: dict[str, str] | None = None) -> DataFrame:
@@ -75,7 +122,14 @@ def append_table(spark: SparkSession, df: DataFrame, table: str, fmt: str = "par
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
     """Columnar output, optionally partitioned (e.g. by first payout year)."""
-    writer = df.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+
+    def write(to: str, mode: str = "error") -> None:
+        writer = df.write.mode(mode)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(to)
+
+    if mode == "overwrite":
+        _replace_folder(df.sparkSession, path, write)
+    else:
+        write(path, mode)

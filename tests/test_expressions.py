@@ -61,8 +61,17 @@ def test_per_degree_average_rounds_before_adding(spark):
     assert round(sum(vals), 6) == 58.3
 
 
-def test_round_half_even_on_exact_tie(spark):
-    assert _col(spark, [(0.25,)], "x double", round_half_even(F.col("x"), 1)) == [0.2]
+def test_round_half_even_picks_the_nearer_decimal(spark):
+    # golden values of the statistics package
+    values = [(0.15,), (0.25,), (0.35,), (2.45,), (0.75,), (-0.25,), (-0.15,), (12.0,), (33.333,), (None,)]
+    got = _col(spark, values, "x double", round_half_even(F.col("x"), 1))
+    assert got == [0.1, 0.2, 0.3, 2.5, 0.8, -0.2, -0.1, 12.0, 33.3, None]
+
+
+def test_passing_grades_are_the_published_ones():
+    from cohortalloc.functions.expressions import PASSING_GRADES
+
+    assert set(PASSING_GRADES) == set("A A- B+ B B- C+ C C- D+ D D- CR P S".split())
 
 
 def test_safe_ratio_zero_denominator(spark):

@@ -78,11 +78,25 @@ def test_attach_by_year_reads_three_years_in_one_join(spark):
     assert got == {1: (1.5, None, 2.5), 2: (None, 9.0, None), 3: (None, None, None)}
 
 
-def test_attach_by_year_rejects_duplicate_keys(spark):
-    rows = spark.createDataFrame([(1, "C", 2020)], "id int, class_course string, ssi_payout_y1 int")
-    dup = spark.createDataFrame([("C", 2020, 1.0), ("C", 2020, 2.0)], "class_course string, fiscal_year int, v double")
-    with pytest.raises(Exception):
-        payouts.attach_by_year(rows, dup, ["class_course"], "fiscal_year", "v", {"x": "ssi_payout_y1"}).collect()
+def test_attach_by_year_fans_out_on_two_values(spark):
+    rows = spark.createDataFrame([(1, "C", 2020, 2021), (2, "D", 2020, 2021)], "id int, class_course string, y1 int, y2 int")
+    rates = spark.createDataFrame(
+        [("C", 2020, 1.0), ("C", 2020, 2.0), ("C", 2021, 5.0), ("D", 2020, None), ("D", None, 9.0)],
+        "class_course string, fiscal_year int, v double",
+    )
+    got = payouts.attach_by_year(rows, rates, ["class_course"], "fiscal_year", "v", {"a": "y1", "b": "y2"})
+    assert sorted((r.id, r.a, r.b) for r in got.where("id = 1").collect()) == [(1, 1.0, 5.0), (1, 2.0, 5.0)]
+    assert [(r.id, r.a, r.b) for r in got.where("id = 2").collect()] == [(2, None, None)]
+
+
+def test_two_doctoral_totals_in_one_year_give_two_rates(spark):
+    hours = spark.createDataFrame(
+        [(2016, "C", 3.0, 2, 6.0)],
+        "time_academic_yr int, class_course string, credit_hours double, n_students_per_class long, total_credit_hr_per_class double",
+    )
+    totals = spark.createDataFrame([(2017, 60.0), (2017, 120.0)], "ssi_payout_y1 int, ssi_y1_payout_total_amount double")
+    got = cohorts.doctoral_rates(hours, read_year_matrix(spark).where("FY = 2017"), totals)
+    assert sorted(r.ssi_per_course_per_cr_hours for r in got.collect()) == [10.0, 20.0]
 
 
 def test_degree_average_and_flag(spark):

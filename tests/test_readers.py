@@ -1,17 +1,17 @@
-"""Source readers: scan-parallelism guard and strict casts."""
+"""Source readers: casts that keep every value, CSV cleaned before it is cast."""
 
-import pytest
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
-
-from cohortalloc.sources.readers import conform, spread
+import os
+import tempfile
+from decimal import Decimal
 
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, IntegerType, StringType, StructField, StructType
 
-def test_spread_only_when_scan_has_few_splits(spark):
-    parallelism = spark.sparkContext.defaultParallelism
-    one = spark.range(0, 1000, numPartitions=1)
-    assert spread(one, "id")._jdf.rdd().getNumPartitions() == parallelism
-    many = spark.range(0, 1000, numPartitions=parallelism * 2)
-    assert spread(many, "id") is many
+from cohortalloc.operators.registration import passed_registrations
+from cohortalloc.sources import schemas
+from cohortalloc.sources.lookups import repeated_years, read_payout_matrix, read_year_matrix
+from cohortalloc.sources.readers import conform, read_csv
 
 
 def test_conform_casts_and_rejects_bad_text(spark):
@@ -22,3 +22,49 @@ def test_conform_casts_and_rejects_bad_text(spark):
     with pytest.raises(Exception):
         conform(bad, schema).collect()
     assert conform(bad, schema, lenient=True).first().y is None
+
+
+@pytest.mark.parametrize("value,kind", [(1.5, "double"), ("1.5", "string"), (2**40, "long")])
+def test_conform_refuses_a_lossy_cast(spark, value, kind):
+    schema = StructType([StructField("n", IntegerType())])
+    df = spark.createDataFrame([(value,), (None,)], f"n {kind}")
+    with pytest.raises(Exception, match="cannot keep"):
+        conform(df, schema).collect()
+    assert [r.n for r in conform(df, schema, lenient=True).collect()] == [None, None]
+
+
+def test_conform_keeps_fractions_and_leading_zeros(spark):
+    schema = StructType([StructField("h", DecimalType(9, 2)), StructField("id", StringType())])
+    df = spark.createDataFrame([(0.5, "00123"), (3.0, "P9"), (None, None)], "h double, id string")
+    assert [tuple(r) for r in conform(df, schema).collect()] == [
+        (Decimal("0.50"), "00123"), (Decimal("3.00"), "P9"), (None, None)
+    ]
+
+
+def test_half_hours_survive_the_reader(spark):
+    row = {f.name: None for f in schemas.REGISTRATIONS.fields} | {
+        "class_crse_id": "004321", "class_number": "00123", "class_course": "AA 1", "time_strm": 20191,
+        "stdnt_emplid": "000777", "credit_hours": 0.5, "class_grade": "A", "time_academic_yr": "2019",
+    }
+    kinds = ", ".join(
+        f"{f.name} {'double' if f.name == 'credit_hours' else f.dataType.simpleString()}" for f in schemas.REGISTRATIONS.fields
+    )
+    df = spark.createDataFrame([tuple(row.values())], kinds)
+    got = passed_registrations(conform(df, schemas.REGISTRATIONS)).collect()
+    assert [(r.credit_hours, r.uniq_combo_id) for r in got] == [(Decimal("0.50"), "00123AA 120191000777")]
+
+
+def test_csv_is_cleaned_before_it_is_cast(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="csv-"), "t.csv")
+    with open(path, "wb") as f:
+        f.write(b"id,n,s\n,1,a  \n\nx,, NULL\ny,NULL,NULL\nz,3,\xff!\n")
+    schema = StructType([StructField("id", StringType()), StructField("n", IntegerType()), StructField("s", StringType())])
+    rows = sorted((tuple(r) for r in read_csv(spark, path, schema).collect()), key=str)
+    assert rows == [("x", None, " NULL"), ("y", None, None), ("z", 3, "�!"), (None, 1, "a")]
+
+
+def test_repeated_years_are_reported(spark):
+    year, payout = read_year_matrix(spark), read_payout_matrix(spark)
+    assert repeated_years(year, payout).count() == 0
+    twice = year.unionAll(year.where(F.col("FY") == 2020))
+    assert [tuple(r) for r in repeated_years(twice, payout).collect()] == [("year_matrix", 2020, 2)]

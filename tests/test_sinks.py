@@ -56,3 +56,37 @@ def test_append_rejects_unknown_columns(spark):
     with pytest.raises(ValueError):
         append_table(spark, spark.createDataFrame([(1, "x")], "id int, extra string"), table)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def _failing(spark):
+    from pyspark.sql import functions as F
+
+    return spark.range(4).select(F.col("id").cast("int").alias("id"), F.raise_error(F.lit("no")).cast("string").alias("s"))
+
+
+def test_a_failing_overwrite_keeps_the_old_rows(spark):
+    import pytest
+
+    from cohortalloc.sinks import write_parquet
+
+    good = spark.createDataFrame([(1, "a")], "id int, s string")
+    root = tempfile.mkdtemp(prefix="keep-")
+    table = "sink_keep_tbl"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    overwrite_table(good, table)
+    write_parquet(good, f"{root}/p")
+    write_csv(good, f"{root}/c")
+    for load in (
+        lambda: overwrite_table(_failing(spark), table),
+        lambda: write_parquet(_failing(spark), f"{root}/p"),
+        lambda: write_csv(_failing(spark), f"{root}/c"),
+    ):
+        with pytest.raises(Exception):
+            load()
+    assert [tuple(r) for r in spark.table(table).collect()] == [(1, "a")]
+    assert [tuple(r) for r in spark.read.parquet(f"{root}/p").collect()] == [(1, "a")]
+    assert [tuple(r) for r in spark.read.csv(f"{root}/c", header=True).collect()] == [("1", "a")]
+    assert sorted(os.listdir(root)) == ["c", "p"]
+    write_parquet(good.unionAll(good), f"{root}/p")
+    assert spark.read.parquet(f"{root}/p").count() == 2
+    spark.sql(f"DROP TABLE {table}")
