@@ -13,9 +13,8 @@ functions  column expressions (grading rule, model-id cleaning, flags, ...)
 operators  frame -> frame building blocks of the four pipelines and audits
 plans      the end-to-end pipelines and the named query catalogue
 sinks      CSV / table writers (overwrite, append by name, create)
-streaming  intentionally empty: the allocation is a yearly batch job
 """
 
-from cohortalloc.session import build_session, ensure_checkpoint_dir
+from cohortalloc.session import build_session
 
-__all__ = ["build_session", "ensure_checkpoint_dir"]
+__all__ = ["build_session"]

@@ -204,6 +204,17 @@ def rate_by_acad_year(
     return joined.select("newid", "class_course", "acad_year", adj.alias("adj_total_ssi"))
 
 
+def rate_by_fiscal_year(rates: DataFrame) -> DataFrame:
+    """Sum of the rates of a (model, course) per fiscal year paid, over the cohort's years.
+
+    A group holds one rate per year of the cohort (three on the published
+    matrix), added in sorted order.
+    """
+    return rates.groupBy("newid", "class_course", "fiscal_year").agg(
+        ordered_sum(F.col("ssi_per_course_per_cr_hours")).alias("adj_total_ssi")
+    )
+
+
 def contributions_per_year(rates: DataFrame, year_matrix: DataFrame) -> DataFrame:
     """Per academic year with allocated rates: FYs fed (matrix and data) and
     both overlap factors, which must agree."""

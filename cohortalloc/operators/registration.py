@@ -68,7 +68,6 @@ def passed_registrations(registrations: DataFrame) -> DataFrame:
 def eligible_enrollments(
     enrollments: DataFrame,
     term_lookup: DataFrame,
-    require_completed: bool = False,
 ) -> DataFrame:
     """Final ('F'-suffixed) enrollment rows with subsidy_eligible_code = 1.
 
@@ -77,8 +76,6 @@ def eligible_enrollments(
     part is NULL).
     """
     cond = (F.col("subsidy_eligible_code") == 1) & F.col("term_code").endswith("F")
-    if require_completed:
-        cond = cond & (F.col("completed_flag") == 1)
     enr = enrollments.where(cond).withColumn(
         "upd_term_code", strip_final_marker(F.col("term_code"))
     )
@@ -122,7 +119,7 @@ def _match_condition(passed: DataFrame, eligible: DataFrame):
 
 
 def matched_registrations(
-    passed: DataFrame, eligible: DataFrame, with_calendar_year: bool = True
+    passed: DataFrame, eligible: DataFrame
 ) -> DataFrame:
     """Passed registrations joined to eligible enrollments (inner, 3 keys).
 
@@ -131,10 +128,9 @@ def matched_registrations(
     (sort-merge join) and AQE splits a skewed key range if one appears.
     """
     joined = passed.join(eligible, _match_condition(passed, eligible), "inner")
-    extra = [eligible.calendar_year] if with_calendar_year else []
     return joined.select(
         *[passed[c] for c in REGISTRATION_COLUMNS],
-        *extra,
+        eligible.calendar_year,
         clean_model_id(eligible.newid).alias("newid"),
     )
 

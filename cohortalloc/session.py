@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 
 # Settings every job of this package relies on.  Shuffle partition count and
@@ -56,21 +54,3 @@ def configured_checkpoint_dir(spark: SparkSession) -> str | None:
     if current and not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current
-
-
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set ``fallback`` only when unset.
-
-    On a cluster the setting names a shared folder every executor can reach;
-    the fallback is meant for tests and local runs.
-    """
-    sc = spark.sparkContext
-    current = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
-    if current:
-        sc.setCheckpointDir(current)
-        return current
-    os.makedirs(fallback, exist_ok=True)
-    sc.setCheckpointDir(fallback)
-    return fallback

@@ -30,7 +30,7 @@ from pyspark.sql.types import (
 from cohortalloc.functions.expressions import clean_model_id, strict_concat
 from cohortalloc.sources.lookups import read_payout_matrix, read_year_matrix
 from cohortalloc.sources import schemas
-from cohortalloc.sources.readers import Sources, conform
+from cohortalloc.sources.readers import conform
 
 INSTITUTIONS = ("INST", "OTHR")
 FIXTURE_FY_RANGE = (2014, 2026)
@@ -360,23 +360,6 @@ class FixtureViews:
     def payout_matrix(self) -> DataFrame:
         return read_payout_matrix(self.spark)
 
-    def sources(self) -> Sources:
-        """All twelve frames at once (builds every view's plan)."""
-        return Sources(
-            registrations=self.registrations,
-            enrollments=self.enrollments,
-            term_lookup=self.term_lookup,
-            course_allocations=self.course_allocations,
-            doctoral_subsidy=self.doctoral_subsidy,
-            completions=self.completions,
-            acad_plans=self.acad_plans,
-            degree_allocations=self.degree_allocations,
-            course_inventory=self.course_inventory,
-            unmatched=self.unmatched,
-            year_matrix=read_year_matrix(self.spark),
-            payout_matrix=read_payout_matrix(self.spark),
-        )
-
 
 def fixture_sources(spark: SparkSession, sf_dir: str) -> FixtureViews:
     """The fixture views as a lazy source bundle: a view's plan is built only

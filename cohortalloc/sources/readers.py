@@ -182,6 +182,8 @@ def load_tables(
         path = f"{root}/{name}"
         if fmt == "csv":
             tables[name] = read_csv(spark, path, schema)
+        elif fmt == "jdbc":  # ``root`` is the connection URL
+            tables[name] = read_jdbc(spark, root, name, schema)
         else:
             tables[name] = conform(spark.read.format(fmt).load(path), schema)
     return Sources(
