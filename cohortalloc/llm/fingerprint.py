@@ -26,6 +26,7 @@ documents alone.  Only the range bounds reach the driver.
 
 from __future__ import annotations
 
+import functools
 import json
 
 import numpy as np
@@ -55,17 +56,18 @@ def filled(value: Column) -> Column:
 
 def with_fingerprint(rows: DataFrame, text: str, name: str) -> DataFrame:
     """``rows`` with the packed fingerprint (array of longs) of column ``text`` as ``name``."""
-    own = {x: f"_{x}_{name}" for x in ("words", "hashes", "least", "held", "dense")}
+    own = {x: f"_{x}_{name}" for x in ("words", "codes", "hashes", "least", "held", "dense")}
     col = {k: F.col(v) for k, v in own.items()}
     words = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"\s+"), lambda w: w != "")
     n = F.size(col["words"])
     hashes = (
         F.when(n == 0, F.array().cast("array<bigint>"))
-        .when(n < SHINGLE, F.array(F.xxhash64(col["words"])))
+        .when(n < SHINGLE, F.array(F.xxhash64(col["codes"])))
         .otherwise(
+            # single look-ups: slicing would copy the whole array for every shingle
             F.transform(
-                F.sequence(F.lit(1), F.greatest(n - SHINGLE + 1, F.lit(1))),
-                lambda i: F.xxhash64(F.slice(col["words"], i, SHINGLE)),
+                F.sequence(F.lit(0), F.greatest(n - SHINGLE, F.lit(0))),
+                lambda i: F.xxhash64(*[F.get(col["codes"], i + j) for j in range(SHINGLE)]),
             )
         )
     )
@@ -73,6 +75,7 @@ def with_fingerprint(rows: DataFrame, text: str, name: str) -> DataFrame:
     half = BINS // 2
     marks = constant([(b - half) * (1 << LOW) + EMPTY for b in range(BINS)], "bigint")
     rows = rows.withColumn(own["words"], words)
+    rows = rows.withColumn(own["codes"], F.transform(own["words"], lambda w: F.xxhash64(w)))
     rows = rows.withColumn(own["hashes"], F.sort_array(F.concat(hashes, marks)))
     bin_of = lambda x: F.shiftright(x, LOW)
     least = F.filter(
@@ -93,10 +96,8 @@ def with_fingerprint(rows: DataFrame, text: str, name: str) -> DataFrame:
     low_bits = F.lit((1 << BITS) - 1)
 
     def long_of(w: Column) -> Column:
-        part = F.slice(col["dense"], w * PER_LONG + 1, PER_LONG)
-        return F.aggregate(
-            part, F.lit(0).cast("long"), lambda a, v: F.shiftleft(a, BITS).bitwiseOR(v.bitwiseAND(low_bits))
-        )
+        parts = [F.shiftleft(F.get(col["dense"], w * PER_LONG + j).bitwiseAND(low_bits), BITS * j) for j in range(PER_LONG)]
+        return functools.reduce(Column.bitwiseOR, parts)
 
     none = F.array(*[F.lit(0).cast("long")] * (BINS // PER_LONG))
     rows = rows.withColumn(name, F.when(n == 0, none).otherwise(F.transform(longs, long_of)))
