@@ -146,10 +146,12 @@ def with_next(rows: DataFrame, key: str, text: str, columns: list[str]) -> DataF
     )
     places = F.when(F.col(key).isNull(), F.array(keyless)).when(first, F.array(own, guest)).otherwise(F.array(own))
     rows = rows.withColumn("_place", F.explode(places))
-    order = Window.partitionBy("_place.part").orderBy("_place.guest", key, text)
-    for c in columns:
-        rows = rows.withColumn(f"next_{c}", F.when(F.col(key).isNotNull(), F.lead(c).over(order)))
-    return rows.where(~F.col("_place.guest")).drop("_place")
+    # plain columns: one exchange and one sort serve all the look-aheads
+    rows = rows.withColumn("_part", F.col("_place.part")).withColumn("_guest", F.col("_place.guest")).drop("_place")
+    order = Window.partitionBy("_part").orderBy("_guest", key, text)
+    ahead = {f"next_{c}": F.lead(c).over(order) for c in columns}
+    rows = rows.withColumns(ahead).where(~F.col("_guest"))
+    return rows.withColumns({c: F.when(F.col(key).isNotNull(), F.col(c)) for c in ahead}).drop("_part", "_guest")
 
 
 def edited_text(text: Column, other: Column) -> Column:
