@@ -185,7 +185,7 @@ def rate_of(p: Column, steps: list[list[float]]) -> Column:
 def copies_of(rate: Column, key: Column) -> Column:
     """Whole copies whose mean over documents is the rate; fixed by the key."""
     place = F.pmod(F.xxhash64(key, F.lit(23)), F.lit(1 << 30)) / (1 << 30)
-    return F.floor(rate + place).cast("int")
+    return F.greatest(F.floor(rate + place).cast("int"), F.lit(0))
 
 
 def solve(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], key: str = "doc_id"):
@@ -201,8 +201,9 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], key: st
     """``docs``, every row as often as its rate says; columns unchanged."""
     model, _, steps = solve(docs, labelled, targets, key)
     out = with_posteriors(docs, model, list(targets))
-    out = out.withColumn("_copies", copies_of(rate_of(F.col("_p"), steps), F.col(key))).where("_copies > 0")
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    # no filter on the copies: it would be pushed below the posteriors and compute them again and again
+    copies = F.array_repeat(F.lit(0), copies_of(rate_of(F.col("_p"), steps), F.col(key)))
+    return out.select(*docs.columns, F.explode(copies).alias("_copy")).select(*docs.columns)
 
 
 def op8_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
