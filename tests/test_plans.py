@@ -1,5 +1,7 @@
 """Physical-plan shape: no Python UDF, no cartesian product, scans pruned."""
 
+import re
+
 import pytest
 
 from cohortalloc.plans.catalog import QUERIES
@@ -37,3 +39,21 @@ def test_course_pipeline_reuses_shared_registration_shuffle(spark):
     final = df._jdf.queryExecution().executedPlan().toString()
     reused = [line for line in final.split("\n") if "ReusedExchange" in line]
     assert any("uniq_combo_id" in line for line in reused), "registration shuffle not reused"
+
+
+@pytest.mark.parametrize("name", ["degree_subsidy", "doctoral_degree_subsidy", "combined_degree_table"])
+def test_no_exchange_on_a_year_or_model_alone(spark, name):
+    # even when no table is small enough to be broadcast by size
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(QUERIES[name](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    alone = re.findall(r"hashpartitioning\((?:matchid|degree_ocurred|ssi_payout_y\d)#\d+L?, \d+\)", plan)
+    assert not alone, alone
+
+
+@pytest.mark.parametrize("name", ["cohort_weights", "allocated_rates", "doctoral_rates", "course_subsidy"])
+def test_no_window_over_fiscal_years(spark, name):
+    assert "Window" not in _plan(QUERIES[name](spark, SF))
