@@ -23,11 +23,15 @@ def test_rate_constant_within_fy_and_model(alloc):
     assert spread.where(F.col("d") > 1e-9).count() == 0
 
 
-def test_doctoral_rate_constant_within_fy(alloc):
-    spread = alloc.doctoral_rates.groupBy("fiscal_year").agg(
-        (F.max("ssi_per_course_per_cr_hours") - F.min("ssi_per_course_per_cr_hours")).alias("d")
-    )
-    assert spread.where(F.col("d") > 1e-9).count() == 0
+def test_doctoral_rate_constant_within_fy_and_total(alloc):
+    from cohortalloc.sources.fixtures import SECOND_TOTAL_FY
+
+    rate = F.col("ssi_per_course_per_cr_hours")
+    per_fy = alloc.doctoral_rates.groupBy("fiscal_year").agg(F.countDistinct(F.round(rate, 9)).alias("n"), F.count(rate).alias("m"))
+    rates = {r.fiscal_year: r.n for r in per_fy.where("m > 0").collect()}
+    # one rate per total of the fiscal year: the fixture has two totals in one year
+    assert rates.pop(SECOND_TOTAL_FY) == 2
+    assert set(rates.values()) == {1}
 
 
 def test_doctoral_cohort_total_is_sum_of_model_totals(alloc):
