@@ -46,6 +46,8 @@ BUCKETS = 16384
 RATIOS = 24
 TRAIN = 20_000
 SMOOTHING = 10_000
+#: Standard deviations a bucket's count in a domain must be off to count.
+SIGNIFICANT = 2.5
 STEPS = 48
 UNROLL = 12
 TOLERANCE = 1e-4
@@ -53,7 +55,7 @@ TOLERANCE = 1e-4
 PIECES = r"\p{L}+|[^\p{L}\s]+"
 
 #: Domains of the standard labels and their target weights in the registered query.
-TARGETS = {"good": 0.95, "poor": 0.05, "toxic": 0.0}
+TARGETS = {"good": 0.94, "poor": 0.05, "toxic": 0.01}
 
 
 def label_domain(labels: DataFrame) -> DataFrame:
@@ -106,6 +108,9 @@ def train(docs: DataFrame, labelled: DataFrame, domains: list[str], key: str = "
         return np.log((counts + weight * overall) / (total + weight))
 
     words, kinds = seen[:, 1 : 1 + BUCKETS], seen[:, 1 + BUCKETS :]
+    # a bucket speaks for a domain only if its count there cannot be chance; else it says nothing
+    expected = words.sum(axis=0) / max(1, words.sum()) * words.sum(axis=1, keepdims=True)
+    words = np.where(np.abs(words - expected) > SIGNIFICANT * np.sqrt(expected + 1), words, expected)
     likelihood = np.hstack([
         prior, smoothed(words, words.sum(axis=1, keepdims=True), SMOOTHING), smoothed(kinds, docs_of, 4)
     ])

@@ -41,10 +41,12 @@ def test_rates_equal_plain_projected_gradient_and_meet_targets(spark):
 
 
 def test_documents_are_classified_and_weighted(spark):
-    rows = M.op8_soft_mixing(spark, SF)
-    found = rows.join(M.label_domain(spark.read.parquet(f"{SF}/labels.parquet")).withColumnRenamed("domain", "true"), "doc_id")
+    # a table with several hundred toxic labels: fewer teach too few words that are not learned by heart
+    sf = "/root/testdata/sf0.1"
+    rows = M.op8_soft_mixing(spark, sf)
+    found = rows.join(M.label_domain(spark.read.parquet(f"{sf}/labels.parquet")).withColumnRenamed("domain", "true"), "doc_id")
     found = found.toPandas()
-    assert rows.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert rows.count() == spark.read.parquet(f"{sf}/documents.parquet").count()
     assert (found.domain == found.true).mean() > 0.9
     good = found[found.true == "good"]
     assert (good.copies >= 1).mean() > 0.95
