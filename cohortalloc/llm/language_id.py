@@ -6,7 +6,12 @@ inverse document frequency and normalised.  Each language's labelled sample
 is clustered by spherical k-means into ``CENTROIDS`` centroids; a text gets
 the language of the centroid with the largest cosine.  It is rejected when
 that cosine is below ``MARGIN`` times the cosine that all but one hundredth
-of the sample texts of its length class reach.
+of the sample texts reach when they are cut to the least number of trigrams
+of its length class (a random part of a text's trigrams).  So every length
+has a floor, however few sample texts are that short or that long: past the
+``LONGEST`` longest ones the floor stays level.  The cosines are those of
+texts the centroids did not see: each half of the sample is scored by the
+other half's (by its own only if no language has two sample texts).
 
 Fit.  On a bounded sample of labelled rows: about ``SAMPLE`` documents in
 all, the same share for each language, chosen by a hash of the key (at
@@ -43,6 +48,8 @@ ROUNDS = 8
 MARGIN = 0.35
 #: Length classes: powers of two of the number of trigrams.
 CLASSES = 24
+#: Sample texts that a length class is fitted on at least (or all there are).
+LONGEST = 20
 
 _FOLD = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 _LETTER = re.compile(r"[A-Za-z]")
@@ -103,19 +110,47 @@ def spherical_kmeans(rows: np.ndarray, k: int) -> np.ndarray:
     return centroids
 
 
-def fit_sample(languages: list[str], label: np.ndarray, counts: np.ndarray) -> Model:
-    """Model of sample rows; ``label[i]`` is the language index of ``counts[i]``."""
+def centroids_of(languages: list[str], label: np.ndarray, counts: np.ndarray) -> Model:
+    """Model of sample rows that rejects nothing yet."""
     idf = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
     rows = unit(np.log1p(counts).astype(np.float32) * idf)
-    groups = [spherical_kmeans(rows[label == i], CENTROIDS) for i in range(len(languages))]
+    groups = [spherical_kmeans(rows[label == i], CENTROIDS) if (label == i).any() else rows[:0] for i in range(len(languages))]
     owner = np.repeat(np.arange(len(groups)), [len(g) for g in groups])
-    model = Model(languages, idf, np.concatenate(groups), owner, np.zeros(CLASSES, np.float32))
-    cosine, size = model.score(counts)[1], length_class(counts.sum(axis=1))
-    known = [c for c in range(CLASSES) if (size == c).sum() >= 20]
-    floors = {c: MARGIN * np.quantile(cosine[size == c], 0.01) for c in known}
-    for c in range(CLASSES):  # a class with few texts takes the floor of the nearest shorter one, if any
-        shorter = [k for k in known if k <= c]
-        model.floors[c] = floors[shorter[-1]] if shorter else 0
+    return Model(languages, idf, np.concatenate(groups), owner, np.zeros(CLASSES, np.float32))
+
+
+def cut_cosines(model: Model, counts: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Cosine of each row cut to ``2**c`` trigrams (whole if it has no more), a column for each length class c."""
+    dims, out = np.arange(DIM, dtype=np.uint16), np.zeros((len(counts), CLASSES))
+    for a in range(0, len(counts), 64):
+        mixed = [rng.permutation(np.repeat(dims, row)) for row in counts[a : a + 64]]
+        for c in range(CLASSES):
+            if c and 2 ** (c - 1) >= max(map(len, mixed)):
+                out[a : a + 64, c] = out[a : a + 64, c - 1]
+                continue
+            out[a : a + 64, c] = model.score(np.stack([np.bincount(x[: 2**c], minlength=DIM) for x in mixed]))[1]
+    return out
+
+
+def fit_sample(languages: list[str], label: np.ndarray, counts: np.ndarray) -> Model:
+    """Model of sample rows; ``label[i]`` is the language index of ``counts[i]``."""
+    model = centroids_of(languages, label, counts)
+    half, many = np.zeros(len(label), int), np.zeros(len(label), bool)
+    for i in range(len(languages)):
+        at = np.flatnonzero(label == i)
+        half[at], many[at] = np.arange(len(at)) % 2, len(at) > 1
+    rng, total, cosine = np.random.default_rng(10), [], []
+    if many.any():
+        for h in (0, 1):
+            tested, seen = many & (half == h), half != h
+            total.append(counts[tested].sum(axis=1))
+            cosine.append(cut_cosines(centroids_of(languages, label[seen], counts[seen]), counts[tested], rng))
+    else:
+        total, cosine = [counts.sum(axis=1)], [cut_cosines(model, counts, rng)]
+    size, cosine = np.concatenate(total), np.concatenate(cosine)
+    longest = np.sort(size)[-min(LONGEST, len(size))]
+    for c in range(CLASSES):
+        model.floors[c] = MARGIN * np.quantile(cosine[size >= min(2**c, longest), c], 0.01)
     return model
 
 

@@ -43,6 +43,38 @@ def test_far_text_is_rejected_and_near_text_kept():
     assert rejected == [False, False, True, True, True]
 
 
+def foreign(rnd, signs, letters):
+    return " ".join("".join(rnd.choices(signs, k=rnd.randrange(3, 8))) for _ in range(letters // 5))
+
+
+def test_rejection_does_not_depend_on_the_size_of_the_table(spark):
+    docs = [spark.read.parquet(f"/root/testdata/{sf}/documents.parquet") for sf in ("sf0.001", "sf0.01")]
+    small, large = map(L.fit, docs)
+    assert (small.floors > 0).all() and (large.floors > 0).all()
+    assert (abs(small.floors[4:10] / large.floors[4:10] - 1) < 0.35).all()
+    rnd = random.Random(8)
+    for signs in ("αβγδεζηθικλμνξοπρστυφχψω", "абвгдежзиклмнопрстуфхцч", "qwxzkvjpyg"):
+        for letters in (20, 40, 80, 160, 400, 2000):
+            texts = [foreign(rnd, signs, letters) for _ in range(40)]
+            for model in (small, large):
+                assert sum(L._judge(model, texts)[2]) >= (0.85 if letters < 80 else 1) * len(texts), (signs, letters)
+    for frame, model in zip(docs, (small, large)):
+        own = [r.text for r in frame.where("length(text) > 0").select("text").collect()]
+        for n in (20, 40, 80, 100_000):
+            texts = [t[:n] for t in own if L.has_letter(t[:n])]
+            assert sum(L._judge(model, texts)[2]) <= 0.02 * len(texts), n
+
+
+def test_few_sample_texts_still_reject():
+    import numpy as np
+
+    texts = [("the cat sat on the mat and the dog ran " * 3)[: 90 + i] for i in range(4)]
+    model = L.fit_sample(["en"], np.zeros(4, int), np.stack([L.trigram_counts(t) for t in texts]))
+    assert L._judge(model, ["ψωφχ ξζθλ", "ξζθλ ψωφχ " * 30, "the cat and the dog"])[2] == [True, True, False]
+    one = L.fit_sample(["en"], np.zeros(1, int), np.stack([L.trigram_counts(texts[0])]))
+    assert L._judge(one, ["ψωφχ ξζθλ", texts[0]])[2] == [True, False]
+
+
 def test_edge_cases(spark, make_docs):
     docs = make_docs([(1, None), (2, "123 !"), (3, "hello there"), (3, "hello there"), (None, "x " * 100_000)])
     assert L.fit(docs) is None
