@@ -60,8 +60,33 @@ _TOKEN = re.compile(
     r"|<[!?/][^>]*>|<[a-zA-Z][^>]*\Z",
     re.S,
 )
-_ROLE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:$|[\s=])|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+#: A whole class or id that names a main container, and words that beside it tell its topic.
+STRONG_ROLE = re.compile(r"(?:^|\s)(article|main|post|entry|story)(?=$|\s)", re.I)
+TOPIC = re.compile(r"(?:^|[\s_-])(legal|more|search|tags?|social|trending|copyright)(?=$|[\s_-])", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
+
+
+def attributes_of(raw: str) -> dict[str, str]:
+    """Names (lower case; the first of a name counts) and values of a tag's attributes."""
+    out: dict[str, str] = {}
+    for name, a, b, c in _ATTRIBUTE.findall(raw):
+        out.setdefault(name.lower(), html.unescape(a or b or c))
+    return out
+
+
+def is_hidden(attributes: dict[str, str]) -> bool:
+    return (
+        "hidden" in attributes
+        or bool(_NOT_SHOWN.search(attributes.get("style", "")))
+        or attributes.get("aria-hidden", "").strip().lower() == "true"
+    )
+
+
+def names_boiler(roles: str) -> bool:
+    """Whether class, id and role name a boilerplate container; a main one's topic does not."""
+    return bool(BOILER_ROLE.search(TOPIC.sub(" ", roles) if STRONG_ROLE.search(roles) else roles))
+
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "main", "boiler", "page_main")
 # fixed values: labelled kinds of blocks: words, link density in percent, stands in main, in boilerplate, page has
@@ -217,8 +242,9 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
                     break
         _, main, boiler, hidden, link = stack[-1]
         if name not in INLINE:
-            roles = " ".join(a or b or c for a, b, c in _ROLE.findall(attributes)) if "=" in attributes else ""
-            named_boiler = bool(roles) and bool(BOILER_ROLE.search(roles))
+            own = attributes_of(attributes) if attributes else {}
+            roles = " ".join(own[k] for k in ("class", "id", "role") if own.get(k))
+            named_boiler = bool(roles) and names_boiler(roles)
             whole = name in ("html", "body")  # names of the whole page say nothing about its parts
             plain = not named_boiler and not whole and name not in BOILER
             own_main = name in MAIN or (bool(roles) and plain and bool(MAIN_ROLE.search(roles)))
@@ -226,7 +252,7 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
             own_boiler = named_boiler and not whole and name not in MAIN or (
                 name in BOILER and not (name == "header" and main)
             )
-            hidden = hidden or name in NO_TEXT or (bool(attributes) and bool(_HIDDEN.search(attributes)))
+            hidden = hidden or name in NO_TEXT or is_hidden(own)
             main, boiler = main or own_main, boiler or own_boiler
         stack.append((name, main, boiler, hidden, link or name == "a"))
     close_block()

@@ -48,3 +48,17 @@ def test_edge_cases(spark):
     got = sorted((str(r.page_id), r.text) for r in H.extract(df).collect())
     assert len(got) == 7 and ("5", "&amp; &bogus; é") in got and ("2", ("x " * 100_000).strip()) in got
     assert H.extract(df.limit(0)).count() == 0
+
+
+def test_attribute_values_and_topics_do_not_lose_an_article():
+    from cohortalloc.llm import html_blocks as B
+
+    tree = B.trained_tree()
+    text = "A paragraph of the article with more than a few words in it, as such pages have."
+    page = lambda attrs: f"<html><body><article><div {attrs}><p>{text}</p></div></article></body></html>"
+    for attrs in ('title="A hidden gem"', 'style="overflow: hidden !important"', 'class="post category-legal"',
+                  "class='entry tag-search more'", 'data-note="display: none"'):
+        assert B.main_text(page(attrs), tree) == text, attrs
+    for attrs in ("hidden", 'hidden=""', "HIDDEN class=post", 'style="color:red; display : none"', "aria-hidden=true",
+                  'class="cookie content"', 'class="related-posts"', 'class="post comments"'):
+        assert B.main_text(page(attrs), tree) == "", attrs
