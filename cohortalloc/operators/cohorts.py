@@ -25,6 +25,11 @@ def _cohorts(year_matrix: DataFrame) -> DataFrame:
     return F.broadcast(cohort_years(year_matrix))
 
 
+def cohort_slots(year_matrix: DataFrame) -> DataFrame:
+    """(FY, AY): the three years that feed each fiscal year."""
+    return _cohorts(year_matrix).select("FY", "AY")
+
+
 def cohort_feed(year_matrix: DataFrame, matched: DataFrame) -> DataFrame:
     """Unpivoted matrix with the number of matched registrations feeding each slot.
 

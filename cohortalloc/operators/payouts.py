@@ -47,6 +47,7 @@ def attach_by_year(
     year_col: str,
     value_col: str,
     targets: dict[str, str],
+    unique: bool = False,
 ) -> DataFrame:
     """Left-join ``table[value_col]`` for several year columns of ``rows`` at once.
 
@@ -55,13 +56,18 @@ def attach_by_year(
     published rule; several values for one key and year fan a row out, once
     per target, as one left join per target would.  The folded table holds
     the values of a key by year, so the rows are joined (and shuffled) once.
+    ``unique=True`` reads the value directly; for tables that come out of an
+    aggregate by the keys and the year.
     """
     prefixed = {k: f"_lk_{k}" for k in keys}
     held = [F.col(k).alias(prefixed[k]) for k in keys]
-    by_year = table.groupBy(*held, F.col(year_col).alias("_lk_year")).agg(
-        # wrapped: a NULL value is a match too
-        F.collect_list(F.struct(F.col(value_col).alias("v"))).alias("_lk_values")
-    )
+    if unique:
+        by_year = table.select(*held, F.col(year_col).alias("_lk_year"), F.col(value_col).alias("_lk_values"))
+    else:
+        by_year = table.groupBy(*held, F.col(year_col).alias("_lk_year")).agg(
+            # wrapped: a NULL value is a match too
+            F.collect_list(F.struct(F.col(value_col).alias("v"))).alias("_lk_values")
+        )
     folded = by_year.where(F.col("_lk_year").isNotNull()).groupBy(*prefixed.values()).agg(
         F.map_from_entries(F.collect_list(F.struct("_lk_year", "_lk_values"))).alias("_lk_map")
     )
@@ -71,8 +77,11 @@ def attach_by_year(
         cond = c if cond is None else cond & c
     out = rows.join(folded, cond, "left")
     for name, year in targets.items():
-        out = out.withColumn("_lk_hit", F.explode_outer(F.try_element_at(F.col("_lk_map"), F.col(year))))
-        out = out.withColumn(name, F.col("_lk_hit.v"))
+        found = F.try_element_at(F.col("_lk_map"), F.col(year))
+        if unique:
+            out = out.withColumn(name, found)
+        else:
+            out = out.withColumn("_lk_hit", F.explode_outer(found)).withColumn(name, F.col("_lk_hit.v"))
     return out.drop("_lk_map", "_lk_hit", *prefixed.values())
 
 
@@ -123,6 +132,7 @@ def attach_course_payouts(rows: DataFrame, rates_by_year: DataFrame, key_by: str
         year_col=key_by,
         value_col="adj_total_ssi",
         targets=dict(zip(COURSE_AMOUNTS, PAYOUT_YEARS)),
+        unique=True,  # rates are sums by model, course and year
     )
 
 

@@ -2,7 +2,8 @@
 
 passed_registrations   distinct passed registrations with positive credit
 eligible_enrollments   final, subsidy-eligible enrollment rows with their term
-matched_registrations  the two joined: one row per matched enrollment
+match_outcomes         the two joined once, each row marked matched or not
+matched_registrations  one row per matched enrollment
 course_dollars         one institution's non-null yearly funding per model
 """
 
@@ -110,44 +111,89 @@ def model_id_cleaning(eligible: DataFrame) -> DataFrame:
     )
 
 
-def _match_condition(passed: DataFrame, eligible: DataFrame):
-    return (
-        (passed.time_strm == eligible.strm)
-        & (passed.new_class_number == eligible.class_nbr)
-        & (passed.campus_id == eligible.student_pid)
-    )
+#: Keys of the match join: (column of the registrations, column of the enrollments).
+MATCH_KEYS = (("time_strm", "strm"), ("new_class_number", "class_nbr"), ("campus_id", "student_pid"))
+ENROLLMENT_COLUMNS = [
+    "term_code", "calendar_year", "newid", "subsidy_eligible_code", "completed_flag", "crse_grade_off",
+]
+MATCHED, UNMATCHED = "matched", "registration only"
 
 
-def matched_registrations(
-    passed: DataFrame, eligible: DataFrame
-) -> DataFrame:
-    """Passed registrations joined to eligible enrollments (inner, 3 keys).
+def match_outcomes(passed: DataFrame, eligible: DataFrame, salted: bool = False) -> DataFrame:
+    """Every passed registration with its enrollment rows, and which of the two it is.
+
+    The one join of registrations and enrollments (left, three keys) that the
+    matched, merged and unmatched registrations are filters of.  Duplicate
+    enrollment rows fan out on purpose: each matched enrollment row counts.
+    Both sides are large; Spark shuffles them on the three keys (sort-merge
+    join) and AQE splits a skewed key range if one appears.  A filter for the
+    matched rows turns it into an inner join.
 
-    Duplicate enrollment rows fan out on purpose: each matched enrollment row
-    counts.  Both sides are large; Spark shuffles them on the three keys
-    (sort-merge join) and AQE splits a skewed key range if one appears.
+    ``salted=True`` reads facts stored by :mod:`cohortalloc.sinks.buckets`,
+    whose hot keys are spread over salts: a registration of a hot key is there
+    once per salt, and those copies that met no enrollment under their salt
+    are dropped (the key is hot because the enrollments are many, so every
+    such registration meets some).
     """
-    joined = passed.join(eligible, _match_condition(passed, eligible), "inner")
-    return joined.select(
-        *[passed[c] for c in REGISTRATION_COLUMNS],
-        eligible.calendar_year,
-        clean_model_id(eligible.newid).alias("newid"),
+    here = F.lit(True).alias("_enrolled")
+    right = eligible.select(
+        *[F.col(theirs).alias(f"_{theirs}") for _, theirs in MATCH_KEYS],
+        *[F.col(c).alias(f"_e_{c}") for c in ENROLLMENT_COLUMNS],
+        *([F.col("_salt").alias("_e_salt")] if salted else []),
+        here,
+    )
+    cond = F.lit(True)
+    for ours, theirs in MATCH_KEYS:
+        cond = cond & (F.col(ours) == F.col(f"_{theirs}"))
+    if salted:
+        cond = cond & (F.col("_salt") == F.col("_e_salt"))
+    joined = passed.join(right, cond, "left")
+    if salted:
+        joined = joined.where(F.col("_enrolled").isNotNull() | ~F.col("_hot"))
+    side = F.when(F.col("_enrolled").isNotNull(), F.lit(MATCHED)).otherwise(F.lit(UNMATCHED))
+    fields = {c: F.col(f"_e_{c}") for c in ENROLLMENT_COLUMNS}
+    fields["newid"] = clean_model_id(fields["newid"])
+    return joined.select(*REGISTRATION_COLUMNS, *[x.alias(c) for c, x in fields.items()], side.alias("match_side"))
+
+
+def matched_rows(outcomes: DataFrame) -> DataFrame:
+    """Passed registrations with an enrollment, one row per matched enrollment."""
+    return outcomes.where(F.col("match_side") == MATCHED).select(*REGISTRATION_COLUMNS, "calendar_year", "newid")
+
+
+def merged_rows(outcomes: DataFrame) -> DataFrame:
+    """Audit variant: every passed registration, with enrollment fields if any."""
+    return outcomes.select(
+        *REGISTRATION_COLUMNS, "term_code", "newid", "subsidy_eligible_code", "completed_flag", "crse_grade_off"
     )
 
 
-def merged_registrations(passed: DataFrame, eligible: DataFrame) -> DataFrame:
-    """Audit variant: every passed registration, with enrollment fields if any."""
-    joined = passed.join(eligible, _match_condition(passed, eligible), "left")
-    return joined.select(
-        *[passed[c] for c in REGISTRATION_COLUMNS],
-        eligible.term_code,
-        clean_model_id(eligible.newid).alias("newid"),
-        eligible.subsidy_eligible_code,
-        eligible.completed_flag,
-        eligible.crse_grade_off,
+def unmatched_rows(outcomes: DataFrame) -> DataFrame:
+    """(class number, term, student) of the passed registrations without an enrollment."""
+    return (
+        outcomes.where(F.col("match_side") == UNMATCHED)
+        .select("new_class_number", "time_strm", "campus_id")
+        .distinct()
+    )
+
+
+def match_counts(outcomes: DataFrame) -> DataFrame:
+    """Rows and distinct registrations per term and side of the match."""
+    return outcomes.groupBy("time_strm", "match_side").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct(F.col("uniq_combo_id")).alias("n_registrations")
     )
 
 
+def matched_registrations(passed: DataFrame, eligible: DataFrame) -> DataFrame:
+    """Passed registrations joined to eligible enrollments (inner, 3 keys)."""
+    return matched_rows(match_outcomes(passed, eligible))
+
+
+def merged_registrations(passed: DataFrame, eligible: DataFrame) -> DataFrame:
+    """Passed registrations left-joined to eligible enrollments."""
+    return merged_rows(match_outcomes(passed, eligible))
+
+
 def course_dollars(course_allocations: DataFrame, institution: str) -> DataFrame:
     """One institution's funding per (model, fiscal year); NULL amounts dropped."""
     return course_allocations.where(

@@ -8,7 +8,7 @@ result does not depend on the order in which partitions are added.
 
 from __future__ import annotations
 
-import uuid
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,9 +17,11 @@ from pyspark.sql.types import StructField, StructType
 
 from cohortalloc.plans.pipelines import Allocation
 from cohortalloc.session import configured_checkpoint_dir
+from cohortalloc.sinks.buckets import store_match_facts
+from cohortalloc.sinks.publish import publish, read_published
 from cohortalloc.sinks.writers import append_table, create_table, overwrite_table, write_csv
 from cohortalloc.sources.fixtures import fixture_sources
-from cohortalloc.sources.readers import read_csv
+from cohortalloc.sources.readers import clean_text, cleaning_report, read_csv
 
 FIXTURE_INSTITUTION = "INST"
 RATE_DIGITS = 6
@@ -85,8 +87,6 @@ def _derived_overlap_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _clean_text_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from cohortalloc.sources.readers import clean_text
-
     regs = fixture_sources(spark, sf_dir).registrations
     seeded = seeded_text(regs)
     return seeded.select(
@@ -98,17 +98,23 @@ def _clean_text_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _shared_path(spark: SparkSession, name: str) -> str:
-    """A new folder on the shared storage of the session."""
+def _fixed_name(kind: str, sf_dir: str) -> str:
+    """One name per query and input folder: a repeated call replaces what the last one wrote."""
+    return f"{kind}_{zlib.crc32(sf_dir.rstrip('/').encode()):08x}"
+
+
+def _shared_path(spark: SparkSession, kind: str, sf_dir: str) -> str:
+    """A folder on the shared storage of the session."""
     root = configured_checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root}/{name}-{uuid.uuid4().hex}"
+    return f"{root}/{_fixed_name(kind, sf_dir)}"
 
 
 def _csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seeded registration text written as CSV and read back: cleaned, then cast."""
+    """Seeded registration text written as CSV and read back: bound by name, cleaned, then cast."""
     seeded = seeded_text(fixture_sources(spark, sf_dir).registrations)
-    path = _shared_path(spark, "csv-load")
-    write_csv(seeded, path)
+    path = _shared_path(spark, "csv_load", sf_dir)
+    # the file has its own column order
+    write_csv(seeded.select("raw_note", "raw_grade", "time_strm", "raw_title", "class_crse_id", "stdnt_emplid"), path)
     schema = StructType([StructField(f.name, f.dataType, True) for f in seeded.schema.fields])
     return read_csv(spark, path, schema, widths={"raw_title": 12})
 
@@ -116,17 +122,58 @@ def _csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The degree table created, loaded, loaded again and appended to; rows counted by source."""
     alloc = allocation(spark, sf_dir)
-    table = f"load_{uuid.uuid4().hex}"
+    table = _fixed_name("table_load", sf_dir)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
     degrees = alloc.degree_subsidy.withColumn("source", F.lit("degree"))
     create_table(spark, degrees, table)
     overwrite_table(degrees, table)
     overwrite_table(degrees, table)
     append_table(spark, alloc.doctoral_degree_subsidy.withColumn("source", F.lit("doctoral_degree")), table)
-    return spark.table(table).groupBy("source", "complete_flag").agg(
+    return _by_source(spark.table(table))
+
+
+def _by_source(df: DataFrame) -> DataFrame:
+    return df.groupBy("source", "complete_flag").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count("total_all_three_years_ssi_per_degree").alias("n_totals")
     )
 
 
+def _published_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The combined degree table published in one step, its second part loaded again; rows read back."""
+    alloc = allocation(spark, sf_dir)
+    path = _shared_path(spark, "published_load", sf_dir)
+    doctoral = alloc.doctoral_degree_subsidy
+    publish(spark, path, {"degree": alloc.degree_subsidy, "doctoral_degree": doctoral}, replace=True)
+    publish(spark, path, {"doctoral_degree": doctoral})  # a repeated append replaces its part
+    return read_published(spark, path)
+
+
+def _matched_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matched registrations from facts stored in buckets of the match keys: a join without a shuffle."""
+    alloc = allocation(spark, sf_dir)
+    facts = store_match_facts(spark, alloc.passed, alloc.eligible, _fixed_name("match", sf_dir), buckets=8)
+    return published(allocation(spark, sf_dir, match_facts=facts).matched)
+
+
+def _own_unmatched_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return allocation(spark, sf_dir, own_unmatched=True).unmatched_breakdown
+
+
+def _octet_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles with characters of two to four octets, cleaned and cut to 12 octets."""
+    seeded = accented_titles(fixture_sources(spark, sf_dir).registrations)
+    return seeded.select(
+        "class_crse_id", "stdnt_emplid", "time_strm", clean_text(F.col("raw_title"), width=12).alias("class_title_ld")
+    )
+
+
+def _cleaning_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many texts the load cleaning empties, cuts and replaces, by column."""
+    regs = fixture_sources(spark, sf_dir).registrations
+    seeded = accented_titles(seeded_text(regs), "raw_note").select("raw_title", "raw_grade", "raw_note")
+    return cleaning_report(seeded, widths={"raw_title": 12, "raw_note": 16})
+
+
 def _rates_by_fiscal_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = allocation(spark, sf_dir, rate_key="fiscal_year").course_payouts
     return _round(published(df), RATE_DIGITS, COURSE_AMOUNT_COLS[:3])
@@ -148,12 +195,26 @@ def seeded_text(regs: DataFrame) -> DataFrame:
         .otherwise(F.concat(title, F.lit(" "), title))
     )
     raw_grade = F.when(k == 2, F.lit("NULL")).otherwise(F.concat(F.col("class_grade"), F.lit(" ")))
+    # what RFC 4180 quotes: quotes, commas, line breaks of both kinds, a backslash
+    raw_note = (
+        F.when(k == 0, F.concat(F.lit('said "'), title, F.lit('", twice ""')))
+        .when(k == 1, F.concat(title, F.lit("\nsecond, line\n\n\"third\"")))
+        .when(k == 2, F.concat(F.lit('"'), title, F.lit('"')))
+        .when(k == 3, F.concat(F.lit("a\\b\\\""), title, F.lit("\r\nend")))
+        .otherwise(F.lit(","))
+    )
     return regs.select(
         "class_crse_id", "stdnt_emplid", "time_strm",
-        raw_title.alias("raw_title"), raw_grade.alias("raw_grade"),
+        raw_title.alias("raw_title"), raw_grade.alias("raw_grade"), raw_note.alias("raw_note"),
     )
 
 
+def accented_titles(df: DataFrame, source: str = "class_title_ld") -> DataFrame:
+    """``df`` with vowels of a text column turned to characters of two, three and four octets."""
+    raw = F.translate(F.col(source), "aeo", "é€😀")
+    return df.withColumn("raw_title" if source == "class_title_ld" else source, raw)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "passing_grade": _stage("grade_outcomes"),
     "passed_registrations": _stage("passed"),
@@ -211,7 +272,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unmatched_breakdown": _stage("unmatched_breakdown"),
     "clean_text_load": _clean_text_load,
     "csv_load": _csv_load,
+    "octet_load": _octet_load,
+    "cleaning_report": _cleaning_report,
     "table_load": _table_load,
+    "published_load": _published_load,
+    "matched_bucketed": _matched_bucketed,
+    "match_counts": _stage("match_counts"),
+    "unmatched_breakdown_own": _own_unmatched_breakdown,
     "course_payouts_by_fiscal_year": _rates_by_fiscal_year,
     "latest_inventory_cleaned": _latest_inventory_cleaned,
 }

@@ -4,12 +4,13 @@
 Every attribute is a DataFrame; nothing runs until a caller writes or
 collects one.  Intermediate frames that several outputs share (the matched
 registrations) appear once in each plan and Spark reuses the exchange; a
-caller that writes several outputs first cuts their lineage to the shared
-checkpoint folder with ``checkpoint_shared()``.
+caller that writes several outputs first keeps them in the shared checkpoint
+folder with ``keep_shared()``.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 from cohortalloc.functions.expressions import exact_sum
 from cohortalloc.operators import audit, cohorts, degrees, doctoral, payouts, registration
 from cohortalloc.operators.payouts import COURSE_AMOUNTS, DOCTORAL_RATES, PAYOUT_YEARS
+from cohortalloc.session import configured_checkpoint_dir
+from cohortalloc.sinks.writers import delete_folder
 from cohortalloc.sources.lookups import cohort_years
 from cohortalloc.sources.readers import SourceTables
 
@@ -47,6 +50,10 @@ class Allocation:
     rate_key           'acad_year' (rates by the year credit was earned, as
                        published) or 'fiscal_year' (rates by the year paid)
     clean_inventory_ids  compare cleaned model ids of the inventory in the audits
+    own_unmatched      audit the registrations this run leaves unmatched instead
+                       of the source table ``unmatched``
+    match_facts        registrations and enrollments stored for the match join
+                       (:func:`cohortalloc.sinks.buckets.store_match_facts`)
     """
 
     def __init__(
@@ -58,6 +65,8 @@ class Allocation:
         times_credit_hours: bool = False,
         rate_key: str = "acad_year",
         clean_inventory_ids: bool = False,
+        own_unmatched: bool = False,
+        match_facts: tuple[DataFrame, DataFrame] | None = None,
     ):
         self.src = sources
         self.institution = institution
@@ -66,7 +75,9 @@ class Allocation:
         self.times_credit_hours = times_credit_hours
         self.rate_key = rate_key
         self.clean_inventory_ids = clean_inventory_ids
-        self._kept: set[str] = set()
+        self.own_unmatched = own_unmatched
+        self.match_facts = match_facts
+        self._kept: dict[str, str] = {}
 
     # --- shared registration stages -------------------------------------------
 
@@ -86,9 +97,20 @@ class Allocation:
     def model_id_cleaning(self) -> DataFrame:
         return registration.model_id_cleaning(self.eligible)
 
+    @cached_property
+    def match_outcomes(self) -> DataFrame:
+        """The one join of registrations and enrollments; matched, merged and unmatched filter it."""
+        if self.match_facts:
+            return registration.match_outcomes(*self.match_facts, salted=True)
+        return registration.match_outcomes(self.passed, self.eligible)
+
     @cached_property
     def matched(self) -> DataFrame:
-        return registration.matched_registrations(self.passed, self.eligible)
+        return registration.matched_rows(self.match_outcomes)
+
+    @cached_property
+    def match_counts(self) -> DataFrame:
+        return registration.match_counts(self.match_outcomes)
 
     @cached_property
     def matched_plain(self) -> DataFrame:
@@ -247,9 +269,20 @@ class Allocation:
     def degree_averages(self) -> DataFrame:
         return degrees.average_per_degree(self.degree_dollars)
 
+    @cached_property
+    def degree_combos(self) -> DataFrame:
+        return degrees.completions_on_active_plans(self.src.completions, self.src.acad_plans)
+
     @cached_property
     def degree_subsidy(self) -> DataFrame:
-        return degrees.finish_degrees(self.degree_averages, self.src.year_matrix)
+        dollars = degrees.model_dollars(self.src.degree_allocations, self.institution)
+        return self._degrees(self.degree_combos, dollars, by_model=True)
+
+    def _degrees(self, combos: DataFrame, dollars: DataFrame, by_model: bool) -> DataFrame:
+        """Final degree rows: everything a model's years hold comes from one look-up."""
+        years = degrees.model_years(combos, dollars, self.src.year_matrix, by_model)
+        rows = degrees.attach_model_years(combos, years, by_model)
+        return degrees.finish_degrees(degrees.average_per_degree(rows), self.src.year_matrix)
 
     @cached_property
     def degree_stats(self) -> DataFrame:
@@ -271,12 +304,9 @@ class Allocation:
 
     @cached_property
     def doctoral_degree_subsidy(self) -> DataFrame:
-        rows = degrees.attach_degree_counts(
-            self.doctoral_degree_basis, self.doctoral_degree_cohorts, by_model=False
-        )
-        rows = degrees.attach_degree_dollars(rows, by_model=False)
-        rows = degrees.average_per_degree(rows)
-        return degrees.finish_degrees(rows, self.src.year_matrix)
+        combos = degrees.completions_on_active_plans(self.src.completions, self.src.acad_plans, phd_only=True)
+        dollars = degrees.pool_dollars(self.src.doctoral_subsidy, self.institution)
+        return self._degrees(combos, dollars, by_model=False)
 
     @cached_property
     def doctoral_degree_stats(self) -> DataFrame:
@@ -315,7 +345,7 @@ class Allocation:
 
     @cached_property
     def merged(self) -> DataFrame:
-        return registration.merged_registrations(self.passed, self.eligible)
+        return registration.merged_rows(self.match_outcomes)
 
     @cached_property
     def model_id_discrepancy_rows(self) -> DataFrame:
@@ -333,20 +363,37 @@ class Allocation:
     def class_number_lengths(self) -> DataFrame:
         return audit.class_number_lengths(self.src.enrollments, self.src.term_lookup)
 
+    @cached_property
+    def unmatched(self) -> DataFrame:
+        return registration.unmatched_rows(self.match_outcomes) if self.own_unmatched else self.src.unmatched
+
     @cached_property
     def unmatched_breakdown(self) -> DataFrame:
-        return audit.unmatched_breakdown(self.src.unmatched, self.src.enrollments, self.src.term_lookup)
+        return audit.unmatched_breakdown(self.unmatched, self.src.enrollments, self.src.term_lookup)
 
     # --- materialisation ------------------------------------------------------------------
 
-    def checkpoint(self, *names: str) -> None:
-        """Write the named frames to the checkpoint folder (reliable, survives
-        executor loss), once, and read them back with a short lineage."""
+    def keep(self, *names: str) -> None:
+        """Write the named frames to the shared checkpoint folder, once, and read them back.
+
+        The files survive the loss of an executor, and later outputs read
+        only the columns they need.  :meth:`forget` deletes them.
+        """
         for name in names:
             if name not in self._kept:
-                self.__dict__[name] = getattr(self, name).checkpoint(eager=True)
-                self._kept.add(name)
-
-    def checkpoint_shared(self) -> None:
-        """Checkpoint the matched registrations, which all course outputs read."""
-        self.checkpoint("matched")
+                frame = getattr(self, name)
+                spark = frame.sparkSession
+                path = f"{configured_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+                frame.write.parquet(path)
+                self.__dict__[name] = spark.read.schema(frame.schema).parquet(path)
+                self._kept[name] = path
+
+    def keep_shared(self) -> None:
+        """Keep the match join, which all course outputs and audits filter."""
+        self.keep("match_outcomes")
+
+    def forget(self) -> None:
+        """Delete the kept files; the frames that read them are of no use afterwards."""
+        for path in self._kept.values():
+            delete_folder(self.match_outcomes.sparkSession, path)
+        self._kept.clear()

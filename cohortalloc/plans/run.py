@@ -6,16 +6,20 @@ Reads the ten source tables under ``--tables`` (``<root>/<table>``, parquet
 by default), computes the four pipelines, and writes under ``--out``
 
     course_subsidy, doctoral_subsidy, degree_subsidy, doctoral_degree_subsidy
-    combined_course_table     the course rows, doctoral course rows appended
-    combined_degree_table     the degree rows, doctoral degree rows appended
+    combined_course_table     course and doctoral course rows, marked by source
+    combined_degree_table     degree and doctoral degree rows, marked by source
     course_reconciliation     allocated vs recognised dollars
     audits                    statistics, flag, range and model-id checks
 
-The matched registrations feed every course output.  They are written once
-to the cluster's ``spark.checkpoint.dir`` (an executor lost later does not
-force the large join to be recomputed), and so are the two subsidy frames
-that a combined table shares with its own output; without that setting the
-run refuses to start.
+The join of registrations and enrollments feeds every course output and
+audit.  It is made once and kept in the cluster's ``spark.checkpoint.dir``
+(an executor lost later does not force it to be made again); without that
+setting the run refuses to start.
+
+The combined tables are published: both parts become visible together, and a
+repeated run replaces its own parts (``cohortalloc.sinks.publish``).  With
+``--database`` all outputs are loaded into tables of that database instead of
+folders.
 """
 
 from __future__ import annotations
@@ -23,11 +27,11 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cohortalloc.plans.pipelines import Allocation
 from cohortalloc.session import configured_checkpoint_dir
-from cohortalloc.sinks.writers import align_to, write_csv, write_parquet
+from cohortalloc.sinks.publish import publish, publish_table, union_of_parts
+from cohortalloc.sinks.writers import overwrite_table, write_csv, write_parquet
 from cohortalloc.sources.lookups import repeated_years
 from cohortalloc.sources.readers import load_tables
 
@@ -75,30 +79,34 @@ def output(alloc: Allocation, name: str) -> DataFrame:
 def run(
     spark: SparkSession,
     alloc: Allocation,
-    out_root: str,
+    out_root: str | None,
     fmt: str = "parquet",
     outputs: tuple[str, ...] = OUTPUTS,
+    database: str | None = None,
 ) -> dict[str, str]:
-    """Write each requested output under ``out_root``; returns name -> path."""
+    """Write each requested output under ``out_root`` or into ``database``; returns name -> path or table."""
     if not configured_checkpoint_dir(spark):
         raise ValueError("spark.checkpoint.dir must name a shared folder: the run keeps its shared frames there")
-    alloc.checkpoint_shared()
-    root = out_root.rstrip("/")
-    write = write_csv if fmt == "csv" else write_parquet
+    alloc.keep_shared()
     written = {}
     for name in outputs:
-        path = f"{root}/{name}"
+        at = f"{database}.{name}" if database else f"{out_root.rstrip('/')}/{name}"
         if name in COMBINED:
             base, mark, more, other = COMBINED[name]
-            alloc.checkpoint(base, more)
-            first = getattr(alloc, base).withColumn("source", F.lit(mark))
-            second = getattr(alloc, more).withColumn("source", F.lit(other))
-            kinds = {f.name: f.dataType.simpleString() for f in first.schema.fields}
-            write(first, path)  # replaces the table of the last run
-            write(align_to(second, first.columns, kinds), path, mode="append")
+            alloc.keep(base, more)
+            parts = {mark: getattr(alloc, base), other: getattr(alloc, more)}
+            if database:
+                publish_table(spark, at, parts, replace=True, fmt=fmt)
+            elif fmt == "csv":
+                # one write, one switch: the export has no reader that follows a pointer
+                write_csv(union_of_parts(parts), at)
+            else:
+                publish(spark, at, parts, replace=True)
+        elif database:
+            overwrite_table(output(alloc, name), at, fmt)
         else:
-            write(output(alloc, name), path)
-        written[name] = path
+            (write_csv if fmt == "csv" else write_parquet)(output(alloc, name), at)
+        written[name] = at
     return written
 
 
@@ -106,7 +114,9 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     parser.add_argument("--tables", required=True, help="root folder of the source tables")
     parser.add_argument("--institution", required=True)
-    parser.add_argument("--out", required=True, help="root folder for the outputs")
+    where = parser.add_mutually_exclusive_group(required=True)
+    where.add_argument("--out", help="root folder for the outputs")
+    where.add_argument("--database", help="database whose tables are loaded with the outputs")
     parser.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     parser.add_argument("--source-format", default="parquet")
     parser.add_argument("--year-matrix", default=None, help="CSV replacing the built-in year matrix")
@@ -116,7 +126,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--course-recode", action="store_true", help="flag course rows without an amount incomplete")
     parser.add_argument("--times-credit-hours", action="store_true", help="multiply course amounts by credit hours")
     parser.add_argument("--clean-inventory-ids", action="store_true", help="clean model ids of the inventory, too")
+    parser.add_argument("--own-unmatched", action="store_true", help="audit the registrations this run leaves unmatched")
     args = parser.parse_args(argv)
+    if args.database and args.format == "csv":
+        parser.error("tables are loaded as parquet; --format csv needs --out")
 
     from cohortalloc.session import build_session
 
@@ -132,9 +145,11 @@ def main(argv: list[str] | None = None) -> None:
         course_recode=args.course_recode,
         times_credit_hours=args.times_credit_hours,
         clean_inventory_ids=args.clean_inventory_ids,
+        own_unmatched=args.own_unmatched,
     )
-    for name, path in run(spark, alloc, args.out, args.format).items():
+    for name, path in run(spark, alloc, args.out, args.format, database=args.database).items():
         print(f"{name}\t{path}")
+    alloc.forget()
 
 
 if __name__ == "__main__":

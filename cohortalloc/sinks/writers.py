@@ -39,11 +39,21 @@ def _replace_folder(spark: SparkSession, path: str, write: Callable[[str], None]
         fs.delete(before, True)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder this package has written."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Header CSV with NULL written as an empty field (a directory of parts)."""
+    """Header CSV with NULL written as an empty field (a directory of parts).
+
+    Quoting follows RFC 4180, as ``read_csv`` reads it: a field that holds a
+    comma, a quote or a line break is quoted, and its quotes are doubled.
+    """
 
     def write(to: str, mode: str = "error") -> None:
-        options = {"header": True, "nullValue": "", "emptyValue": ""}
+        options = {"header": True, "nullValue": "", "emptyValue": "", "quote": '"', "escape": '"'}
         options |= {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}  # blanks are data
         df.write.mode(mode).options(**options).csv(to)
 

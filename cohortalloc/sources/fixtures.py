@@ -28,6 +28,12 @@ from pyspark.sql.types import (
 )
 
 from cohortalloc.functions.expressions import clean_model_id, strict_concat
+from cohortalloc.operators.registration import (
+    eligible_enrollments,
+    match_outcomes,
+    passed_registrations,
+    unmatched_rows,
+)
 from cohortalloc.sources.lookups import read_payout_matrix, read_year_matrix
 from cohortalloc.sources import schemas
 from cohortalloc.sources.readers import conform
@@ -37,6 +43,8 @@ FIXTURE_FY_RANGE = (2014, 2026)
 N_PLANS = 60
 SECOND_TOTAL_FY = 2017
 N_MATCH_IDS = 15
+#: The test tables are one row group each; the order lines are dealt to so many tasks before the joins.
+LINE_PARTITIONS = 16
 
 # --- Fixed values of the fixture mapping ------------------------------------
 # part type -> subject code
@@ -160,7 +168,8 @@ class FixtureViews:
         cust = self._table("customer", "c_custkey", "c_mktsegment")
         part = self._table("part", "p_partkey", "p_name", "p_brand", "p_type", "p_size")
         joined = (
-            li.join(orders, li.l_orderkey == orders.o_orderkey)
+            li.repartition(LINE_PARTITIONS, "l_orderkey")
+            .join(orders, li.l_orderkey == orders.o_orderkey)
             .join(cust, F.col("o_custkey") == cust.c_custkey)
             .join(part, F.col("l_partkey") == part.p_partkey)
         )
@@ -337,20 +346,9 @@ class FixtureViews:
 
     @cached_property
     def unmatched(self) -> DataFrame:
-        from cohortalloc.operators.registration import eligible_enrollments, passed_registrations
-
         passed = passed_registrations(self.registrations)
         eligible = eligible_enrollments(self.enrollments, self.term_lookup)
-        cond = (
-            (passed.time_strm == eligible.strm)
-            & (passed.new_class_number == eligible.class_nbr)
-            & (passed.campus_id == eligible.student_pid)
-        )
-        return (
-            passed.join(eligible, cond, "left_anti")
-            .select("new_class_number", "time_strm", "campus_id")
-            .distinct()
-        )
+        return unmatched_rows(match_outcomes(passed, eligible))
 
     @cached_property
     def year_matrix(self) -> DataFrame:

@@ -78,18 +78,23 @@ PAYOUT_MATRIX_ROWS = [
 OVERLAP_YEARS = (2018, 2019, 2020)
 # -----------------------------------------------------------------------------
 
+#: Lookups are broadcast; a file larger than this is no yearly lookup and is refused.
+LOOKUP_BYTES = 1 << 20
+
+
 def _csv_frame(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A lookup table from a header CSV (Spark drops a UTF-8 byte-order mark).
+    """A lookup table from a header CSV (a UTF-8 byte-order mark is dropped), bound by column name.
 
     Read lazily; :func:`repeated_years` tells whether a year has several rows.
+    The file's size is checked, since every lookup is broadcast.
     """
-    return (
-        spark.read.option("header", True)
-        .option("mode", "FAILFAST")
-        .option("encoding", "UTF-8")
-        .schema(schema)
-        .csv(path)
-    )
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+    if size > LOOKUP_BYTES:
+        raise ValueError(f"{path} has {size} bytes; a yearly lookup has at most {LOOKUP_BYTES}")
+    from cohortalloc.sources.readers import read_csv
+
+    return read_csv(spark, path, schema)
 
 
 def repeated_years(year_matrix: DataFrame, payout_matrix: DataFrame) -> DataFrame:

@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DataType,
+    DecimalType,
     DoubleType,
     FloatType,
+    IntegralType,
     NumericType,
     StringType,
     StructField,
@@ -27,7 +29,9 @@ def _same_value(col: Column, cast: Column, source: DataType, target: DataType) -
     if isinstance(target, NumericType) and isinstance(source, (NumericType, StringType)):
         exact = "decimal(38,18)"
         if isinstance(target, (DoubleType, FloatType)):
-            return cast.isNotNull()  # any number has a double; unparsable text has none
+            if isinstance(source, (IntegralType, DecimalType)):
+                return cast.try_cast("decimal(38,18)" if isinstance(source, DecimalType) else source) == col
+            return cast.isNotNull()  # any other number has a double; unparsable text has none
         return col.try_cast(exact) == cast.try_cast(exact)
     return cast.try_cast(source) == col
 
@@ -61,15 +65,44 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     return conform(df, schema) if schema is not None else df
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, widths: dict[str, int] | None = None) -> DataFrame:
+#: RFC 4180: a quote inside a quoted field is doubled, and the field may hold line breaks
+CSV_DIALECT = {"quote": '"', "escape": '"'}
+
+
+def csv_header(spark: SparkSession, path: str, multi_line: bool = True) -> list[str]:
+    """Column names of a header CSV (a file or a folder of parts), without a byte-order mark."""
+    reader = spark.read.options(header=True, multiLine=multi_line, **CSV_DIALECT)
+    return [name.lstrip("\ufeff") for name in reader.csv(path).columns]
+
+
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    widths: dict[str, int] | None = None,
+    multi_line: bool = True,
+) -> DataFrame:
     """Header CSV: every field read as text, cleaned (:func:`clean_text`), then cast.
 
-    No inference pass; blank lines are skipped.  The text ``NULL`` alone is
-    NULL; with blanks before it, it is text.
+    Fields are bound by the names in the header, in whatever order the file
+    has them; columns the schema does not name are not kept, and one that the
+    file lacks raises.  Parts whose header differs from the others' raise when
+    they are read.  Quoting follows RFC 4180.  No inference pass; blank lines
+    are skipped.  The text ``NULL`` alone is NULL; with blanks before it, it
+    is text.  ``widths`` are octets.
+
+    A quoted field may hold line breaks, so a file is read by one task (the
+    parts of a folder in parallel); ``multi_line=False`` splits large files
+    that are known to have none.
     """
-    names = StructType([StructField(f.name, StringType(), True) for f in schema.fields])
-    raw = spark.read.option("header", True).option("mode", "FAILFAST").schema(names).csv(path)
-    return conform(clean_strings(raw, widths), schema)
+    names = csv_header(spark, path, multi_line)
+    lacking = [f.name for f in schema.fields if f.name not in names]
+    if lacking:
+        raise ValueError(f"{path} has no column {', '.join(lacking)}; its header: {', '.join(names)}")
+    texts = StructType([StructField(name, StringType(), True) for name in names])
+    options = {"header": True, "mode": "FAILFAST", "enforceSchema": False, "multiLine": multi_line}
+    raw = spark.read.options(**options, **CSV_DIALECT).schema(texts).csv(path)
+    return conform(clean_strings(raw.select(*schema.fieldNames()), widths), schema)
 
 
 def read_jdbc(
@@ -98,21 +131,37 @@ def read_jdbc(
     return conform(reader.load(), schema)
 
 
+def cut_to_octets(col: Column, width: int) -> Column:
+    """The longest beginning of a text that takes at most ``width`` octets in UTF-8.
+
+    A character that would cross the limit is dropped whole: if the byte
+    behind the limit continues a character (10xxxxxx), the cut moves back to
+    where that character begins.
+    """
+    octets = F.encode(col, "utf-8")
+    kept = F.substring(octets, 1, width)
+    # the byte behind the limit and the three before it: one of them begins a character
+    byte = lambda back: F.conv(F.hex(F.substring(octets, width + 1 - back, 1)), 16, 10).cast("int")
+    begins = lambda back: byte(back).bitwiseAND(F.lit(0xC0)) != 0x80
+    whole = F.when(begins(0), kept)
+    for back in (1, 2, 3):
+        whole = whole.when(begins(back), F.substring(octets, 1, width - back))
+    return F.when(F.octet_length(col) <= width, col).otherwise(F.decode(whole, "utf-8"))
+
+
 def clean_text(col: Column, width: int | None = None, null_text: str = "NULL") -> Column:
     """Load-time cleaning of one text column.
 
     The field text ``NULL`` becomes NULL, trailing blanks are trimmed, a blank
     field becomes NULL, invalid UTF-8 is replaced, and an over-long value is
-    cut to ``width`` characters.
+    cut to ``width`` octets of UTF-8, never within a character.
     """
     valid = F.make_valid_utf8(col)
     trimmed = F.rtrim(valid)
     out = F.when((valid == F.lit(null_text)) | (trimmed == F.lit("")), F.lit(None)).otherwise(
         trimmed
     )
-    if width is not None:
-        out = F.substring(out, 1, width)
-    return out
+    return out if width is None else cut_to_octets(out, width)
 
 
 def clean_strings(df: DataFrame, widths: dict[str, int] | None = None) -> DataFrame:
@@ -127,6 +176,33 @@ def clean_strings(df: DataFrame, widths: dict[str, int] | None = None) -> DataFr
     )
 
 
+def cleaning_report(df: DataFrame, widths: dict[str, int] | None = None) -> DataFrame:
+    """(column, n_values, n_nulled, n_cut, n_replaced): what :func:`clean_strings` does to ``df``.
+
+    ``n_nulled`` counts texts that become NULL, ``n_cut`` texts over their
+    width after trimming, ``n_replaced`` texts with invalid UTF-8.  One pass
+    over the rows, one aggregate for all columns.
+    """
+    widths = widths or {}
+    names = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    counts = []
+    for i, name in enumerate(names):
+        col = F.col(f"`{name}`")
+        whole, width = clean_text(col), widths.get(name)
+        counts += [
+            F.count(col).alias(f"n_values_{i}"),
+            F.count_if(col.isNotNull() & whole.isNull()).alias(f"n_nulled_{i}"),
+            (F.count_if(F.octet_length(whole) > width) if width is not None else F.lit(0).cast("long")).alias(f"n_cut_{i}"),
+            F.count_if(~F.is_valid_utf8(col)).alias(f"n_replaced_{i}"),
+        ]
+    measures = ("n_values", "n_nulled", "n_cut", "n_replaced")
+    rows = [
+        F.struct(F.lit(name).alias("column"), *[F.col(f"{m}_{i}").alias(m) for m in measures])
+        for i, name in enumerate(names)
+    ]
+    return df.agg(*counts).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 class SourceTables(Protocol):
     """What the pipelines read: ten tables and two yearly lookups.
 

@@ -57,3 +57,25 @@ def test_no_exchange_on_a_year_or_model_alone(spark, name):
 @pytest.mark.parametrize("name", ["cohort_weights", "allocated_rates", "doctoral_rates", "course_subsidy"])
 def test_no_window_over_fiscal_years(spark, name):
     assert "Window" not in _plan(QUERIES[name](spark, SF))
+
+
+@pytest.mark.parametrize("name", ["degree_subsidy", "doctoral_degree_subsidy"])
+def test_degree_rows_are_shuffled_once_for_all_their_look_ups(spark, name):
+    # from the distinct degrees on: one exchange, by model and salt, even if nothing is broadcast by size
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(QUERIES[name](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    salted = re.findall(r"hashpartitioning\([^)]*_salt#[^)]*\)", plan)
+    assert len(salted) == 2, salted  # the degrees, and their small look-up
+    degrees = [x for x in re.findall(r"hashpartitioning\(([^)]*)\)", plan) if "stdnt_emplid" in x]
+    assert len(set(degrees)) == 1, degrees  # the DISTINCT itself
+    assert not re.search(r"hashpartitioning\(matchid#\d+, degree_ocurred", plan.split("_salt", 1)[0])
+
+
+def test_course_rates_are_read_without_a_generator(spark):
+    # cohort years are unpivoted and year/basis pairs exploded; the enrollment grain is not
+    plan = QUERIES["course_payouts"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_lk_hit" not in plan
