@@ -40,7 +40,9 @@ matrices, so that no pair of sources becomes a row per term.
 
 from __future__ import annotations
 
+import itertools
 import zlib
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -51,12 +53,13 @@ from cohortalloc.llm.common import materialise, ship_package, table
 
 MIN_DOCS = 10
 TOP = 10
-FIRST = 2  # bytes of the first level's prefixes
+FIRST = 4  # bytes of the first level's prefixes
 FILTER_BITS = 1 << 25
 CHARS = 1 << 23  # of text in a block
-CELLS = 1 << 16  # cells of the (source, term) counts in a block of terms, about
-TILE = 512  # sources whose pairs one task adds up
+TERMS = 1 << 12  # kept terms of a block of terms, about
+TILE = 512  # sources of a tile, about
 MATRIX = 1 << 21  # numbers in one matrix
+REMEMBERED = 1 << 19  # answers a worker keeps per language and filter
 
 END = b"\0"  # no term holds it
 BITMAP = 1 << 15  # bits of one of Spark's bitmaps
@@ -73,15 +76,10 @@ def terms_of(text: str) -> list[bytes]:
 
 def block_of(lang: str, sources: list[str], texts: list[str]) -> dict:
     """One block: the documents' distinct terms, numbered, with their counts."""
-    numbers: dict[bytes, int] = {}
-    docs, found = [], []
-    for i, text in enumerate(texts):
-        terms = terms_of(text)
-        for term in set(terms).difference(numbers):
-            numbers[term] = len(numbers)
-        docs.append(np.full(len(terms), i, np.int64))
-        found.append(np.fromiter(map(numbers.__getitem__, terms), np.int64, len(terms)))
-    pairs, n = np.unique(np.concatenate(docs) * max(1, len(numbers)) + np.concatenate(found), return_counts=True)
+    numbers: defaultdict[bytes, int] = defaultdict(itertools.count().__next__)
+    found = [np.fromiter(map(numbers.__getitem__, terms_of(text)), np.int64) for text in texts]
+    docs = np.repeat(np.arange(len(texts)), [len(x) for x in found])
+    pairs, n = np.unique(docs * max(1, len(numbers)) + np.concatenate(found), return_counts=True)
     doc, term = np.divmod(pairs, max(1, len(numbers)))
     names, of_doc = np.unique(np.array(sources, object), return_inverse=True)
     return {
@@ -98,23 +96,22 @@ def blocks(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
         schema = pa.schema([("lang", pa.string()), ("sources", pa.list_(pa.string()))] + [
             (c, pa.binary()) for c in ("terms", "doc", "doc_source", "term", "n")])
         held: dict[str, tuple[list, list]] = {}
-        size = 0
+        sizes: dict[str, int] = {}
 
-        def made():
-            return pa.RecordBatch.from_pylist([block_of(k, *v) for k, v in held.items()], schema)
+        def made(of):
+            sizes.pop(of)
+            return pa.RecordBatch.from_pylist([block_of(of, *held.pop(of))], schema)
 
         for batch in batches:
             for of, at, whole in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text"))):
                 sources, texts = held.setdefault(of, ([], []))
                 sources.append(at)
                 texts.append(whole)
-                size += len(whole) + 1
-                if size >= CHARS:
-                    yield made()
-                    held.clear()
-                    size = 0
-        if held:
-            yield made()
+                sizes[of] = sizes.get(of, 0) + len(whole) + 1
+                if sizes[of] >= CHARS or sum(sizes.values()) >= 2 * CHARS:
+                    yield made(max(sizes, key=sizes.get))
+        for of in list(held):
+            yield made(of)
 
     known = lambda c, name: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(name)
     return docs.select(known(lang, "lang"), known(source, "source"), known(text, "text")).mapInArrow(read, BLOCK)
@@ -125,11 +122,22 @@ class Filter:
 
     def __init__(self, bitmaps: dict[int, bytes], bits: int):
         self.bitmaps, self.bits = bitmaps, bits
-
-    def holds(self, key: int) -> bool:
-        part, at = divmod(key % self.bits, BITMAP)
-        bitmap = self.bitmaps.get(part)
-        return bitmap is not None and bool(bitmap[at >> 3] >> (at & 7) & 1)
+        self.known: dict[str, dict[bytes, bool]] = {}
+
+    def among(self, lang: str, prefixes: list[bytes]) -> list[bool]:
+        """For each prefix of the language whether its bit is set; answers are remembered."""
+        known = self.known.setdefault(lang, {})
+        if len(known) > REMEMBERED:
+            known.clear()
+        start, out = zlib.crc32(lang.encode() + END), []
+        for prefix in prefixes:
+            held = known.get(prefix)
+            if held is None:
+                part, at = divmod(zlib.crc32(prefix, start) % self.bits, BITMAP)
+                bitmap = self.bitmaps.get(part)
+                held = known[prefix] = bitmap is not None and bool(bitmap[at >> 3] >> (at & 7) & 1)
+            out.append(held)
+        return out
 
 
 def filter_of(prefixes: DataFrame) -> Filter:
@@ -145,12 +153,12 @@ def prefix_of(term: bytes, length: int) -> bytes:
     return term + END if len(term) <= length else term[:length]
 
 
-def alive(lang: str, term: bytes, length: int, before: Filter | None) -> bool:
-    """Whether a term takes part in a level: not complete before, and its shorter prefix survived."""
+def alive(lang: str, terms: list[bytes], length: int, before: Filter | None) -> list[bool]:
+    """Which terms take part in a level: not complete before, and their shorter prefix survived."""
     if before is None:
-        return True
+        return [True] * len(terms)
     last = length // 2
-    return len(term) > last and before.holds(zlib.crc32(term[:last], zlib.crc32(lang.encode() + END)))
+    return [ok and len(t) > last for ok, t in zip(before.among(lang, [t[:last] for t in terms]), terms)]
 
 
 def _numbers(row: dict, *names: str) -> list[np.ndarray]:
@@ -168,10 +176,10 @@ def counted(held: DataFrame, length: int, before: Filter | None) -> DataFrame:
     def count(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                lang, ids = row["lang"], {}
+                lang, terms, ids = row["lang"], _terms(row), {}
                 at = np.array([
-                    ids.setdefault(prefix_of(t, length), len(ids)) if alive(lang, t, length, shared.value) else -1
-                    for t in _terms(row)], np.int64)
+                    ids.setdefault(prefix_of(t, length), len(ids)) if ok else -1
+                    for t, ok in zip(terms, alive(lang, terms, length, shared.value))], np.int64)
                 if ids:
                     doc, term = _numbers(row, "doc", "term")
                     used = at[term] >= 0
@@ -203,16 +211,21 @@ def kept_terms(held: DataFrame, min_docs: int = MIN_DOCS, first: int = FIRST) ->
     return kept
 
 
-def cells(held: DataFrame, kept: DataFrame) -> DataFrame:
-    """(lang, source, term, n): occurrences of every kept term in every group that has it."""
+def cells(held: DataFrame, kept: DataFrame, n_blocks: int, n_tiles: int) -> DataFrame:
+    """(lang, block, tile, source, term, n): occurrences of every kept term in every group that has it.
+
+    What a block of text has of a block of terms and a tile of sources travels
+    as one row of numbers.
+    """
     shared = held.sparkSession.sparkContext.broadcast(filter_of(kept))
+    kinds = {"sources": pa.list_(pa.string()), "terms": pa.binary(), "source": pa.binary(), "term": pa.binary(), "n": pa.binary()}
+    keys = ["lang", "block", "tile"]
 
     def count(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                terms = _terms(row)
-                start = zlib.crc32(row["lang"].encode() + END)
-                kept_here = np.array([shared.value.holds(zlib.crc32(t + END, start)) for t in terms], bool)
+                terms, rows = _terms(row), []
+                kept_here = np.array(shared.value.among(row["lang"], [t + END for t in terms]), bool)
                 doc, of_doc, term, n = _numbers(row, "doc", "doc_source", "term", "n")
                 if not kept_here.any():
                     continue
@@ -220,15 +233,56 @@ def cells(held: DataFrame, kept: DataFrame) -> DataFrame:
                 pair, at = np.unique(of_doc[doc[used]] * len(terms) + term[used], return_inverse=True)
                 total = np.bincount(at, weights=n[used], minlength=len(pair)).astype(np.int64)
                 source, term = np.divmod(pair, len(terms))
-                yield pa.record_batch(
-                    [pa.array([row["lang"]] * len(pair), pa.string()), pa.array(row["sources"]).take(pa.array(source)),
-                     pa.array([t + END for t in terms], pa.binary()).take(pa.array(term)), pa.array(total)],
-                    names=["lang", "source", "prefix", "n"])
+                tile = np.array([zlib.crc32(s.encode()) % n_tiles for s in row["sources"]])
+                block = np.array([zlib.crc32(t) % n_blocks for t in terms])
+                key = block[term] * n_tiles + tile[source]
+                order = np.argsort(key, kind="stable")
+                for some in np.split(order, np.flatnonzero(np.diff(key[order])) + 1):
+                    names, of = np.unique(term[some], return_inverse=True)
+                    rows.append({
+                        "lang": row["lang"], "block": int(key[some[0]] // n_tiles), "tile": int(key[some[0]] % n_tiles),
+                        "sources": row["sources"], "terms": END.join([terms[i] for i in names]),
+                        "source": source[some].astype(np.int32).tobytes(), "term": of.astype(np.int32).tobytes(),
+                        "n": total[some].astype(np.int64).tobytes(),
+                    })
+                schema = [("lang", pa.string()), ("block", pa.int32()), ("tile", pa.int32()), *kinds.items()]
+                yield pa.RecordBatch.from_pylist(rows, pa.schema(schema))
+
+    def add_up(pieces: pa.Table, known: pa.Table) -> pa.Table:
+        kept_terms = {t[:-1] for t in known["prefix"].to_pylist()}  # the filter also lets others through
+        terms: defaultdict[bytes, int] = defaultdict(itertools.count().__next__)
+        sources: defaultdict[str, int] = defaultdict(itertools.count().__next__)
+        pairs, n = [], []
+        for row in pieces.to_pylist():
+            of_term = np.fromiter(map(terms.__getitem__, _terms(row)), np.int64)
+            of_source = np.fromiter(map(sources.__getitem__, row["sources"]), np.int64)
+            source, term = _numbers(row, "source", "term")
+            pairs.append(of_source[source] << 32 | of_term[term])
+            n.append(np.frombuffer(row["n"], np.int64))
+        if pairs:
+            pair, at = np.unique(np.concatenate(pairs), return_inverse=True)
+            total = np.zeros(len(pair), np.int64)
+            np.add.at(total, at, np.concatenate(n))
+            true = np.array([t in kept_terms for t in terms], bool)[pair & 0xFFFFFFFF]
+            pair, total = pair[true], total[true]
+        else:
+            pair, total = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        first = pieces if pieces.num_rows else known
+        same = lambda c, kind: pa.array([first[c][0].as_py()] * len(pair), kind)
+        return pa.table({
+            "lang": same("lang", pa.string()), "block": same("block", pa.int32()), "tile": same("tile", pa.int32()),
+            "source": pa.array(list(sources), pa.string()).take(pa.array(pair >> 32)),
+            "term": pa.array(list(terms), pa.binary()).cast(pa.string()).take(pa.array(pair & 0xFFFFFFFF)),
+            "n": pa.array(total, pa.int64()),
+        })
 
-    rows = held.mapInArrow(count, "lang string, source string, prefix binary, n long")
-    rows = rows.groupBy("lang", "source", "prefix").agg(F.sum("n").alias("n"))
-    rows = rows.join(kept.select("lang", "prefix"), ["lang", "prefix"])  # the filter also lets others through
-    return rows.select("lang", "source", F.expr("decode(substring(prefix, 1, length(prefix) - 1), 'utf-8')").alias("term"), "n")
+    schema = "lang string, block int, tile int, sources array<string>, terms binary, source binary, term binary, n binary"
+    pieces = held.mapInArrow(count, schema)
+    bare = F.substring("prefix", 1, F.octet_length("prefix") - 1)
+    known = kept.select("lang", (F.crc32(bare) % n_blocks).cast("int").alias("block"), "prefix")
+    known = known.withColumn("tile", F.explode(F.sequence(F.lit(0), F.lit(n_tiles - 1))))
+    met = pieces.groupBy(*keys).cogroup(known.groupBy(*keys))
+    return met.applyInArrow(add_up, "lang string, block int, tile int, source string, term string, n long")
 
 
 def share(n: Column, total: Column, kinds: Column) -> Column:
@@ -245,7 +299,7 @@ def divergence(p: Column, q: Column) -> Column:
 def pair_sums(counts: DataFrame, groups: DataFrame, n_blocks: int, n_tiles: int) -> DataFrame:
     """(lang, source, item, value) for every two groups of a language.
 
-    ``counts`` holds (lang, source, term, p, tile), ``groups`` (lang, source, none, tile),
+    ``counts`` holds (lang, block, tile, source, term, p), ``groups`` (lang, source, none, tile),
     ``none`` being p of a term the group lacks.
     """
 
@@ -289,8 +343,7 @@ def pair_sums(counts: DataFrame, groups: DataFrame, n_blocks: int, n_tiles: int)
         df = df.withColumn("other", other)
         return df.withColumns({"lo": F.least("tile", "other"), "hi": F.greatest("tile", "other")}).drop("other")
 
-    block = F.pmod(F.xxhash64("term"), F.lit(n_blocks)).cast("int")
-    found = dealt(counts.withColumn("block", block))
+    found = dealt(counts)
     known = dealt(groups).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
     keys = ["lang", "block", "lo", "hi"]
     met = found.groupBy(*keys).cogroup(known.groupBy(*keys))
@@ -306,22 +359,20 @@ def audit(
     ship_package(docs.sparkSession)
     held = materialise(blocks(docs, text, lang, source), "term-blocks")
     kept = kept_terms(held, min_docs)
-    found = materialise(cells(held, kept), "term-cells")
     kinds = kept.groupBy("lang").agg(F.count("*").alias("kinds"))
-    used = found.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    number = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
     groups = held.select("lang", F.explode("sources").alias("source")).distinct()
+    most = groups.groupBy("lang").count().agg(F.max("count")).first()[0] or 1
+    n_tiles, n_blocks = -(-most // TILE), max(1, -(-kept.count() // TERMS))
+    found = materialise(cells(held, kept, n_blocks, n_tiles), "term-cells")
+    used = found.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = groups.join(used, ["lang", "source"], "left").join(kinds, ["lang"], "left").na.fill(0, ["total", "kinds"])
     none = F.when(F.col("kinds") > 0, share(F.lit(0), F.col("total"), F.col("kinds"))).otherwise(F.lit(1))
-    groups = groups.withColumns({"none": none, "tile": F.floor(number / TILE).cast("int")})
-    groups = materialise(groups, "groups")
-    sized = found.agg(F.count("*").alias("n")).first()["n"]
-    n_tiles = (groups.agg(F.max("tile")).first()[0] or 0) + 1
+    tile = (F.crc32(F.encode("source", "utf-8")) % n_tiles).cast("int")
+    groups = materialise(groups.withColumn("none", none), "groups")
     counts = found.join(groups, ["lang", "source"])
     counts = counts.withColumn("p", share(F.col("n"), F.col("total"), F.col("kinds")))
-    pairs = pair_sums(
-        counts.select("lang", "source", "term", "p", "tile"), groups.select("lang", "source", "none", "tile").toDF("lang", "source", "none", "tile"),
-        max(1, -(-sized // CELLS)), n_tiles)
+    known = groups.select("lang", "source", "none").toDF("lang", "source", "none").withColumn("tile", tile)
+    pairs = pair_sums(counts.select("lang", "block", "tile", "source", "term", "p"), known, n_blocks, n_tiles)
     overall = found.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))
     totals = found.groupBy("lang").agg(F.sum("n").alias("lang_total"))
     terms = counts.join(overall, ["lang", "term"]).join(totals, ["lang"])

@@ -69,7 +69,7 @@ def test_equals_brute_force(spark, texts):
 
 
 def test_small_blocks_tiles_and_a_crowded_filter(spark, texts, monkeypatch):
-    monkeypatch.setattr(ia, "CELLS", 40)
+    monkeypatch.setattr(ia, "TERMS", 3)
     monkeypatch.setattr(ia, "MATRIX", 12)
     monkeypatch.setattr(ia, "TILE", 2)
     monkeypatch.setattr(ia, "FILTER_BITS", 8)  # nearly every bit is shared
