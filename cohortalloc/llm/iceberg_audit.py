@@ -53,7 +53,7 @@ from cohortalloc.llm.common import materialise, ship_package, table
 
 MIN_DOCS = 10
 TOP = 10
-FIRST = 4  # bytes of the first level's prefixes
+FIRST = 8  # bytes of the first level's prefixes; shorter ones are hardly ever rare
 FILTER_BITS = 1 << 25
 CHARS = 1 << 23  # of text in a block
 TERMS = 1 << 12  # kept terms of a block of terms, about

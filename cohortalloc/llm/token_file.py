@@ -15,7 +15,8 @@ documents, number of ids, number of blocks, doc_id null flags, doc_ids,
 ids per document, bit offset per block, then the bits.
 
 Edge cases.  A NULL text counts as empty and holds the end id alone.  Rows
-with equal doc_id all stay, ordered by their ids; NULL doc_ids come first.
+with equal doc_id all stay, ordered by their ids; NULL doc_ids come first, in
+parts of their own by a hash of the text.
 An empty table gives an empty file set and an empty result.  Columns other
 than ``doc_id`` and ``text`` are ignored.
 
@@ -45,23 +46,28 @@ MAX_BITS = 18
 STEP = 256
 BLOB_TOKENS = 1 << 18
 MAGIC = b"HUF1"
-#: Pieces kept per Python worker (about 200 bytes each).
-CACHE_PIECES = 300_000
+#: Words, and pieces, kept per Python worker between two runs of texts (about 200 bytes each).
+CACHE_PIECES = 200_000
 
 
 # fixed value: the split of the word-level vocabulary, for ASCII and Latin letters
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch
+# the same for a whole text: white space only parts words
+_PLAIN_TEXT = re.compile(r"[ \t\n\r!-~À-ÖØ-öø-ÿ]*").fullmatch
+_TEXT_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9 \t\n\r]+")
 
 
 class PieceEncoder:
-    """Ids of a text by its white-space separated pieces, each encoded once.
+    """Ids of a text by its words or pieces, each encoded once.
 
     The tokenizer folds white space and drops it, and neither its
     normalisation nor its split crosses it, so the ids of a text are the ids
-    of its pieces in order.  Pieces and words seen before come from bounded
-    tables; new words go to the library's model, and pieces with unusual
-    signs or a special token through the whole tokenizer.
+    of its white-space separated pieces in order, and those of a piece the
+    ids of its words.  Texts of common signs alone are cut into words at once;
+    others go piece by piece, and pieces with unusual signs or a special token
+    through the whole tokenizer.  Words and pieces seen before come from
+    bounded tables; new words go to the library's model.
     """
 
     def __init__(self, path: str):
@@ -76,8 +82,7 @@ class PieceEncoder:
             self.special = [t["content"] for t in json.load(f)["added_tokens"]]
         letters = ByteLevel(add_prefix_space=False, use_regex=False)
         self.shown = {ord(c): letters.pre_tokenize_str(c)[0][0] for c in map(chr, range(33, 256)) if _PLAIN(c)}
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.known, self.words = Remembered(self.piece), Remembered(self.word)
 
     @staticmethod
     def pieces(text: str) -> list[str]:
@@ -92,30 +97,48 @@ class PieceEncoder:
         return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u2").tobytes()
 
     def word(self, word: str) -> bytes:
-        found = self.words.get(word)
-        if found is None:
-            ids = [t.id for t in self.tokenizer.model.tokenize(word.translate(self.shown))]
-            found = struct.pack(f"<{len(ids)}H", *ids)
-            if len(self.words) >= CACHE_PIECES:
-                self.words.clear()
-            self.words[word] = found
-        return found
+        ids = [t.id for t in self.tokenizer.model.tokenize(word.translate(self.shown))]
+        return struct.pack(f"<{len(ids)}H", *ids)
 
     def piece(self, piece: str) -> bytes:
         if not _PLAIN(piece) or "<|" in piece and any(s in piece for s in self.special):
             return self.whole(piece)
-        return b"".join([self.word(w) for w in _WORDS.findall(piece.lower())])
+        return b"".join(map(self.words.__getitem__, _WORDS.findall(piece.lower())))
+
+    def encode_one(self, text: str) -> bytes:
+        if "<|" not in text and _PLAIN_TEXT(text):
+            return b"".join(map(self.words.__getitem__, _TEXT_WORDS.findall(text.lower())))
+        return b"".join(map(self.known.__getitem__, self.pieces(text)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 16-bit numbers."""
-        split = [self.pieces(t) for t in texts]
-        wanted = set().union(*split)
-        missing = wanted.difference(self.known)
-        if len(self.known) + len(missing) > CACHE_PIECES and self.known:
-            self.known.clear()
-            missing = wanted
-        self.known.update([(p, self.piece(p)) for p in missing])
-        return [b"".join(map(self.known.__getitem__, ps)) for ps in split]
+        for held in (self.words, self.known):
+            if len(held) > CACHE_PIECES:
+                held.turn()
+        return [self.encode_one(t) for t in texts]
+
+
+class Remembered(dict):
+    """A table that fills itself: ``make`` gives the value of a key it lacks.
+
+    ``turn`` starts a new table and keeps the full one behind it, so what is
+    used again is not made again.
+    """
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
+
+    def turn(self) -> None:
+        self.old = dict(self)
+        self.clear()
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -152,7 +175,10 @@ def tokenise(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                 names=["doc_id", "part", "ids"],
             )
 
-    narrow = docs.select("doc_id", range_of(F.col("doc_id"), bounds).alias("part"), "text")
+    # rows without a key are spread, before all others
+    unkeyed = -1 - F.pmod(F.xxhash64("text"), F.lit(parts))
+    part = F.when(F.col("doc_id").isNull(), unkeyed).otherwise(range_of(F.col("doc_id"), bounds)).cast("int")
+    narrow = docs.select("doc_id", part.alias("part"), "text")
     return narrow.mapInArrow(run, "doc_id long, part int, ids binary")
 
 

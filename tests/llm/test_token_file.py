@@ -84,3 +84,21 @@ def test_code_lengths_are_optimal_and_limited():
     assert T.code_lengths(np.array([0, 9, 0])).tolist() == [0, 1, 0]
     with pytest.raises(ValueError):
         T.code_lengths(np.ones(9), 3)
+
+
+def test_tables_of_words_turn_over(monkeypatch):
+    monkeypatch.setattr(T, "CACHE_PIECES", 3)
+    enc = T.PieceEncoder(PATH)
+    for text in [*filter(None, HARD), *filter(None, HARD)]:
+        assert np.frombuffer(enc.encode([text])[0], "<u2").tolist() + [2] == expected([text])[0]
+
+
+def test_registered_query_equals_the_library(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    got = sorted(map(tuple, T.op5_token_file(spark, folder).collect()))
+    want, start = [], 0
+    for row, ids in zip(docs, expected([r.text for r in docs])):
+        want.append((row.doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert got == want
