@@ -47,7 +47,7 @@ STEP = 256
 BLOB_TOKENS = 1 << 18
 MAGIC = b"HUF1"
 #: Words, and pieces, kept per Python worker between two runs of texts (about 200 bytes each).
-CACHE_PIECES = 200_000
+CACHE_PIECES = 80_000
 
 
 # fixed value: the split of the word-level vocabulary, for ASCII and Latin letters
