@@ -60,12 +60,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 def runs_of_texts(column, chars: int = 1 << 20):
     """The texts of an Arrow column (NULL: empty) in lists of about ``chars`` code points."""
     held, size = [], 0
-    for text in column.to_pylist():
-        held.append(text or "")
-        size += len(held[-1])
-        if size >= chars:
-            yield held
-            held, size = [], 0
+    for at in range(0, len(column), 128):  # not all of a batch as Python text at once
+        for text in column.slice(at, 128).to_pylist():
+            held.append(text or "")
+            size += len(held[-1])
+            if size >= chars:
+                yield held
+                held, size = [], 0
     if held:
         yield held
 

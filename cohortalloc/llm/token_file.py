@@ -47,7 +47,7 @@ STEP = 256
 BLOB_TOKENS = 1 << 18
 MAGIC = b"HUF1"
 #: Words, and pieces, kept per Python worker between two runs of texts (about 200 bytes each).
-CACHE_PIECES = 80_000
+CACHE_PIECES = 160_000
 
 
 # fixed value: the split of the word-level vocabulary, for ASCII and Latin letters
@@ -97,7 +97,7 @@ class PieceEncoder:
         return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u2").tobytes()
 
     def word(self, word: str) -> bytes:
-        ids = [t.id for t in self.tokenizer.model.tokenize(word.translate(self.shown))]
+        ids = [t.id for t in self.tokenizer.model.tokenize(word if word.isascii() else word.translate(self.shown))]
         return struct.pack(f"<{len(ids)}H", *ids)
 
     def piece(self, piece: str) -> bytes:
@@ -112,22 +112,20 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 16-bit numbers."""
-        for held in (self.words, self.known):
-            if len(held) > CACHE_PIECES:
-                held.turn()
+        self.words, self.known = self.words.kept(), self.known.kept()
         return [self.encode_one(t) for t in texts]
 
 
 class Remembered(dict):
     """A table that fills itself: ``make`` gives the value of a key it lacks.
 
-    ``turn`` starts a new table and keeps the full one behind it, so what is
-    used again is not made again.
+    A table that has grown full is followed by a new one, which asks the full
+    one first, so that what is used again is not made again.
     """
 
-    def __init__(self, make):
+    def __init__(self, make, old=None):
         super().__init__()
-        self.make, self.old = make, {}
+        self.make, self.old = make, old or {}
 
     def __missing__(self, key):
         value = self.old.get(key)
@@ -136,9 +134,11 @@ class Remembered(dict):
         self[key] = value
         return value
 
-    def turn(self) -> None:
-        self.old = dict(self)
-        self.clear()
+    def kept(self) -> Remembered:
+        if len(self) <= CACHE_PIECES:
+            return self
+        self.old = {}
+        return Remembered(self.make, self)
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
