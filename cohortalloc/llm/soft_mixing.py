@@ -5,18 +5,27 @@ words and sign runs of a text (hashed to ``BUCKETS``) and its share of
 distinct words; it gives every document a posterior over the domains.  The
 documents' rates r >= 0 (expected copies) then solve
 
-    minimise  sum over domains d of (sum_i r_i t_i p_id - T_d)^2 / n_d
-
-where t_i are a document's tokens, p_id its posteriors, n_d the expected
-tokens of the domain at rate 1 and T_d its target (weight times the tokens
-of all documents), by projected gradient from r = 1: every step is one
-distributed sum of D numbers and one update of the rates, projected on
-r >= 0.  Because a step changes a rate by the inner product of p_i with the
-same D numbers for all documents, the list of steps is the whole solution:
-a rate can be computed from a text alone, without a join.
+    minimise  the squares of  sum_i r_i t_i p_id - T_d  over the domains d
+
+where t_i are a document's tokens, p_id its posteriors and T_d its target
+(weight times the tokens of all documents), by accelerated projected gradient
+from r = 1.  The squares are taken in the metric of the inverse of the sum of
+t_i p_i p_i', in which a step of length 1 is the longest safe one however much
+the domains overlap: without documents at rate 0 it meets the targets at once.
+Every step is one distributed sum of D numbers and one update of the rates,
+projected on r >= 0.  Because a step changes a rate by the inner product of
+p_i with the same D numbers for all documents, the list of steps is the whole
+solution: a rate can be computed from a text alone, without a join.
+
+Steps go on until the targets are met within ``TOLERANCE`` of all tokens, or
+until they no longer come nearer: then no nonnegative rates reach the targets,
+and the result says how much is missing (``miss``, a share of all tokens).
 
 Fit.  The classifier learns from at most about ``TRAIN`` labelled documents,
-chosen by a hash of the key; the least squares run over all documents.
+chosen by a hash of the key; the least squares run over all documents.  A
+word's weight for a domain is the log of (count + ``SHRINK``) over (expected
+count + ``SHRINK``): the same rule at every size, under which a word seen once
+says little and one seen often what its counts say.
 
 Edge cases.  A NULL or empty text has no words and no tokens; its posterior
 is that of the empty class of texts.  Labels without a key or domain, or of
@@ -29,7 +38,8 @@ empty result.
 Scale.  Texts are read twice (sample, posteriors) and never shuffled, but
 for the sample's.  The driver sees one row per word bucket and domain, and
 D x D sums.  Documents' small rows are written once, and again every
-``UNROLL`` steps to keep the expression short.
+``UNROLL`` steps with the rates reached by then.  Columns of the documents
+travel in one struct, so no name of theirs can clash with one used here.
 """
 
 from __future__ import annotations
@@ -45,12 +55,14 @@ from cohortalloc.llm.common import materialise, table
 BUCKETS = 16384
 RATIOS = 24
 TRAIN = 20_000
-SMOOTHING = 10_000
-#: Standard deviations a bucket's count in a domain must be off to count.
-SIGNIFICANT = 2.5
-STEPS = 48
-UNROLL = 12
+#: Occurrences of a word as expected that stand against those seen.
+SHRINK = 0.5
+#: Likelihood ratio at which a word's weight is half of what its counts say.
+CHANCE = 10.0
+UNROLL = 16
 TOLERANCE = 1e-4
+#: Steps without a better miss (by a hundredth) that show the targets to be out of reach.
+PATIENCE = 40
 #: Words and runs of other signs.
 PIECES = r"\p{L}+|[^\p{L}\s]+"
 
@@ -102,18 +114,18 @@ def train(docs: DataFrame, labelled: DataFrame, domains: list[str], key: str = "
         return []
     with np.errstate(divide="ignore"):
         prior = np.log(docs_of / docs_of.sum())
-    def smoothed(counts: np.ndarray, total: np.ndarray, weight: float) -> np.ndarray:
-        """Log shares of a domain's total, drawn towards the shares in all domains."""
-        overall = (counts.sum(axis=0) + 0.5) / (total.sum() + 0.5 * counts.shape[1])
-        return np.log((counts + weight * overall) / (total + weight))
+
+    def weights(counts: np.ndarray) -> np.ndarray:
+        """Log of seen over expected counts, times how far the two are from chance."""
+        expected = counts.sum(axis=0) / max(1, counts.sum()) * counts.sum(axis=1, keepdims=True)
+        ratio = np.log((counts + SHRINK) / (expected + SHRINK))
+        surprise = 2 * ((counts + SHRINK) * ratio - (counts - expected))  # the likelihood ratio of a Poisson count
+        drawn = ratio * surprise**2 / (surprise**2 + CHANCE**2)
+        overall = counts.sum(axis=0) / max(1, counts.sum())
+        return drawn - np.log((overall * np.exp(drawn)).sum(axis=1, keepdims=True))  # shares add up to 1 again
 
     words, kinds = seen[:, 1 : 1 + BUCKETS], seen[:, 1 + BUCKETS :]
-    # a bucket speaks for a domain only if its count there cannot be chance; else it says nothing
-    expected = words.sum(axis=0) / max(1, words.sum()) * words.sum(axis=1, keepdims=True)
-    words = np.where(np.abs(words - expected) > SIGNIFICANT * np.sqrt(expected + 1), words, expected)
-    likelihood = np.hstack([
-        prior, smoothed(words, words.sum(axis=1, keepdims=True), SMOOTHING), smoothed(kinds, docs_of, 4)
-    ])
+    likelihood = np.hstack([prior, weights(words), weights(kinds)])
     likelihood[:, :1] = np.maximum(prior, -1e6)
     return likelihood.tolist()
 
@@ -137,15 +149,34 @@ def with_posteriors(docs: DataFrame, model: list[list[float]], domains: list[str
     return out.drop("_features", "_s", "_top", "_e", "_sum")
 
 
-def dot(p: Column, numbers) -> Column:
-    out = F.lit(0.0)
-    for d, x in enumerate(numbers):
-        out = out + F.element_at(p, d + 1) * F.lit(float(x))
-    return out
+def advanced(state: Column, p: Column, moves: list[list[float]]) -> Column:
+    """(rate, rate one step before) after more steps; a step holds its momentum, then a number per domain."""
+    if not moves:
+        return state
+    held = F.from_json(F.lit(json.dumps(moves)), "array<array<double>>")
+    size = len(moves[0]) - 1
+
+    def one(now, move):
+        change = F.lit(0.0)
+        for d in range(1, size + 1):
+            change = change + F.element_at(p, d) * F.element_at(move, d + 1)
+        ahead = now["rate"] + F.element_at(move, 1) * (now["rate"] - now["last"])
+        return F.struct(F.greatest(F.lit(0.0), ahead - change).alias("rate"), now["rate"].alias("last"))
+
+    return F.aggregate(held, state, one)
+
+
+def start() -> Column:
+    return F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("last"))
+
+
+def rate_of(p: Column, steps: list[list[float]]) -> Column:
+    """The rate that ``steps`` give to posteriors ``p``."""
+    return advanced(start(), p, steps)["rate"]
 
 
-def fit_rates(rows: DataFrame, weights: list[float]) -> tuple[DataFrame, list[list[float]]]:
-    """``rows`` (with ``_tokens`` and ``_p``) with ``_rate``, and the steps that lead there."""
+def fit_rates(rows: DataFrame, weights: list[float]) -> tuple[DataFrame, list[list[float]], float]:
+    """``rows`` (with ``_tokens`` and ``_p``) with ``_rate``, the steps that lead there, and the remaining miss."""
     size = len(weights)
     p = [F.element_at("_p", d + 1) for d in range(size)]
     t = F.col("_tokens")
@@ -154,37 +185,33 @@ def fit_rates(rows: DataFrame, weights: list[float]) -> tuple[DataFrame, list[li
     ).first()
     numbers = np.array([x or 0.0 for x in sums], float)
     total, plain, gram = numbers[0], numbers[1 : 1 + size], numbers[1 + size :].reshape(size, size)
-    rows = rows.withColumn("_rate", F.lit(1.0))
     if not total:
-        return rows, []
+        return rows.withColumn("_rate", F.lit(1.0)), [], 0.0
     target = np.array(weights) * total
-    scale = np.maximum(plain, 1e-6 * total)
-    step = 1 / np.linalg.eigvalsh(gram / np.sqrt(np.outer(scale, scale))).max()
-    steps, now = [], plain
-    for k in range(STEPS):
-        miss = now - target
-        if np.abs(miss).max() <= TOLERANCE * total:
+    metric = np.linalg.pinv(gram, rcond=1e-12, hermitian=True)
+    rows = rows.withColumn("_state", start())
+    # now, before: the domains' tokens at the last rates and at those one step earlier; sums are linear in the rates
+    steps, pending, now, before = [], [], plain, plain
+    best, since, speed = np.inf, 0, 1.0
+    while True:
+        miss = float(np.abs(now - target).max() / total)
+        since = 0 if miss < 0.99 * best else since + 1
+        best = min(best, miss)
+        if miss <= TOLERANCE or since >= PATIENCE:
             break
-        steps.append((step * miss / scale).tolist())
-        rows = rows.withColumn("_rate", F.greatest(F.lit(0.0), F.col("_rate") - dot(F.col("_p"), steps[-1])))
-        if k % UNROLL == UNROLL - 1:
-            rows = materialise(rows, "rates")
-        now = np.array(rows.agg(*[F.sum(F.col("_rate") * t * x) for x in p]).first(), float)
-    return rows, steps
-
-
-def rate_of(p: Column, steps: list[list[float]]) -> Column:
-    """The rate that ``steps`` give to posteriors ``p``."""
-    moves = F.from_json(F.lit(json.dumps(steps)), "array<array<double>>")
-    size = len(steps[0]) if steps else 0
-
-    def one(rate, move):
-        change = F.lit(0.0)
-        for d in range(1, size + 1):
-            change = change + F.element_at(p, d) * F.element_at(move, d)
-        return F.greatest(F.lit(0.0), rate - change)
-
-    return F.aggregate(moves, F.lit(1.0), one) if steps else F.lit(1.0)
+        faster = (1 + (1 + 4 * speed**2) ** 0.5) / 2
+        ahead, speed = (speed - 1) / faster, faster
+        if (metric @ (now - target)) @ (now - before) > 0:
+            ahead, speed = 0.0, 1.0  # momentum leads away: start anew
+        move = metric @ (now + ahead * (now - before) - target)
+        pending.append([ahead, *move.tolist()])
+        steps.append(pending[-1])
+        if len(pending) == UNROLL:
+            rows, pending = materialise(rows.withColumn("_state", advanced(F.col("_state"), F.col("_p"), pending)), "rates"), []
+        reached = rows.withColumn("_now", advanced(F.col("_state"), F.col("_p"), pending)["rate"])
+        before, now = now, np.array(reached.agg(*[F.sum(F.col("_now") * t * x) for x in p]).first(), float)
+    out = rows.withColumn("_rate", advanced(F.col("_state"), F.col("_p"), pending)["rate"])
+    return out.drop("_state"), steps, miss
 
 
 def copies_of(rate: Column, key: Column) -> Column:
@@ -194,27 +221,29 @@ def copies_of(rate: Column, key: Column) -> Column:
 
 
 def solve(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], key: str = "doc_id"):
-    """(model, rows with ``_tokens``, ``_p`` and ``_rate``, steps)."""
+    """(model, rows with key, ``_tokens``, ``_p`` and ``_rate``, steps, remaining miss)."""
     domains = list(targets)
     model = train(docs, labelled, domains, key)
     rows = with_posteriors(docs.select(key, "text"), model, domains).select(key, "_tokens", "_p")
-    rows, steps = fit_rates(materialise(rows, "posteriors"), list(targets.values()))
-    return model, rows, steps
+    rows, steps, miss = fit_rates(materialise(rows, "posteriors"), list(targets.values()))
+    return model, rows, steps, miss
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], key: str = "doc_id") -> DataFrame:
     """``docs``, every row as often as its rate says; columns unchanged."""
-    model, _, steps = solve(docs, labelled, targets, key)
-    out = with_posteriors(docs, model, list(targets))
+    model, _, steps, _ = solve(docs, labelled, targets, key)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    out = with_posteriors(rows.withColumn("text", F.col("row").getField("text")), model, list(targets))
     # no filter on the copies: it would be pushed below the posteriors and compute them again and again
-    copies = F.array_repeat(F.lit(0), copies_of(rate_of(F.col("_p"), steps), F.col(key)))
-    return out.select(*docs.columns, F.explode(copies).alias("_copy")).select(*docs.columns)
+    copies = F.array_repeat(F.lit(0), copies_of(rate_of(F.col("_p"), steps), F.col("row").getField(key)))
+    out = out.select("row", F.explode(copies).alias("_copy"))
+    return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def op8_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Posteriors, rate and copies of every document; see the module."""
+    """Posteriors, rate and copies of every document, and the fit's remaining miss; see the module."""
     labelled = label_domain(table(spark, sf_dir, "labels"))
-    _, rows, _ = solve(table(spark, sf_dir, "documents"), labelled, TARGETS)
+    _, rows, _, miss = solve(table(spark, sf_dir, "documents"), labelled, TARGETS)
     best = F.array_position("_p", F.array_max("_p"))
     return rows.select(
         "doc_id",
@@ -223,4 +252,5 @@ def op8_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.element_at("_p", d + 1).alias(f"p_{name}") for d, name in enumerate(TARGETS)],
         F.col("_rate").alias("rate"),
         copies_of(F.col("_rate"), F.col("doc_id")).alias("copies"),
+        F.lit(miss).alias("miss"),
     )
