@@ -15,13 +15,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from cohortalloc.operators.metrics import metrics_frame, observe
 from cohortalloc.plans.pipelines import Allocation
+from cohortalloc.plans.refresh import read_hours, refresh_hours, store_hours
 from cohortalloc.session import configured_checkpoint_dir
 from cohortalloc.sinks.buckets import store_match_facts
 from cohortalloc.sinks.publish import publish, read_published
-from cohortalloc.sinks.writers import append_table, create_table, overwrite_table, write_csv
+from cohortalloc.sinks.writers import append_table, create_table, overwrite_table, write_csv, write_parquet
+from cohortalloc.sources import schemas
 from cohortalloc.sources.fixtures import fixture_sources
 from cohortalloc.sources.readers import clean_text, cleaning_report, read_csv
+from cohortalloc.sources.sql_text import run_sql, sql_text
 
 FIXTURE_INSTITUTION = "INST"
 RATE_DIGITS = 6
@@ -174,6 +178,42 @@ def _cleaning_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning_report(seeded, widths={"raw_title": 12, "raw_note": 16})
 
 
+def _sql_course_dollars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The funding query given as an SQL file with a parameter."""
+    src = fixture_sources(spark, sf_dir)
+    sources = {"course_allocations": src.course_allocations}
+    params = {"institution": FIXTURE_INSTITUTION}
+    return run_sql(spark, sql_text("course_dollars"), sources, params, schemas.COURSE_ALLOCATIONS)
+
+
+def _sql_class_number_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = fixture_sources(spark, sf_dir)
+    sources = {"enrollments": src.enrollments, "term_lookup": src.term_lookup}
+    wanted = StructType.fromDDL("strm int, n_rows bigint, max_length int, min_length int")
+    return run_sql(spark, sql_text("class_number_lengths"), sources, {"eligible": 1, "completed": 1}, wanted)
+
+
+def _degree_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is observed while the degree output is written."""
+    frame, seen = observe(allocation(spark, sf_dir).degree_subsidy, "degree_subsidy")
+    write_parquet(frame, _shared_path(spark, "degree_run", sf_dir))
+    return metrics_frame(spark, seen.get)
+
+
+def _refreshed_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates from kept hours of which two years were computed again."""
+    alloc = allocation(spark, sf_dir)
+    path = _shared_path(spark, "hours", sf_dir)
+    matched, matrix = alloc.matched, alloc.src.year_matrix
+    changed = [2018, 2019]
+    # the state before the change: part of two years' registrations was not there yet
+    late = F.col("time_academic_yr").isin(changed) & (F.col("class_crse_id").cast("long") % 3 == 0)
+    store_hours(matched.where(~late), matrix, path)
+    refresh_hours(matched, matrix, path, changed + [y + 1 for y in changed] + [y - 1 for y in changed])
+    hours = read_hours(spark, path, alloc.year_type_hours.schema)
+    return _round(published(allocation(spark, sf_dir, hours=hours).allocated_rates), 9, ["credit_hours_weight", *RATE_COLS])
+
+
 def _rates_by_fiscal_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = allocation(spark, sf_dir, rate_key="fiscal_year").course_payouts
     return _round(published(df), RATE_DIGITS, COURSE_AMOUNT_COLS[:3])
@@ -279,6 +319,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "matched_bucketed": _matched_bucketed,
     "match_counts": _stage("match_counts"),
     "unmatched_breakdown_own": _own_unmatched_breakdown,
+    "sql_course_dollars": _sql_course_dollars,
+    "sql_class_number_lengths": _sql_class_number_lengths,
+    "degree_run_metrics": _degree_run_metrics,
+    "refreshed_rates": _refreshed_rates,
     "course_payouts_by_fiscal_year": _rates_by_fiscal_year,
     "latest_inventory_cleaned": _latest_inventory_cleaned,
 }

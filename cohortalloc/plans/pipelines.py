@@ -52,6 +52,8 @@ class Allocation:
     clean_inventory_ids  compare cleaned model ids of the inventory in the audits
     own_unmatched      audit the registrations this run leaves unmatched instead
                        of the source table ``unmatched``
+    hours              hours per year kept by ``cohortalloc.plans.refresh``, read
+                       instead of computing them from the registrations
     match_facts        registrations and enrollments stored for the match join
                        (:func:`cohortalloc.sinks.buckets.store_match_facts`)
     """
@@ -67,6 +69,7 @@ class Allocation:
         clean_inventory_ids: bool = False,
         own_unmatched: bool = False,
         match_facts: tuple[DataFrame, DataFrame] | None = None,
+        hours: DataFrame | None = None,
     ):
         self.src = sources
         self.institution = institution
@@ -77,6 +80,7 @@ class Allocation:
         self.clean_inventory_ids = clean_inventory_ids
         self.own_unmatched = own_unmatched
         self.match_facts = match_facts
+        self.hours = hours
         self._kept: dict[str, str] = {}
 
     # --- shared registration stages -------------------------------------------
@@ -136,6 +140,8 @@ class Allocation:
 
     @cached_property
     def year_type_hours(self) -> DataFrame:
+        if self.hours is not None:
+            return self.hours
         return cohorts.year_type_hours(self.matched, self.src.year_matrix)
 
     @cached_property

@@ -9,6 +9,7 @@ by default), computes the four pipelines, and writes under ``--out``
     combined_course_table     course and doctoral course rows, marked by source
     combined_degree_table     degree and doctoral degree rows, marked by source
     course_reconciliation     allocated vs recognised dollars
+    run_metrics               counts and ranges observed while the outputs were written
     audits                    statistics, flag, range and model-id checks
 
 The join of registrations and enrollments feeds every course output and
@@ -27,7 +28,9 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cohortalloc.operators.metrics import ANSWERED, OBSERVED, flag_frame, metrics_frame, observe
 from cohortalloc.plans.pipelines import Allocation
 from cohortalloc.session import configured_checkpoint_dir
 from cohortalloc.sinks.publish import publish, publish_table, union_of_parts
@@ -62,6 +65,7 @@ OUTPUTS = (
     *COMBINED,
     "course_reconciliation",
     *AUDITS,
+    "run_metrics",
 )
 
 
@@ -88,7 +92,8 @@ def run(
     if not configured_checkpoint_dir(spark):
         raise ValueError("spark.checkpoint.dir must name a shared folder: the run keeps its shared frames there")
     alloc.keep_shared()
-    written = {}
+    written: dict[str, str] = {}
+    seen: dict[str, dict] = {}  # what was observed while an output was written
     for name in outputs:
         at = f"{database}.{name}" if database else f"{out_root.rstrip('/')}/{name}"
         if name in COMBINED:
@@ -102,14 +107,35 @@ def run(
                 write_csv(union_of_parts(parts), at)
             else:
                 publish(spark, at, parts, replace=True)
-        elif database:
-            overwrite_table(output(alloc, name), at, fmt)
+            written[name] = at
+            continue
+        watch = None
+        if ANSWERED.get(name) in seen:
+            frame = flag_frame(spark, seen[ANSWERED[name]], getattr(alloc, ANSWERED[name]))
+        elif name == "run_metrics":
+            frame = run_metrics(spark, seen)
         else:
-            (write_csv if fmt == "csv" else write_parquet)(output(alloc, name), at)
+            frame = output(alloc, name)
+            if name in OBSERVED:
+                frame, watch = observe(frame, name)
+        if database:
+            overwrite_table(frame, at, fmt)
+        else:
+            (write_csv if fmt == "csv" else write_parquet)(frame, at)
+        if watch is not None:
+            seen[name] = watch.get
         written[name] = at
     return written
 
 
+def run_metrics(spark: SparkSession, seen: dict[str, dict]) -> DataFrame:
+    """(output, metric, value) of all observed outputs; a few rows each."""
+    rows = spark.createDataFrame([], "output string, metric string, value double")
+    for name, found in seen.items():
+        rows = rows.unionByName(metrics_frame(spark, found).withColumn("output", F.lit(name)))
+    return rows
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     parser.add_argument("--tables", required=True, help="root folder of the source tables")
