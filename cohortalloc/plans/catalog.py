@@ -26,6 +26,7 @@ from cohortalloc.sources import schemas
 from cohortalloc.sources.fixtures import fixture_sources
 from cohortalloc.sources.readers import clean_text, cleaning_report, read_csv
 from cohortalloc.sources.sql_text import run_sql, sql_text
+from cohortalloc.sources.year_facts import read_by_year, write_by_year, years_in_use
 
 FIXTURE_INSTITUTION = "INST"
 RATE_DIGITS = 6
@@ -214,6 +215,17 @@ def _refreshed_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(published(allocation(spark, sf_dir, hours=hours).allocated_rates), 9, ["credit_hours_weight", *RATE_COLS])
 
 
+def _registrations_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registrations kept by academic year, those of the matrices' years read back and counted."""
+    src = fixture_sources(spark, sf_dir)
+    path = _shared_path(spark, "by_year", sf_dir)
+    write_by_year(src.registrations, path)
+    held = read_by_year(spark, path, schemas.REGISTRATIONS, years_in_use(src.year_matrix, src.payout_matrix))
+    return held.groupBy("time_academic_yr").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("credit_hours").cast("double").alias("hours")
+    )
+
+
 def _rates_by_fiscal_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = allocation(spark, sf_dir, rate_key="fiscal_year").course_payouts
     return _round(published(df), RATE_DIGITS, COURSE_AMOUNT_COLS[:3])
@@ -323,6 +335,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_class_number_lengths": _sql_class_number_lengths,
     "degree_run_metrics": _degree_run_metrics,
     "refreshed_rates": _refreshed_rates,
+    "registrations_by_year": _registrations_by_year,
     "course_payouts_by_fiscal_year": _rates_by_fiscal_year,
     "latest_inventory_cleaned": _latest_inventory_cleaned,
 }
