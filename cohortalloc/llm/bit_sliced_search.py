@@ -13,10 +13,11 @@ selected rows' scores are read from the slices.  Everything is exact.
 Edge cases.  Vectors that are NULL or hold a NULL or non-finite component
 take no part, nor do rows without an id.  Rows with a query's own id are not
 its candidates.  A row repeated under one id is a candidate once per row; a
-query id with several vectors asks with the least of them.
+query id with several rows asks once per row, and returns one list for each.
 Vectors only meet vectors of their own dimension.  Queries with fewer than k
-candidates return them all; an empty table returns nothing.  Numbers beyond
-2**24 raise an error.
+candidates return them all; an empty table returns nothing.  There are as
+many slices as the widest number needs; only a number or a score beyond a
+64-bit whole number, which the result could not hold, raises an error.
 
 Scale.  Rows are packed into minis of ``MINI`` rows (one row of bitmaps
 each), minis into blocks of ``BLOCK`` minis, queries into lists of ``LIST``;
@@ -38,18 +39,18 @@ from cohortalloc.llm.common import materialise, ship_package, table
 MINI = 512
 BLOCK = 32
 LIST = 256
-LIMIT = 1 << 24
+LONG = 1 << 63
 
 
 def whole_numbers(vectors: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
-    """(key, dim, v array<int>) of the vectors that take part."""
+    """(key, dim, v array<bigint>) of the vectors that take part."""
     v = F.col("v")
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     rows = vectors.select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("v"))
     rows = rows.where(F.col("key").isNotNull() & v.isNotNull() & (F.size(v) > 0) & F.forall(v, finite))
-    fits = lambda x: F.abs(x * scale) < LIMIT
-    number = F.when(F.forall(v, fits), F.transform(v, lambda x: F.floor(x * scale).cast("int"))).otherwise(
-        F.raise_error(F.lit("a vector component is too large to index")).cast("array<int>")
+    fits = lambda x: F.abs(x * scale) < float(LONG)
+    number = F.when(F.forall(v, fits), F.transform(v, lambda x: F.floor(x * scale).cast("long"))).otherwise(
+        F.raise_error(F.lit("a vector component is beyond a 64-bit whole number")).cast("array<bigint>")
     )
     return rows.select("key", F.size(v).alias("dim"), number.alias("v"))
 
@@ -61,11 +62,11 @@ def slices(v: np.ndarray, low: int, bits: int) -> np.ndarray:
     """Bitmaps (dim, bits, words) of the numbers ``v`` (rows, dim) less ``low``; rows padded to whole words."""
     rows, dim = v.shape
     words = -(-rows // 64)
-    raised = np.zeros((words * 64, dim), np.uint32)
-    raised[:rows] = (v - low).astype(np.uint32)
+    raised = np.zeros((words * 64, dim), np.uint64)
+    raised[:rows] = v.astype(np.uint64) - np.uint64(low % (1 << 64))  # modulo 2**64, as the numbers' range fits
     out = np.empty((dim, bits, words), np.uint64)
     for j in range(bits):
-        bit = ((raised >> j) & 1).astype(np.uint8).T
+        bit = ((raised >> np.uint64(j)) & np.uint64(1)).astype(np.uint8).T
         out[:, j] = np.packbits(np.ascontiguousarray(bit), axis=1, bitorder="little").view("<u8")
     return out
 
@@ -104,10 +105,10 @@ def add_up(columns: list[list[np.ndarray]]) -> list[np.ndarray]:
 def score_slices(index: np.ndarray, inverse: np.ndarray, query: np.ndarray) -> list[np.ndarray]:
     """Slices of sum |q| * u, u being a component's number less the least one, or its complement if q < 0."""
     bits = index.shape[1]
-    size = np.abs(query).astype(np.int64)
+    size = np.abs(query).view(np.uint64)  # also of the least number
     columns: list[list[np.ndarray]] = [[] for _ in range(int(size.max(initial=0)).bit_length() + bits)]
     for i in range(int(size.max(initial=0)).bit_length()):
-        on = (size >> i) & 1 == 1
+        on = (size >> np.uint64(i)) & np.uint64(1) == 1
         for used, source in ((np.flatnonzero(on & (query > 0)), index), (np.flatnonzero(on & (query < 0)), inverse)):
             if len(used):
                 for j in range(bits):
@@ -162,14 +163,18 @@ class Block:
         sure, tied = select_top(sums, among, k)
         best, ties = positions(sure), positions(tied)[: max(0, k - ones(sure))]
         chosen = np.concatenate([best, ties])
-        raised = np.zeros(len(chosen), np.int64)
+        kind = np.int64 if len(sums) < 63 else object  # Python's whole numbers have no limit
+        raised = np.zeros(len(chosen), kind)
         for p, s in enumerate(sums):
             bit = (s[chosen >> 6] >> (chosen & 63).astype(np.uint64)) & np.uint64(1)
-            raised += bit.astype(np.int64) << p
+            raised += bit.astype(np.int64).astype(kind) << p
         # a positive q counted q * (x - low), a negative one |q| * (top - (x - low)) with top = 2**bits - 1
         most = (1 << self.index.shape[1]) - 1
-        q = query.astype(np.int64)
-        return self.keys[chosen], raised + q.sum() * self.low + int(q[q < 0].sum()) * most
+        q = query.tolist()
+        scores = raised.astype(object) + sum(q) * self.low + sum(x for x in q if x < 0) * most
+        if any(not -LONG <= x < LONG for x in scores):
+            raise OverflowError("a score is beyond a 64-bit whole number")
+        return self.keys[chosen], scores.astype(np.int64)
 
 
 # --- Spark ---------------------------------------------------------------------
@@ -226,10 +231,10 @@ def search(
     packed = minis(rows.withColumn("mini", mini), low, bits)
     packed = materialise(packed.withColumn("block", F.pmod("mini", F.lit(n_blocks)).cast("int")), "minis")
     queries = rows.withColumnRenamed("key", key).where(is_query).withColumnRenamed(key, "key")
-    queries = queries.groupBy("key").agg(F.min(F.struct("dim", "v")).alias("q")).select("key", "q.dim", "q.v")
+    queries = queries.withColumn("asker", F.monotonically_increasing_id())  # every query row asks for itself
     n_lists = max(1, math.ceil(queries.count() / LIST))
-    in_list = F.pmod(F.xxhash64("key", F.lit(9)), F.lit(n_lists)).cast("int")
-    wanted = queries.select("dim", in_list.alias("list"), "key", "v").withColumn(
+    in_list = F.pmod(F.xxhash64("asker", F.lit(9)), F.lit(n_lists)).cast("int")
+    wanted = queries.select("dim", in_list.alias("list"), "key", "asker", "v").withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
     )
     index = packed.withColumn("list", F.explode(F.sequence(F.lit(0), F.lit(n_lists - 1))))
@@ -237,19 +242,20 @@ def search(
     index = index.select(*[F.col(c).alias(f"index_{c}") for c in names], "dim", "keys", "maps")
 
     def run(_, blocks: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        out = {"query_id": [], "hit": [], "score": []}
+        out = {"asker": [], "query_id": [], "hit": [], "score": []}
         if len(blocks) and len(asked):
             block = as_block(blocks, low, bits)
-            for own, v in zip(asked["key"], asked["v"]):
+            for own, asker, v in zip(asked["key"], asked["asker"], asked["v"]):
                 hits, scores = block.top(np.asarray(v, np.int64), int(own), k)
+                out["asker"] += [asker] * len(hits)
                 out["query_id"] += [own] * len(hits)
                 out["hit"] += hits.tolist()
                 out["score"] += scores.tolist()
         return pd.DataFrame(out).astype("int64")
 
     by_index = index.groupBy(*[f"index_{c}" for c in names])
-    hits = by_index.cogroup(wanted.groupBy(*names)).applyInPandas(run, "query_id long, hit long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "hit")
+    hits = by_index.cogroup(wanted.groupBy(*names)).applyInPandas(run, "asker long, query_id long, hit long, score long")
+    order = Window.partitionBy("asker").orderBy(F.desc("score"), "hit")
     ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("hit").alias(key), "score")
 
@@ -261,17 +267,17 @@ def op3_bit_sliced_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP3_SQL = """
 with numbers as (
-  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v
+  select row_number() over () as asker, vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v
   from embeddings
   where vec_id is not null and embedding is not null and len(embedding) > 0
     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), scored as (
-  select q.vec_id as query_id, c.vec_id,
+  select q.asker, q.vec_id as query_id, c.vec_id,
          list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
   from numbers q join numbers c on c.vec_id <> q.vec_id and len(c.v) = len(q.v)
   where q.vec_id % 20 = 0
 ), ranked as (
-  select *, row_number() over (partition by query_id order by score desc, vec_id) as place from scored
+  select *, row_number() over (partition by asker order by score desc, vec_id) as place from scored
 )
 select query_id, place::integer as rank, vec_id, score from ranked where place <= 20
 """

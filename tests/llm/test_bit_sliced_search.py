@@ -49,3 +49,32 @@ def test_several_blocks_ties_and_edge_cases(spark, monkeypatch):
         assert got == best(v, np.arange(120), q, 7)
     assert {r.query_id for r in rows} == set(range(0, 120, 20))  # the one of another dimension has no candidate
     assert X.search(df.limit(0), F.col("vec_id") % 20 == 0, k=7, scale=64).count() == 0
+
+
+def test_wide_numbers_and_repeated_query_ids_equal_the_sql(spark, monkeypatch):
+    monkeypatch.setattr(X, "MINI", 8)
+    rnd = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rnd.normal(size=3)]) for i in range(50)]
+    rows += [(60, [300000.0, -2.5, 1e9]), (61, [-1e9, 0.5, -300000.0]), (60, [0.25, 0.5, -0.125]), (20, [1.0, 2.0, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = X.search(df, F.col("vec_id") % 20 == 0, k=20, scale=64).toPandas()
+    con = duckdb.connect()
+    con.register("embeddings", df.toPandas().astype({"embedding": object}))
+    want = con.execute(X.OP3_SQL).df()
+    columns = ["query_id", "rank", "vec_id", "score"]
+    as_rows = lambda d: sorted(d[columns].astype("int64").itertuples(index=False, name=None))
+    assert as_rows(got) == as_rows(want)
+    assert (got["query_id"] == 60).sum() == 40  # two rows of that id, a list each
+
+
+def test_blocks_of_64_bit_numbers():
+    v = np.array([[2**62, -3], [-(2**62), 5], [7, 1], [0, -1]], np.int64)
+    low = int(v.min())
+    block = X.Block(np.arange(4), X.slices(v, low, int(int(v.max()) - low).bit_length()), low)
+    hits, scores = block.top(np.array([1, 2], np.int64), 99, 4)
+    assert list(zip(scores.tolist(), hits.tolist())) == sorted(
+        [(int(a) + 2 * int(b), i) for i, (a, b) in enumerate(v.tolist())], key=lambda x: list(scores).index(x[0]))
+    import pytest
+
+    with pytest.raises(OverflowError):
+        block.top(np.array([4, 0], np.int64), 99, 4)
