@@ -21,10 +21,12 @@ of (turn, role, text), NULL turns first; turns that are equal in all three
 all stay.  Conversations with a NULL id form one conversation.  An empty
 table gives an empty result.  Columns other than those named are ignored.
 
-Scale.  Turns are dealt out by conversation and sorted; a task passes over
-them one by one and writes parts of at most about ``PART_CHARS`` code points
-(more only for one longer turn), so a conversation of any number of turns
-needs bounded memory.
+Scale.  Turns are dealt out by ranges of (conversation, turn), so the turns
+of one conversation of any size are rendered, and its parts parsed, by many
+tasks; a task passes over its turns one by one and writes parts of at most
+about ``PART_CHARS`` code points (more only for one longer turn).  Only the
+two running digests of a conversation need all its text in order: they are
+taken in one pass over the parsed parts, part by part.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ from collections.abc import Iterator
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -119,17 +122,20 @@ def _stream(batches, columns: tuple[str, ...]) -> Iterator[tuple]:
 def format_conversations(
     turns: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
 ) -> DataFrame:
-    """(key, part, formatted, loss): formatted parts in order, with the loss spans within each part."""
+    """(key, part, formatted, loss): formatted parts, in order of ``part``, with the loss spans within each."""
     spark = ship_package(turns.sparkSession)
     rows = turns.select(
         F.col(key).alias("key"), F.col(turn).alias("turn"),
         F.coalesce(role, F.lit("")).alias("role"), F.coalesce(text, F.lit("")).alias("text"),
     )
-    rows = rows.repartition(shuffle_partitions(spark), "key").sortWithinPartitions("key", "turn", "role", "text")
+    # the bounds of the ranges hold beginnings of texts, never whole ones
+    ranges = ["key", "turn", "role", F.substring("text", 1, 32)]
+    rows = rows.repartitionByRange(shuffle_partitions(spark), *ranges).sortWithinPartitions("key", "turn", "role", "text")
     spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
         key_type, held = None, []
+        first = TaskContext.get().partitionId() << 32  # parts of later ranges come later
 
         def record(key, part, formatted, loss):
             held.append((key, part, formatted, loss))
@@ -138,19 +144,19 @@ def format_conversations(
             columns = list(zip(*held)) if held else [(), (), (), ()]
             held.clear()
             return pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], key_type), pa.array(columns[1], pa.int32()),
+                [pa.array(columns[0], key_type), pa.array(columns[1], pa.int64()),
                  pa.array(columns[2], pa.string()), pa.array(columns[3], spans)],
                 names=[key, "part", "formatted", "loss"],
             )
 
-        now, part, pieces, size, loss, begun, waiting = None, 0, [], 0, [], False, 0
+        now, part, pieces, size, loss, begun, waiting = None, first, [], 0, [], False, 0
         for batch in batches:
             key_type = batch.schema.field("key").type
             for k, r, t in _stream([batch], ("key", "role", "text")):
                 if begun and (k != now or size >= PART_CHARS):
                     record(now, part, "".join(pieces), loss)
                     waiting += size
-                    part, pieces, size, loss = (0 if k != now else part + 1), [], 0, []
+                    part, pieces, size, loss = part + 1, [], 0, []
                 now, begun = k, True
                 shown, a, b = render_turn(r, t)
                 if r == LEARNED_ROLE:
@@ -166,14 +172,40 @@ def format_conversations(
 
     kind = turns.schema[key].dataType.simpleString()
     return rows.mapInArrow(
-        run, f"`{key}` {kind}, part int, formatted string, loss array<struct<start:bigint,end:bigint>>"
+        run, f"`{key}` {kind}, part long, formatted string, loss array<struct<start:bigint,end:bigint>>"
     )
 
 
+def parsed_parts(parts: DataFrame, key: str) -> DataFrame:
+    """(key, part, n, turns, learned, chars): what a part holds, read from its formatted text alone.
+
+    ``turns`` is the text the turns' digest runs over, ``learned`` the
+    unescaped text under the loss mask.
+    """
+
+    def run(batches):
+        for batch in batches:
+            made = []
+            for formatted, loss in _stream([batch], ("formatted", "loss")):
+                turns = parse(formatted)
+                learned = "".join(unescape(formatted[span["start"] : span["end"]]) for span in loss)
+                made.append((len(turns), "".join(f"{r}\n{t}\n" for r, t, _, _ in turns), learned, len(formatted)))
+            columns = list(zip(*made)) if made else [()] * 4
+            kinds = [pa.int64(), pa.string(), pa.string(), pa.int64()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), batch.column("part"), *[pa.array(c, k) for c, k in zip(columns, kinds)]],
+                names=["key", "part", "n", "turns", "learned", "chars"],
+            )
+
+    rows = parts.select(F.col(key).alias("key"), "part", "formatted", "loss")
+    kind = parts.schema[key].dataType.simpleString()
+    return rows.mapInArrow(run, f"key {kind}, part long, n long, turns string, learned string, chars long")
+
+
 def read_back(parts: DataFrame, key: str = "conv_id") -> DataFrame:
     """(key, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars) of formatted conversations."""
     spark = ship_package(parts.sparkSession)
-    rows = parts.select(F.col(key).alias("key"), "part", "formatted", "loss")
+    rows = parsed_parts(parts, key)
     rows = rows.repartition(shuffle_partitions(spark), "key").sortWithinPartitions("key", "part")
     names = [key, "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
@@ -191,20 +223,15 @@ def read_back(parts: DataFrame, key: str = "conv_id") -> DataFrame:
 
         for batch in batches:
             key_type = batch.schema.field("key").type
-            for k, formatted, loss in _stream([batch], ("key", "formatted", "loss")):
+            for k, more, said, loss, size in _stream([batch], ("key", "n", "turns", "learned", "chars")):
                 if begun and k != now:
                     out.append((now, n, turns.hexdigest(), loss_chars, learned.hexdigest(), chars))
                     n = loss_chars = chars = 0
                     turns, learned = hashlib.sha256(), hashlib.sha256()
                 now, begun = k, True
-                for role, text, _, _ in parse(formatted):
-                    turns.update(f"{role}\n{text}\n".encode())
-                    n += 1
-                for span in loss:
-                    text = unescape(formatted[span["start"] : span["end"]])
-                    learned.update(text.encode())
-                    loss_chars += len(text)
-                chars += len(formatted)
+                turns.update(said.encode())
+                learned.update(loss.encode())
+                n, loss_chars, chars = n + more, loss_chars + len(loss), chars + size
             yield flush()
         if begun:
             out.append((now, n, turns.hexdigest(), loss_chars, learned.hexdigest(), chars))

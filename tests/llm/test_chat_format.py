@@ -60,3 +60,19 @@ def test_registered_query_adds_the_hard_conversation(spark):
     rows = {r.conv_id: r for r in C.op7_chat_format(spark, "/root/testdata/sf0.001").collect()}
     assert rows[-7].n_turns == 2 and rows[-7].loss_chars == 26
     assert rows[-7].loss_sha256 == hashlib.sha256(rb"\### Assistant: </turn> ok").hexdigest()
+
+
+def test_a_conversation_of_a_third_of_all_rows_lies_in_several_tasks(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(C, "PART_CHARS", 500)
+    rows = [(7, t, ["user", "assistant"][t % 2], f"turn {t} " * 5) for t in range(1000)]
+    rows += [(i, t, "user", "short") for i in range(100, 1100) for t in range(2)]
+    turns = conversations(spark, rows)
+    parts = C.format_conversations(turns)
+    tasks = parts.where("conv_id = 7").select(F.spark_partition_id().alias("task")).distinct().count()
+    assert tasks > 1
+    got = {r.conv_id: r for r in C.read_back(C.materialise(parts, "formatted-test")).collect()}
+    text = "".join(f"{r}\n{t}\n" for c, _, r, t in rows if c == 7)
+    assert got[7].turns_sha256 == hashlib.sha256(text.encode()).hexdigest() and got[7].n_turns == 1000
+    assert len(got) == 1001 and {got[i].n_turns for i in range(100, 1100)} == {2}
