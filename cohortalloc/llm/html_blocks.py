@@ -47,11 +47,14 @@ MAIN_ROLE = re.compile(
     r"(?:^|[\s_-])(article|main|content|post|entry|story|body)(?:[\s_-]?(?:content|body|text|article|main))?(?=$|\s)", re.I
 )
 BOILER_ROLE = re.compile(
-    r"(?:^|[\s_-])(ads?|adv|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alerts?|popup|modal|"
-    r"newsletter|subscri\w*|signup|login|sidebar|side|rail|menu|nav|navbar|navigation|breadcrumbs?|topbar|masthead|"
-    r"header|footer|foot|share|sharing|social|related|recommend\w*|more|trending|comments?|comment-\w+|disqus|replies|"
-    r"responses|respond|widget|toolbar|pager|pagination|search|copyright|legal|disclaimer|complementary|contentinfo|"
-    r"skip|tags?)(?=$|[\s_-])",
+    r"(?:^|[\s_-])(ads?|ads(?:by|ense|lot)\w*|adv|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notices?|"
+    r"alerts?|popup|modal|newsletter|subscri\w*|signup|login|sidebar|side|rail|menu|nav|nav(?:bar|links?|list|menu|items?|"
+    r"igation)|breadcrumbs?|topbar|masthead|header|footer|foot|share|sharing|"
+    r"social(?=$|\s|[_-](?:links?|shar\w+|media|icons?|buttons?|bar|nav|widgets?|follow|list|menu|feed|wrap\w*))|"
+    r"related|recommend\w*|further[_-]reading|read[_-](?:more|next)|more|trending|"
+    r"comments?|comment(?:list|area|box|form|thread|section|wrap\w*|container)|comment-\w+|reviews|"
+    r"(?:user|customer|reader)[_-]reviews?|disqus|replies|responses|respond|widget|toolbar|pager|pagination|search|"
+    r"copyright|legal|disclaimer|complementary|contentinfo|skip|tags?)(?=$|[\s_-])",
     re.I,
 )
 
@@ -63,6 +66,9 @@ _TOKEN = re.compile(
 #: A whole class or id that names a main container, and words that beside it tell its topic.
 STRONG_ROLE = re.compile(r"(?:^|\s)(article|main|post|entry|story)(?=$|\s)", re.I)
 TOPIC = re.compile(r"(?:^|[\s_-])(legal|more|search|tags?|social|trending|copyright)(?=$|[\s_-])", re.I)
+_CASE = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
+#: A slash that closes an element; one at the end of an unquoted value is part of the value.
+_CLOSED = re.compile(r"(?:^|[\s\"'])/\Z")
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 
@@ -83,6 +89,11 @@ def is_hidden(attributes: dict[str, str]) -> bool:
     )
 
 
+def spelled(roles: str) -> str:
+    """Class names with their words parted: ``CommentSection`` is ``Comment-Section``."""
+    return _CASE.sub("-", roles)
+
+
 def names_boiler(roles: str) -> bool:
     """Whether class, id and role name a boilerplate container; a main one's topic does not."""
     return bool(BOILER_ROLE.search(TOPIC.sub(" ", roles) if STRONG_ROLE.search(roles) else roles))
@@ -90,7 +101,7 @@ def names_boiler(roles: str) -> bool:
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "main", "boiler", "page_main")
 # fixed values: labelled kinds of blocks: words, link density in percent, stands in main, in boilerplate, page has
-# main, and whether it is main text: yes, no, unless both neighbours are links, or only beside a long text
+# main, and whether it is main text: yes, no, unless both neighbours are links, or only beside (between) sentences
 LABELLED = """
   1   0  1 0 1  yes
   3   0  1 0 1  yes
@@ -101,6 +112,8 @@ LABELLED = """
  60  90  1 0 1  yes
   1 100  1 0 1  unlinked
   4 100  1 0 1  unlinked
+ 12 100  1 0 1  unlinked
+ 30 100  1 0 1  unlinked
   1   0  1 1 1  no
   9   0  1 1 1  no
  60   0  1 1 1  no
@@ -118,9 +131,12 @@ LABELLED = """
  90   0  0 0 1  no
   2 100  0 0 1  no
  30  60  0 0 1  no
-  2   0  0 0 0  beside
+  2   0  0 0 0  between
   6   0  0 0 0  beside
+ 10   0  0 0 0  beside
  12  10  0 0 0  beside
+ 15   0  0 0 0  unlinked
+ 17  20  0 0 0  unlinked
  22   0  0 0 0  yes
  45   5  0 0 0  yes
 120   0  0 0 0  yes
@@ -146,7 +162,8 @@ def labelled_rows() -> list[tuple]:
                     "yes": True,
                     "no": False,
                     "unlinked": min(before[1], after[1]) < 75,
-                    "beside": any(w >= 20 and k < 50 for w, k in (before, after)),
+                    "beside": any(w >= 10 and k < 50 for w, k in (before, after)),
+                    "between": all(w >= 10 and k < 50 for w, k in (before, after)),
                 }[rule]
                 rows.append((words, links, *before, *after, main, boiler, page_main, label))
     return rows
@@ -231,7 +248,7 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
             stop = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
             at = stop.end() if stop else size
             continue
-        if name in VOID or attributes.endswith("/"):
+        if name in VOID or _CLOSED.search(attributes):
             continue
         if name not in INLINE:
             for i in range(len(stack) - 1, 0, -1):  # an open paragraph (or list item) ends here
@@ -242,8 +259,8 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
                     break
         _, main, boiler, hidden, link = stack[-1]
         if name not in INLINE:
-            own = attributes_of(attributes) if attributes else {}
-            roles = " ".join(own[k] for k in ("class", "id", "role") if own.get(k))
+            own = attributes_of(attributes.rstrip("/")) if attributes else {}
+            roles = spelled(" ".join(own[k] for k in ("class", "id", "role") if own.get(k)))
             named_boiler = bool(roles) and names_boiler(roles)
             whole = name in ("html", "body")  # names of the whole page say nothing about its parts
             plain = not named_boiler and not whole and name not in BOILER

@@ -62,3 +62,42 @@ def test_attribute_values_and_topics_do_not_lose_an_article():
     for attrs in ("hidden", 'hidden=""', "HIDDEN class=post", 'style="color:red; display : none"', "aria-hidden=true",
                   'class="cookie content"', 'class="related-posts"', 'class="post comments"'):
         assert B.main_text(page(attrs), tree) == "", attrs
+
+
+def sentence(n):
+    return " ".join(["Plain", *["words"] * (n - 2), "here."])
+
+
+def test_paragraphs_of_fifteen_words_need_no_container():
+    text = " ".join(sentence(15) for _ in range(4))
+    page = "<div><a href=a>Home</a></div><div><a href=b>About us</a></div>" + "".join(
+        f"<p>{sentence(15)}</p>" for _ in range(4)) + "<div>Copyright 2024 Example</div><div><a href=c>Imprint</a></div>"
+    assert H.main_text(page, TREE) == text
+
+
+def test_a_copyright_line_is_no_article():
+    page = f"<p>{sentence(18)}</p><p>Short.</p><p>{sentence(16)}</p><div>All rights reserved.</div><div><a href=x>Top</a></div>"
+    assert H.main_text(page, TREE) == f"{sentence(18)} Short. {sentence(16)}"
+
+
+def test_boilerplate_within_an_article_by_many_names():
+    text = sentence(20)
+    page = "<html><body><article><p>{0}</p><div class={1}><p>{2}</p></div><p>{0}</p></article></body></html>"
+    for name in ("commentlist", "CommentSection", "user-reviews", "cookiebar", "adsbygoogle", "navlinks", "further-reading",
+                 "commentForm", "reader-reviews", "social-links", "read-next", "'post comments'", "social"):
+        assert H.main_text(page.format(text, name, sentence(25)), TREE) == f"{text} {text}", name
+    for name in ("social-science", "commentary", "navarra", "'post social-history'", "adsorption", "reviewed"):
+        assert H.main_text(page.format(text, name, sentence(25)), TREE) == f"{text} {sentence(25)} {text}", name
+
+
+def test_a_slash_in_an_unquoted_value_closes_nothing():
+    text = sentence(20)
+    page = f"<article><p>{text}</p><div class=menu/><p>{sentence(25)}</p></div><p>{text}</p><br/><div class='menu' /><p>{text}</p></article>"
+    assert H.main_text(page, TREE) == f"{text} {text} {text}"
+
+
+def test_link_lists_within_an_article_go():
+    links = "".join(f"<li><a href=x{i}>{'Another story to read now ' * 3}</a></li>" for i in range(4))
+    page = f"<article><p>{sentence(30)}</p><ul>{links}</ul><p>{sentence(30)}</p></article>"
+    text = H.main_text(page, TREE)
+    assert text.startswith(sentence(30)) and text.endswith(sentence(30)) and text.count("Another") <= 2 * 3
