@@ -45,3 +45,16 @@ def test_edge_cases(make_docs):
     assert B.encode_texts(make_docs([]), *PATHS).count() == 0
     back = B.decode_ids(B.encode_texts(docs, *PATHS), *PATHS).collect()
     assert sorted((r.decoded for r in back), key=len)[:2] == ["", ""]
+
+
+def test_registered_query_equals_the_library(spark):
+    import hashlib
+
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    ids = [e.ids for e in TOK.encode_batch([r.text or "" for r in docs], add_special_tokens=False)]
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    want = sorted((r.doc_id, len(x), sha(",".join(map(str, x))), sha(TOK.decode(x, skip_special_tokens=False)))
+                  for r, x in zip(docs, ids))
+    got = B.op9_bpe_chunks(spark, folder).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()
+    assert sorted(map(tuple, got)) == want

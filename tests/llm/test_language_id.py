@@ -87,3 +87,66 @@ def test_edge_cases(spark, make_docs):
         assert kept.columns == docs.columns and kept.where("doc_id in (1, 2)").count() == 0
     assert L.fit(make_docs([])) is None
     assert L.predict(make_docs([]), None).count() == 0
+
+
+def plain_model(languages, label, counts):
+    """Centroids and idf by plain loops over Python lists."""
+    import math
+
+    n, used = len(counts), [dict(enumerate(row.tolist())) for row in counts]
+    used = [{d: c for d, c in row.items() if c} for row in used]
+    idf = [math.log((1 + n) / (1 + sum(d in row for row in used))) + 1 for d in range(L.DIM)]
+
+    def unit(vector):
+        size = math.sqrt(sum(x * x for x in vector.values()))
+        return {d: x / size for d, x in vector.items()} if size else {}
+
+    def dot(a, b):
+        return sum(x * b.get(d, 0.0) for d, x in a.items())
+
+    def total(vectors):
+        out = {}
+        for v in vectors:
+            for d, x in v.items():
+                out[d] = out.get(d, 0.0) + x
+        return out
+
+    rows = [unit({d: math.log1p(c) * idf[d] for d, c in row.items()}) for row in used]
+    centroids, owner = [], []
+    for i in range(len(languages)):
+        own = [r for r, at in zip(rows, label) if at == i]
+        mean = total(own)
+        chosen = [max(range(len(own)), key=lambda j: dot(own[j], mean))]
+        while len(chosen) < min(L.CENTROIDS, len(own)):
+            chosen.append(min(range(len(own)), key=lambda j: max(dot(own[j], own[c]) for c in chosen)))
+        held = [own[c] for c in chosen]
+        for _ in range(L.ROUNDS):
+            near = [max(range(len(held)), key=lambda k: dot(r, held[k])) for r in own]
+            held = [unit(total(r for r, at in zip(own, near) if at == k)) if k in near else held[k] for k in range(len(held))]
+        centroids += held
+        owner += [i] * len(held)
+
+    def judge(row):
+        vector = unit({d: math.log1p(c) * idf[d] for d, c in enumerate(row.tolist()) if c})
+        scores = [dot(vector, c) for c in centroids]
+        best = max(range(len(scores)), key=lambda k: scores[k])
+        return languages[owner[best]], scores[best]
+
+    return judge
+
+
+def test_predictions_equal_plain_clustering_and_cosines(spark):
+    import numpy as np
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("length(text) between 200 and 1500").orderBy("doc_id").collect()
+    learn, asked = docs[:60], docs[60:100]
+    languages = sorted({r.lang for r in learn})
+    label = np.array([languages.index(r.lang) for r in learn])
+    counts = np.stack([L.trigram_counts(r.text) for r in learn])
+    model, judge = L.centroids_of(languages, label, counts), plain_model(languages, label, counts)
+    assert len(languages) > 1 and len(asked) > 20
+    tested = np.stack([L.trigram_counts(r.text) for r in asked])
+    best, cosine, _ = model.score(tested)
+    for i, row in enumerate(tested):
+        name, score = judge(row)
+        assert model.languages[best[i]] == name and abs(score - cosine[i]) < 1e-4

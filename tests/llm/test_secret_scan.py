@@ -63,3 +63,18 @@ def test_edge_cases(make_docs):
     assert texts.count(None) == 1 and texts.count("[secret]") == 3 and texts.count("") == 1
     assert all(r.n_chars == len(r.text) for r in clean.collect() if r.text is not None)
     assert S.scan(make_docs([])).count() == 0
+
+
+def test_registered_query_equals_regular_expressions(spark):
+    import hashlib
+
+    folder = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()}
+    rows = S.op2_secret_scan(spark, folder).collect()
+    assert len(rows) == len(texts) and any(r.n_assign for r in rows) and any(r.n_access for r in rows)
+    for r in rows:
+        want = by_regex(texts[r.doc_id])
+        spans = ",".join(f"{('assign', 'access', 'hex')[kind]}:{a}:{b}" for a, kind, b in want)
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == i for _, k, _ in want) for i in range(3))
+        assert r.base_sha256 == hashlib.sha256(spans.encode()).hexdigest()
+        assert set(filter(None, spans.split(","))) <= set(r.spans.split(","))
