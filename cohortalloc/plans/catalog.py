@@ -11,7 +11,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -226,6 +226,18 @@ def _registrations_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _positioned(name: str, order_by: list[str]):
+    """A report in its published order, with the position of every row (a few rows per fiscal year)."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = published(getattr(allocation(spark, sf_dir), name))
+        rest = [c for c in df.columns if c not in order_by]
+        # rows are bounded by the calendar, so one task may number them
+        return df.withColumn("position", F.row_number().over(Window.orderBy(*order_by, *rest)))
+
+    return run
+
+
 def _rates_by_fiscal_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = allocation(spark, sf_dir, rate_key="fiscal_year").course_payouts
     return _round(published(df), RATE_DIGITS, COURSE_AMOUNT_COLS[:3])
@@ -335,6 +347,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_class_number_lengths": _sql_class_number_lengths,
     "degree_run_metrics": _degree_run_metrics,
     "refreshed_rates": _refreshed_rates,
+    "doctoral_totals_ordered": _positioned("doctoral_totals", ["ssi_payout_y1"]),
+    "degree_flag_check_ordered": _positioned("degree_flag_check", ["ssi_payout_y1"]),
     "registrations_by_year": _registrations_by_year,
     "course_payouts_by_fiscal_year": _rates_by_fiscal_year,
     "latest_inventory_cleaned": _latest_inventory_cleaned,
