@@ -59,7 +59,7 @@ CHARS = 1 << 23  # of text in a block
 TERMS = 1 << 12  # kept terms of a block of terms, about
 TILE = 512  # sources of a tile, about
 MATRIX = 1 << 21  # numbers in one matrix
-REMEMBERED = 1 << 19  # answers a worker keeps per language and filter
+REMEMBERED = 1 << 17  # answers a worker keeps per language and filter
 
 END = b"\0"  # no term holds it
 BITMAP = 1 << 15  # bits of one of Spark's bitmaps
