@@ -27,7 +27,7 @@ def test_queries_and_oracles_agree():
     from cohortalloc.plans.catalog import QUERIES
     from cohortalloc.plans.oracle import ORACLE_SQL
 
-    assert len(QUERIES) == 54
+    assert len(QUERIES) == 67
     assert set(QUERIES) == set(ORACLE_SQL)
     assert set(QUERIES) <= set(q) and set(o) <= set(q)
     assert all(callable(f) for f in q.values())
