@@ -12,14 +12,15 @@ the longer text.  Classes are the connected components of the links.
 Work within a bucket of g texts is not g * g: equal texts are one node; the
 nodes meet the bucket's least and greatest node only (2 g pairs), each node
 first that one of them with which it shares most buckets, the others only if
-they are then still in different components.  Buckets of at most ``SMALL``
-nodes that lie in several components after that are completed: all pairs
-across components whose lengths fit are aligned, ``SMALL`` a node at most.
-In a larger bucket, the mark of a passage or of word pairs that very many
-texts share, unlike nodes meet through its ends and through their other
-sketches: two texts that link share several of their ``SKETCHES``, nearly all
-of them with hardly anyone else.  The README has the measured recall, also
-for texts that share a passage with hundreds of others.
+they are then still in different components.  Buckets that lie in several
+components after that are completed.  In one of at most ``SMALL`` nodes, all
+pairs across components whose lengths fit are aligned, ``SMALL`` a node at
+most.  The nodes of larger ones, the mark of a passage or of word pairs that
+very many texts share, meet by an exact filter: a text's ``allowed + 1``
+disjoint runs of up to ``WINDOW`` words that the fewest others hold, one of
+which every text that links with it holds too (``met_by_windows``).  Only
+these pairs are aligned, and no link is lost.  Texts that share their rarest
+runs and still do not link pay pair by pair.
 
 Edge cases.  A NULL text counts as empty; empty texts, and texts of white
 space only that are equal, are one class.  A text of fewer than ``K`` words
@@ -35,6 +36,7 @@ of written tables, which adaptive execution splits.  Nothing is collected.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -55,8 +57,12 @@ SIMILARITY = 0.8
 SHORT = 10
 UNIT = 64
 BAND = 40
-#: Nodes of a bucket up to which all of them meet.
+#: Nodes of a bucket up to which all of them meet; those of larger ones meet by shared windows of words.
 SMALL = 32
+WINDOW = 4
+#: Counters of windows, and what one counts, at most.
+SLOTS = 1 << 23
+MOST = (1 << 16) - 1
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 _LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -395,18 +401,167 @@ def lengths_fit(one: Column, other: Column) -> Column:
 
 def completed(members: DataFrame) -> DataFrame:
     """The members of buckets that are completed if open; up to three nodes all meet through the ends."""
-    return members.where((F.col("size") > 3) & (F.col("size") <= SMALL)).select("bucket", "node", "n_words")
+    return members.where("size > 3").select("bucket", "node", "n_words", "size")
+
+
+def windows(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, first word, length) of every run of up to ``WINDOW`` words of a text."""
+    words = words_of(text)
+    w = word_hashes(words) if words else np.zeros(0, np.uint64)
+    lengths = range(1, min(WINDOW, len(w)) + 1)
+    keys = [mix(sum(w[j : j + len(w) - n + 1] * _ODD[j] for j in range(n)) + np.uint64(n)) for n in lengths]
+    at = [np.arange(len(k)) for k in keys]
+    none = np.zeros(0, np.int64)
+    return (
+        np.concatenate([none.view(np.uint64), *keys]), np.concatenate([none, *at]),
+        np.concatenate([none, *[np.full(len(k), n) for k, n in zip(keys, lengths)]]),
+    )
+
+
+def ranges(key: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each key once, with its first and last place: a text that repeats a window meets another one once by it."""
+    order = np.lexsort((at, key))
+    key, at = key[order], at[order].astype(np.int32)
+    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
+    end = np.concatenate([start[1:], [len(key)]])[: len(start)] - 1
+    return key[start], at[start], at[end]
+
+
+def tally(texts: DataFrame, slots: int, keys_of) -> np.ndarray:
+    """How many of the keys of all texts fall on each of ``slots`` counters (``MOST``: or more).
+
+    A counter that several keys share only makes a worse choice of windows.
+    """
+    size = min(slots, 1 << 16)
+
+    def count(batches):
+        total = np.zeros(slots, np.int32)
+        for batch in batches:
+            for keys in keys_of(batch):
+                np.add.at(total, keys & np.uint64(slots - 1), 1)
+        total = np.minimum(total, MOST).astype(np.uint16).reshape(-1, size)
+        for part in np.flatnonzero(total.any(axis=1)).tolist():
+            yield pa.record_batch(
+                [pa.array([part], pa.int32()), pa.array([zlib.compress(total[part].tobytes(), 1)])], names=["part", "held"]
+            )
+
+    def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(zlib.decompress(held), np.uint16).astype(np.int64) for held in rows["held"])
+        held = np.minimum(total, MOST).astype(np.uint16).tobytes()
+        return pd.DataFrame({"part": [key[0]], "held": [zlib.compress(held, 1)]})
+
+    out = np.zeros((slots // size, size), np.uint16)
+    for row in texts.mapInArrow(count, "part int, held binary").groupBy("part").applyInPandas(add, "part int, held binary").collect():
+        out[row["part"]] = np.frombuffer(zlib.decompress(row["held"]), np.uint16)
+    return out.reshape(-1)
+
+
+def rarest(n_words: int, at: np.ndarray, length: np.ndarray, holders: np.ndarray) -> list[int]:
+    """Which of a text's windows stand for it: ``allowed + 1`` disjoint ones whose greatest ``holders`` is least.
+
+    Windows that are not given are held by this text alone; chosen ones of
+    those are left out, since no other text can meet them.
+    """
+    wanted = allowed(n_words) + 1
+    # by length and end: holders, and the place among the given windows
+    cost = np.full((WINDOW + 1, n_words + 1), np.iinfo(np.int64).max)
+    for size in range(1, WINDOW + 1):
+        cost[size, size:] = 1
+    given = np.full((WINDOW + 1, n_words + 1), -1)
+    cost[length, at + length], given[length, at + length] = holders, np.arange(len(at))
+
+    def disjoint(most: int) -> list[tuple[int, int]]:
+        """As many disjoint windows (length, end) of up to ``most`` holders as there can be: the first to end, each time."""
+        fits = cost <= most
+        shortest = np.where(fits.any(axis=0), fits.argmax(axis=0), n_words + 1).tolist()
+        found, free = [], 0
+        for end in range(1, n_words + 1):
+            if end - shortest[end] >= free:
+                found.append((shortest[end], end))
+                free = end
+        return found
+
+    levels = np.unique(np.concatenate([[1], holders]))
+    low, high = 0, len(levels) - 1  # single words of any number of holders are always enough
+    while low < high:
+        middle = (low + high) // 2
+        low, high = (low, middle) if len(disjoint(levels[middle])) >= wanted else (middle + 1, high)
+    chosen = sorted(disjoint(levels[low]), key=lambda x: cost[x])[:wanted]
+    return [int(given[x]) for x in chosen if given[x] >= 0]
+
+
+def met_by_windows(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different labels among ``nodes`` (node, n_words, label), without any that may link left out.
+
+    Each edit touches one at most of a text's disjoint windows.  So of
+    ``allowed + 1`` disjoint windows of the longer of two texts that link, the
+    shorter one holds one, shifted by ``allowed`` words at most.  Those that
+    hardly any other text holds are chosen; a window that no other text holds
+    needs no partner.
+    """
+    spark = nodes.sparkSession
+    held = materialise(texts.join(nodes, "node"), "open-texts")
+    many = held.agg(F.sum("n_words")).first()[0] or 1
+    slots = min(SLOTS, 1 << (4 * WINDOW * many).bit_length())
+    counts = spark.sparkContext.broadcast(
+        tally(held.select("text"), slots, lambda batch: (np.unique(windows(text)[0]) for text in batch.column("text").to_pylist()))
+    )
+
+    def spread(of_text):
+        def run(batches):
+            for batch in batches:
+                fixed = batch.select(["node", "n_words", "label"])
+                for i, text in enumerate(batch.column("text").to_pylist()):
+                    key, first, last = ranges(*of_text(text))
+                    row = fixed.slice(i, 1).take(pa.array(np.zeros(len(key), np.int32)))
+                    yield pa.RecordBatch.from_arrays(
+                        [*row.columns, pa.array(key.view(np.int64)), pa.array(first), pa.array(last)],
+                        names=[*row.schema.names, "key", "first", "last"],
+                    )
+
+        return held.mapInArrow(run, "node binary, n_words int, label binary, key long, first int, last int")
+
+    def rare(text: str):
+        key, at, length = windows(text)
+        holders = counts.value[key & np.uint64(slots - 1)].astype(np.int64)
+        more = np.flatnonzero(holders > 1)
+        chosen = more[rarest(len(words_of(text)), at[more], length[more], holders[more])]
+        return key[chosen], at[chosen]
+
+    chosen = materialise(spread(rare), "chosen")
+    wanted = spark.sparkContext.broadcast(
+        tally(chosen.select("key"), slots, lambda batch: [batch.column("key").to_numpy().view(np.uint64)])
+    )
+
+    def met(text: str):
+        key, at, _ = windows(text)
+        known = wanted.value[key & np.uint64(slots - 1)] > 0
+        return key[known], at[known]
+
+    ours = chosen.select("key", *[F.col(c).alias(f"_{c}") for c in ("node", "n_words", "label", "first", "last")])
+    longer = F.struct("_n_words", "_node") > F.struct("n_words", "node")
+    shift = F.floor((1 - SIMILARITY) * F.col("_n_words") + 1e-9)
+    near = (F.col("first") - F.col("_last") <= shift) & (F.col("_first") - F.col("last") <= shift)
+    fits = lengths_fit(F.col("_n_words"), F.col("n_words")) & (F.col("_label") != F.col("label"))
+    pairs = spread(met).join(ours, "key").where(longer & near & fits)
+    return pairs.select(F.col("_node").alias("a"), F.col("node").alias("b"))
 
 
 def links_across(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
-    """All links (a, b) across components within the buckets of at most ``SMALL`` nodes."""
+    """All links (a, b) across components within the open buckets."""
     labelled = materialise(label_of(completed(members), labels, "node", "label"), "labelled")
     open_ones = labelled.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y")
     rows = materialise(labelled.join(open_ones.select("bucket"), "bucket"), "open")
-    other = rows.select("bucket", *[F.col(c).alias(f"_{c}") for c in ("node", "label", "n_words")])
+    small = rows.where(F.col("size") <= SMALL).drop("size")
+    other = small.select("bucket", *[F.col(c).alias(f"_{c}") for c in ("node", "label", "n_words")])
     fits = lengths_fit(F.col("n_words"), F.col("_n_words"))
-    pairs = rows.join(other, "bucket").where((F.col("node") < F.col("_node")) & (F.col("label") != F.col("_label")) & fits)
-    pairs = materialise(pairs.select(F.col("node").alias("a"), F.col("_node").alias("b")).distinct(), "pairs")
+    pairs = small.join(other, "bucket").where((F.col("node") < F.col("_node")) & (F.col("label") != F.col("_label")) & fits)
+    pairs = pairs.select(F.col("node").alias("a"), F.col("_node").alias("b"))
+    large = materialise(rows.where(F.col("size") > SMALL).select("node", "n_words", "label").distinct(), "nodes")
+    if not large.isEmpty():
+        met = met_by_windows(large, texts)
+        pairs = pairs.unionAll(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    pairs = materialise(pairs.distinct(), "pairs")
     sizes = pairs.groupBy("a").agg(F.count("*").alias("size"))
     return verified(pairs.join(sizes, "a"), texts)
 

@@ -80,6 +80,37 @@ def test_open_buckets_are_completed(make_docs):
     assert {r.class_id for r in rows} == {0}
 
 
+def test_large_open_buckets_are_completed(spark):
+    # texts that share a passage, in one bucket of more than SMALL nodes; near copies of some, each text its own component
+    rnd = random.Random(5)
+    passage = [f"p{i}" for i in range(30)]
+    texts = [passage + [f"w{rnd.randrange(300)}" for _ in range(rnd.randrange(15, 60))] for _ in range(60)]
+    texts += [edited(rnd, t, O.allowed(len(t)) - 1) for t in texts[:30]] + [["only", "two"], ["alone"], ["a"] * 20, ["a"] * 22]
+    nodes = [f"n{i:03}".encode() for i in range(len(texts))]
+    linked = {(a, b) for (a, x), (b, y) in itertools.combinations(zip(nodes, texts), 2) if O.alike(x, y)}
+    assert len(linked) >= 25 and len(texts) > O.SMALL
+    members = [(1, node, len(t), len(texts)) for node, t in zip(nodes, texts)]
+    members = spark.createDataFrame(members, "bucket long, node binary, n_words int, size long")
+    labels = spark.createDataFrame([], "node binary, label binary")
+    held = spark.createDataFrame([(n, " ".join(t)) for n, t in zip(nodes, texts)], "node binary, text string")
+    found = O.links_across(members, labels, held).collect()
+    assert {(bytes(r.a), bytes(r.b)) for r in found} == linked
+
+
+def test_the_rarest_disjoint_windows_are_chosen():
+    rnd = random.Random(6)
+    for _ in range(300):
+        n = rnd.randrange(1, 40)
+        every = [(at, length) for length in range(1, O.WINDOW + 1) for at in range(n - length + 1)]
+        held = {w: rnd.randrange(2, 9) for w in every if w[1] == 1 or rnd.random() < 0.8}
+        given = [O.np.array(x) for x in ([w[0] for w in held], [w[1] for w in held], list(held.values()))]
+        chosen = [list(held)[i] for i in O.rarest(n, *given)]
+        covered = [i for at, length in chosen for i in range(at, at + length)]
+        assert len(covered) == len(set(covered)) and len(chosen) <= O.allowed(n) + 1
+        if len(held) == len(every):
+            assert len(chosen) == O.allowed(n) + 1
+
+
 def test_lone_near_copies_share_a_class(make_docs):
     # pairs only, no third copy as a bridge; words replaced all over the text; every pair links by alignment
     rnd = random.Random(11)
