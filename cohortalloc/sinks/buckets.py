@@ -35,12 +35,21 @@ def _by_row(df: DataFrame, salts: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts)).cast("int")
 
 
+def hot_keys(eligible: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Match keys held by more than ``hot_rows`` enrollment rows."""
+    theirs = [pair[1] for pair in MATCH_KEYS]
+    return eligible.where(_complete(theirs)).groupBy(*theirs).count().where(F.col("count") > hot_rows)
+
+
 def salted_facts(
-    passed: DataFrame, eligible: DataFrame, hot_rows: int = HOT_ROWS, salts: int = SALTS
+    passed: DataFrame, eligible: DataFrame, hot_rows: int = HOT_ROWS, salts: int = SALTS, hot: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Both facts with ``_salt`` (and ``_hot`` on the registrations); see the module."""
+    """Both facts with ``_salt`` (and ``_hot`` on the registrations); see the module.
+
+    ``hot``: the keys of :func:`hot_keys`, if they are at hand.
+    """
     ours, theirs = ([pair[i] for pair in MATCH_KEYS] for i in (0, 1))
-    hot = eligible.where(_complete(theirs)).groupBy(*theirs).count().where(F.col("count") > hot_rows)
+    hot = hot_keys(eligible, hot_rows) if hot is None else hot
 
     def marked(df: DataFrame, keys: list[str]) -> DataFrame:
         known = hot.select(*[F.col(t).alias(f"_{t}") for t in theirs], F.lit(True).alias("_is_hot"))
@@ -75,8 +84,11 @@ def store_match_facts(
     """
     ours, theirs = ([pair[i] for pair in MATCH_KEYS] for i in (0, 1))
     out = []
+    # both facts are marked by the hot keys: computed once, and so few that their table is broadcast
+    hot_keys(eligible, hot_rows).write.mode("overwrite").saveAsTable(f"{prefix}_hot_keys")
+    hot = spark.table(f"{prefix}_hot_keys")
     for df, keys, name in zip(
-        salted_facts(passed, eligible, hot_rows, salts), (ours, theirs), ("registrations", "enrollments")
+        salted_facts(passed, eligible, hot_rows, salts, hot), (ours, theirs), ("registrations", "enrollments")
     ):
         keys = [*keys, "_salt"]
         # dealt by the bucket keys first: one file per bucket, not one per bucket and task
