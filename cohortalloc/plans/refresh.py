@@ -43,12 +43,17 @@ def refresh_hours(matched: DataFrame, year_matrix: DataFrame, path: str, years:
     spark = matched.sparkSession
     of_years = F.col("time_academic_yr").isin(years) | F.col("calendar_year").isin(years)
     fresh = year_type_hours(matched.where(of_years), year_matrix).where(F.col("year").isin(years))
+    # computed once: the kept table and the list of its years read the same small files
+    staged = f"{path.rstrip('/')}_fresh"
+    fresh.write.mode("overwrite").parquet(staged)
+    fresh = spark.read.schema(fresh.schema).parquet(staged)
     _write(fresh, path)
     held = {tuple(r) for r in read_hours(spark, path, fresh.schema).select(*PARTITIONS).distinct().collect()}
     filled = {tuple(r) for r in fresh.select(*PARTITIONS).distinct().collect()}  # a few per year
     empty = [f"aggr_basis={basis}/year={year}" for basis, year in sorted(held - filled) if year in years]
     for part in empty:
         delete_folder(spark, f"{path}/{part}")
+    delete_folder(spark, staged)
     return empty
 
 
