@@ -2,6 +2,7 @@
 
 import pytest
 
+from cohortalloc import session
 from cohortalloc.operators.audit import model_id_discrepancy_rows
 from cohortalloc.plans import refresh
 from cohortalloc.sinks.buckets import store_match_facts
@@ -61,3 +62,23 @@ def test_a_refresh_computes_the_changed_years_once(spark, tmp_path, held):
     assert seen.value == 4
     assert bool(empty) == (2018 in held)
     assert not (tmp_path / "hours_fresh").exists()
+
+
+def test_tasks_grow_in_number_with_the_input(spark, tmp_path, monkeypatch):
+    start, merged = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(merged)
+    (tmp_path / "part").write_bytes(bytes(3000))
+    monkeypatch.setattr(session, "INPUT_BYTES_PER_PARTITION", 100)
+    try:
+        spark.conf.set(merged, "128m")
+        session.bounded_tasks(spark, str(tmp_path), str(tmp_path / "part"))
+        assert spark.conf.get(start) == "60" and spark.conf.get(merged) == str(session.TASK_BYTES)
+        spark.conf.set(merged, "8m")
+        session.bounded_tasks(spark, str(tmp_path))
+        assert spark.conf.get(start) == "60" and spark.conf.get(merged) == "8m"  # more and smaller tasks stay
+        spark.conf.set(merged, "128m")
+        _ = fixture_sources(spark, SF).registrations
+        assert spark.conf.get(merged) == str(session.TASK_BYTES)
+    finally:
+        spark.conf.unset(start)
+        spark.conf.set(merged, before)
