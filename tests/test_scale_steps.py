@@ -5,6 +5,7 @@ import pytest
 from cohortalloc import session
 from cohortalloc.operators.audit import model_id_discrepancy_rows
 from cohortalloc.plans import refresh
+from cohortalloc.plans.catalog import QUERIES
 from cohortalloc.sinks.buckets import store_match_facts
 from cohortalloc.sources.fixtures import fixture_sources
 from cohortalloc.sources.lookups import read_year_matrix
@@ -82,3 +83,10 @@ def test_tasks_grow_in_number_with_the_input(spark, tmp_path, monkeypatch):
     finally:
         spark.conf.unset(start)
         spark.conf.set(merged, before)
+
+
+@pytest.mark.parametrize("name", ["course_payouts", "course_completeness_recoded", "course_reconciliation"])
+def test_course_rows_and_rates_share_one_stored_match(spark, name):
+    read = QUERIES[name](spark, SF).inputFiles()
+    assert not [x for x in read if "lineitem.parquet" in x]
+    assert [x for x in read if "_matched_" in x] and [x for x in read if "_allocated_rates_" in x]
