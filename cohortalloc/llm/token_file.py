@@ -36,6 +36,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -55,7 +56,10 @@ _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-ö
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch
 # the same for a whole text: white space only parts words
 _PLAIN_TEXT = re.compile(r"[ \t\n\r!-~À-ÖØ-öø-ÿ]*").fullmatch
-_TEXT_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9 \t\n\r]+")
+# what parts the words of such a text beside white space, and is a word itself
+_BETWEEN = r"'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^a-zß-öø-ÿ0-9 \t\n\r]+"
+#: Code points of the texts whose words are looked up together.
+RUN_CHARS = 1 << 22
 
 
 class PieceEncoder:
@@ -64,10 +68,11 @@ class PieceEncoder:
     The tokenizer folds white space and drops it, and neither its
     normalisation nor its split crosses it, so the ids of a text are the ids
     of its white-space separated pieces in order, and those of a piece the
-    ids of its words.  Texts of common signs alone are cut into words at once;
-    others go piece by piece, and pieces with unusual signs or a special token
-    through the whole tokenizer.  Words and pieces seen before come from
-    bounded tables; new words go to the library's model.
+    ids of its words.  The texts of common signs alone of a run are cut into words
+    together, and each different word of the run is looked up once; others go
+    piece by piece, and pieces with unusual signs or a special token through
+    the whole tokenizer.  Words and pieces seen before come from bounded
+    tables; new words go to the library's model.
     """
 
     def __init__(self, path: str):
@@ -106,14 +111,29 @@ class PieceEncoder:
         return b"".join(map(self.words.__getitem__, _WORDS.findall(piece.lower())))
 
     def encode_one(self, text: str) -> bytes:
-        if "<|" not in text and _PLAIN_TEXT(text):
-            return b"".join(map(self.words.__getitem__, _TEXT_WORDS.findall(text.lower())))
         return b"".join(map(self.known.__getitem__, self.pieces(text)))
 
+    def encode_plain(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts of common signs alone: each different word of them is looked up once."""
+        spaced = pc.replace_substring_regex(pa.array([t.lower() for t in texts], pa.large_string()), _BETWEEN, r" \0 ")
+        cut = pc.ascii_split_whitespace(spaced)
+        words = cut.flatten().dictionary_encode()
+        held = [self.words[w] if w else b"" for w in words.dictionary.to_pylist()]
+        ids = np.frombuffer(b"".join(held), "<u2")
+        size = np.fromiter(map(len, held), np.int64, len(held)) // 2
+        at = words.indices.to_numpy()
+        first, n = (np.cumsum(size) - size)[at], size[at]
+        before = np.concatenate([[0], np.cumsum(n)])
+        raw = ids[np.repeat(first - before[:-1], n) + np.arange(before[-1])].tobytes()
+        bounds = (2 * before[cut.offsets.to_numpy()]).tolist()
+        return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 16-bit numbers."""
         self.words, self.known = self.words.kept(), self.known.kept()
-        return [self.encode_one(t) for t in texts]
+        plain = ["<|" not in t and bool(_PLAIN_TEXT(t)) for t in texts]
+        made = iter(self.encode_plain([t for t, p in zip(texts, plain) if p]))
+        return [next(made) if p else self.encode_one(t) for t, p in zip(texts, plain)]
 
 
 class Remembered(dict):
@@ -169,7 +189,7 @@ def tokenise(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     def run(batches):
         enc = _encoder(tokenizer)
         for batch in batches:
-            ids = [x + end for texts in runs_of_texts(batch.column("text")) for x in enc.encode(texts)]
+            ids = [x + end for texts in runs_of_texts(batch.column("text"), RUN_CHARS) for x in enc.encode(texts)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("part"), pa.array(ids, pa.binary())],
                 names=["doc_id", "part", "ids"],
