@@ -15,8 +15,9 @@ first that one of them with which it shares most buckets, the others only if
 they are then still in different components.  Buckets that lie in several
 components after that are completed.  In one of at most ``SMALL`` nodes, all
 pairs across components whose lengths fit are aligned, ``SMALL`` a node at
-most.  The nodes of larger ones, the mark of a passage or of word pairs that
-very many texts share, meet by an exact filter: a text's ``allowed + 1``
+most.  The nodes of larger ones first meet one node of the component that holds
+most of their bucket.  Those of buckets that are open still, the mark of a
+passage or of word pairs that very many texts share, meet by an exact filter: a text's ``allowed + 1``
 disjoint runs of up to ``WINDOW`` words that the fewest others hold, one of
 which every text that links with it holds too (``met_by_windows``).  Only
 these pairs are aligned, and no link is lost.  Texts that share their rarest
@@ -362,11 +363,9 @@ def classes(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     links = materialise(verified(nearest, texts), "links")
     labels = materialise(components(links), "labels")
     apart = still_apart(ends.join(nearest, ["a", "b"], "left_anti").select("a", "b", "size"), labels)
-    links = materialise(links.unionAll(verified(apart, texts)), "links")
-    labels = materialise(components(links), "labels")
-    more = materialise(links_across(members, labels, texts), "links")
-    if not more.isEmpty():
-        labels = materialise(components(links.unionAll(more)), "labels")
+    labels = joined_by(verified(apart, texts), labels)
+    labels = joined_by(links_to_largest(open_members(members, labels), texts), labels)
+    labels = joined_by(links_across(members, labels, texts), labels)
     named = nodes.select("node", "key").join(labels, "node", "left")
     named = named.select("node", "key", F.coalesce("label", "node").alias("label"))
     heads = named.groupBy("label").agg(F.min(F.struct(F.col("key").isNull(), "key", "node")).alias("head"))
@@ -381,6 +380,23 @@ def classes(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     return joined.select(F.col("key").alias(key), "node", "class_id", first.alias("first"))
 
 
+def joined_by(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """The labels after more links (a, b).
+
+    Only the components that a link joins are connected anew, each as one
+    node: however many links there are between two of them, they make one edge.
+    """
+    links = materialise(links.select("a", "b"), "links")
+    between = label_of(label_of(links, labels, "a", "_of_a"), labels, "b", "_of_b")
+    between = between.select(F.col("_of_a").alias("a"), F.col("_of_b").alias("b")).where("a != b").distinct()
+    between = materialise(between, "links")
+    if between.isEmpty():
+        return labels
+    roots = materialise(components(between), "roots")
+    known = label_of(labels.select("node", F.col("label").alias("_was")), roots, "_was", "label").select("node", "label")
+    return materialise(known.unionAll(roots.join(labels, "node", "left_anti").select("node", "label")), "labels")
+
+
 def label_of(rows: DataFrame, labels: DataFrame, node: str, name: str) -> DataFrame:
     """``rows`` with the label of a node column; a node without links is its own component."""
     held = labels.select(F.col("node").alias(node), F.col("label").alias(name))
@@ -547,11 +563,35 @@ def met_by_windows(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.select(F.col("_node").alias("a"), F.col("node").alias("b"))
 
 
-def links_across(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
-    """All links (a, b) across components within the open buckets."""
+def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members, with their labels, of the buckets that lie in several components."""
     labelled = materialise(label_of(completed(members), labels, "node", "label"), "labelled")
     open_ones = labelled.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y")
-    rows = materialise(labelled.join(open_ones.select("bucket"), "bucket"), "open")
+    return materialise(labelled.join(open_ones.select("bucket"), "bucket"), "open")
+
+
+def links_to_largest(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) of nodes in large open buckets with a node of the component that holds most of the bucket.
+
+    A node that links with most of a large group meets one of them here, not
+    each of them; which one differs from bucket to bucket.
+    """
+    large = rows.where(F.col("size") > SMALL)
+    one = F.max(F.struct(F.xxhash64("node", "bucket").alias("dealt"), "node", "n_words"))
+    held = large.groupBy("bucket", "label").agg(F.count("*").alias("n"), one.alias("one"))
+    head = held.groupBy("bucket").agg(F.max(F.struct("n", "label", "one")).alias("head")).select("bucket", "head")
+    met = large.join(head, "bucket").where(
+        (F.col("label") != F.col("head.label")) & lengths_fit(F.col("n_words"), F.col("head.one.n_words"))
+    )
+    pairs = met.groupBy(F.col("head.one.node").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("shared"))
+    nearest = pairs.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("best")).select("best.a", "b")
+    nearest = materialise(nearest, "pairs")
+    return verified(nearest.join(nearest.groupBy("a").agg(F.count("*").alias("size")), "a"), texts)
+
+
+def links_across(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+    """All links (a, b) across components within the open buckets."""
+    rows = open_members(members, labels)
     small = rows.where(F.col("size") <= SMALL).drop("size")
     other = small.select("bucket", *[F.col(c).alias(f"_{c}") for c in ("node", "label", "n_words")])
     fits = lengths_fit(F.col("n_words"), F.col("_n_words"))

@@ -97,6 +97,29 @@ def test_large_open_buckets_are_completed(spark):
     assert {(bytes(r.a), bytes(r.b)) for r in found} == linked
 
 
+def test_two_large_components_of_a_bucket_meet_without_all_pairs(spark):
+    # 80 near copies of one text in two components of 40: all 1,600 pairs across would link
+    rnd = random.Random(8)
+    base = [f"w{i}" for i in range(100)]
+    texts = [edited(rnd, base, 2) for _ in range(80)]
+    nodes = [f"n{i:03}".encode() for i in range(len(texts))]
+    members = spark.createDataFrame([(1, n, len(t), 80) for n, t in zip(nodes, texts)], "bucket long, node binary, n_words int, size long")
+    labels = spark.createDataFrame([(n, nodes[i // 40 * 40]) for i, n in enumerate(nodes)], "node binary, label binary")
+    held = spark.createDataFrame([(n, " ".join(t)) for n, t in zip(nodes, texts)], "node binary, text string")
+    links = O.links_to_largest(O.open_members(members, labels), held)
+    assert 1 <= links.count() <= 40
+    labels = O.joined_by(links, labels)
+    assert sorted((bytes(r.node), bytes(r.label)) for r in labels.collect()) == [(n, nodes[0]) for n in nodes]
+    assert O.links_across(members, labels, held).isEmpty()
+
+
+def test_links_join_components_and_lone_nodes(spark):
+    labels = spark.createDataFrame([(b"b", b"a"), (b"a", b"a"), (b"d", b"c"), (b"c", b"c"), (b"y", b"x"), (b"x", b"x")], "node binary, label binary")
+    links = spark.createDataFrame([(b"d", b"e"), (b"b", b"d"), (b"b", b"c"), (b"x", b"y")], "a binary, b binary")
+    got = sorted((bytes(r.node), bytes(r.label)) for r in O.joined_by(links, labels).collect())
+    assert got == [(bytes([c]), b"a") for c in b"abcde"] + [(b"x", b"x"), (b"y", b"x")]
+
+
 def test_the_rarest_disjoint_windows_are_chosen():
     rnd = random.Random(6)
     for _ in range(300):
