@@ -364,8 +364,9 @@ def classes(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     labels = materialise(components(links), "labels")
     apart = still_apart(ends.join(nearest, ["a", "b"], "left_anti").select("a", "b", "size"), labels)
     labels = joined_by(verified(apart, texts), labels)
-    labels = joined_by(links_to_largest(open_members(members, labels), texts), labels)
-    labels = joined_by(links_across(members, labels, texts), labels)
+    still_open = open_members(members, labels)  # components only grow: no other bucket opens later
+    labels = joined_by(links_to_largest(still_open, texts), labels)
+    labels = joined_by(links_across(still_open.drop("label"), labels, texts), labels)
     named = nodes.select("node", "key").join(labels, "node", "left")
     named = named.select("node", "key", F.coalesce("label", "node").alias("label"))
     heads = named.groupBy("label").agg(F.min(F.struct(F.col("key").isNull(), "key", "node")).alias("head"))
