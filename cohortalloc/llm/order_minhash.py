@@ -19,9 +19,12 @@ most.  The nodes of larger ones first meet one node of the component that holds
 most of their bucket.  Those of buckets that are open still, the mark of a
 passage or of word pairs that very many texts share, meet by an exact filter: a text's ``allowed + 1``
 disjoint runs of up to ``WINDOW`` words that the fewest others hold, one of
-which every text that links with it holds too (``met_by_windows``).  Only
-these pairs are aligned, and no link is lost.  Texts that share their rarest
-runs and still do not link pay pair by pair.
+which every text that links with it holds too (``met_by_windows``).  Components
+meet by it as a whole, with one row for a run, and their texts then by units of
+about ``UNIT`` (``linked_components``): rows grow with components and units, not
+with pairs of texts, and no link between components is lost.  Only texts whose
+words agree are aligned.  Components of one text that share their rarest runs
+and still do not link pay pair by pair.
 
 Edge cases.  A NULL text counts as empty; empty texts, and texts of white
 space only that are equal, are one class.  A text of fewer than ``K`` words
@@ -64,6 +67,12 @@ WINDOW = 4
 #: Counters of windows, and what one counts, at most.
 SLOTS = 1 << 23
 MOST = (1 << 16) - 1
+#: Largest components that the filter knows by number.
+KNOWN = 250
+#: Counters of a text's words when texts are compared many at once.
+BINS = 1 << 11
+#: Edges to a partition.
+EDGES = 50_000
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 _LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -243,7 +252,7 @@ def sketches(docs: DataFrame, key: str) -> DataFrame:
     """(key, node, n_words, tuples) of every row."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -287,38 +296,34 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates two steps on written edge tables until nothing changes: every
     node's larger neighbours, then its smaller ones, are linked to its least
-    neighbour.
+    neighbour.  The tables have a partition for every ``EDGES`` edges.
     """
 
-    def step(edges: DataFrame, larger: bool) -> DataFrame:
-        if larger:
-            both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        else:
-            both = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        both = materialise(both.distinct(), "links")
-        least = materialise(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
-        joined = both.join(least, "a")
+    def step(edges: DataFrame, larger: bool, parts: int) -> DataFrame:
+        both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if larger else edges
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")).coalesce(parts)
         if larger:
-            made = joined.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        else:
-            made = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(
-                joined.select("a", F.col("m").alias("b"))
-            )
-        return made.where(F.col("a") != F.col("b")).distinct()
+            joined = edges.join(least.select(F.col("a").alias("b"), "m"), "b")
+            return joined.select("a", F.col("m").alias("b")).distinct().coalesce(parts)
+        joined = edges.join(least, "a").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        return joined.unionAll(least.select("a", F.col("m").alias("b"))).distinct().coalesce(parts)
 
     def mark(edges: DataFrame):
         return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
-    edges = materialise(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
+    edges = materialise(edges, "links")
     before = mark(edges)
     while before[0]:
-        edges = materialise(step(materialise(step(edges, True), "links"), False), "links")
+        parts = -(-before[0] // EDGES)
+        edges = materialise(step(materialise(step(edges, True, parts), "links"), False, parts), "links")
         now = mark(edges)
         if now == before:
             break
         before = now
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
-    return nodes.unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("label"))).distinct()
+    nodes = nodes.unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("label"))).distinct()
+    return nodes.coalesce(max(1, -(-before[0] // EDGES)))
 
 
 def classes(docs: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -360,8 +365,7 @@ def classes(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     )
     nearest = ends.groupBy("b").agg(F.max(F.struct("shared", "a", "size")).alias("best"))
     nearest = materialise(nearest.select("best.a", "b", "best.size"), "pairs")
-    links = materialise(verified(nearest, texts), "links")
-    labels = materialise(components(links), "labels")
+    labels = materialise(components(verified(nearest, texts)), "labels")
     apart = still_apart(ends.join(nearest, ["a", "b"], "left_anti").select("a", "b", "size"), labels)
     labels = joined_by(verified(apart, texts), labels)
     still_open = open_members(members, labels)  # components only grow: no other bucket opens later
@@ -387,13 +391,10 @@ def joined_by(links: DataFrame, labels: DataFrame) -> DataFrame:
     Only the components that a link joins are connected anew, each as one
     node: however many links there are between two of them, they make one edge.
     """
-    links = materialise(links.select("a", "b"), "links")
-    between = label_of(label_of(links, labels, "a", "_of_a"), labels, "b", "_of_b")
-    between = between.select(F.col("_of_a").alias("a"), F.col("_of_b").alias("b")).where("a != b").distinct()
-    between = materialise(between, "links")
-    if between.isEmpty():
+    between = label_of(label_of(links.select("a", "b"), labels, "a", "_of_a"), labels, "b", "_of_b")
+    roots = materialise(components(between.select(F.col("_of_a").alias("a"), F.col("_of_b").alias("b"))), "roots")
+    if roots.isEmpty():
         return labels
-    roots = materialise(components(between), "roots")
     known = label_of(labels.select("node", F.col("label").alias("_was")), roots, "_was", "label").select("node", "label")
     return materialise(known.unionAll(roots.join(labels, "node", "left_anti").select("node", "label")), "labels")
 
@@ -435,42 +436,54 @@ def windows(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     )
 
 
-def ranges(key: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each key once, with its first and last place: a text that repeats a window meets another one once by it."""
-    order = np.lexsort((at, key))
-    key, at = key[order], at[order].astype(np.int32)
+def ranges(parts: list[tuple[np.ndarray, np.ndarray, int]]) -> tuple[np.ndarray, ...]:
+    """Each key of some texts' windows (keys, first words, words of the text) once.
+
+    (key, first, last, low, high): its first and last place, and the least
+    and most words of a text that holds it.
+    """
+    key, at = (np.concatenate([part[i] for part in parts]) for i in (0, 1))
+    n_words = np.repeat([part[2] for part in parts], [len(part[0]) for part in parts])
+    order = np.argsort(key, kind="stable")
+    key, at, n_words = key[order], at[order].astype(np.int32), n_words[order].astype(np.int32)
     start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
-    end = np.concatenate([start[1:], [len(key)]])[: len(start)] - 1
-    return key[start], at[start], at[end]
+    if not len(start):
+        return key, at, at, n_words, n_words
+    ends = [fold.reduceat(x, start) for x in (at, n_words) for fold in (np.minimum, np.maximum)]
+    return (key[start], *ends)
 
 
-def tally(texts: DataFrame, slots: int, keys_of) -> np.ndarray:
-    """How many of the keys of all texts fall on each of ``slots`` counters (``MOST``: or more).
+def tally(rows: DataFrame, slots: int, layers: int, kind: type, add, fold) -> np.ndarray:
+    """``layers`` arrays of ``slots`` counters, filled by ``add(total, batch)`` in every task and joined by ``fold``.
 
     A counter that several keys share only makes a worse choice of windows.
     """
     size = min(slots, 1 << 16)
 
     def count(batches):
-        total = np.zeros(slots, np.int32)
+        total = np.zeros((layers, slots), np.int32 if kind is np.uint16 else kind)
         for batch in batches:
-            for keys in keys_of(batch):
-                np.add.at(total, keys & np.uint64(slots - 1), 1)
-        total = np.minimum(total, MOST).astype(np.uint16).reshape(-1, size)
-        for part in np.flatnonzero(total.any(axis=1)).tolist():
-            yield pa.record_batch(
-                [pa.array([part], pa.int32()), pa.array([zlib.compress(total[part].tobytes(), 1)])], names=["part", "held"]
-            )
+            add(total, batch)
+        total = np.minimum(total, np.iinfo(kind).max, out=total).reshape(layers, -1, size)
+        for part in np.flatnonzero(total.any(axis=(0, 2))).tolist():
+            held = zlib.compress(total[:, part].astype(kind).tobytes(), 1)
+            yield pa.record_batch([pa.array([part], pa.int32()), pa.array([held])], names=["part", "held"])
+
+    def join(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(layers * size, kind)
+        for held in rows["held"]:
+            total = fold(total, np.frombuffer(zlib.decompress(held), kind))
+        return pd.DataFrame({"part": [key[0]], "held": [zlib.compress(total.astype(kind).tobytes(), 1)]})
 
-    def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(zlib.decompress(held), np.uint16).astype(np.int64) for held in rows["held"])
-        held = np.minimum(total, MOST).astype(np.uint16).tobytes()
-        return pd.DataFrame({"part": [key[0]], "held": [zlib.compress(held, 1)]})
+    out = np.zeros((layers, slots // size, size), kind)
+    for row in rows.mapInArrow(count, "part int, held binary").groupBy("part").applyInPandas(join, "part int, held binary").collect():
+        out[:, row["part"]] = np.frombuffer(zlib.decompress(row["held"]), kind).reshape(layers, size)
+    return out.reshape(layers, slots)
 
-    out = np.zeros((slots // size, size), np.uint16)
-    for row in texts.mapInArrow(count, "part int, held binary").groupBy("part").applyInPandas(add, "part int, held binary").collect():
-        out[row["part"]] = np.frombuffer(zlib.decompress(row["held"]), np.uint16)
-    return out.reshape(-1)
+
+def length_class(n_words):
+    """A number below 255 that never falls as a text gets longer."""
+    return np.minimum(254, 20 * np.log(np.maximum(n_words, 1))).astype(np.uint8)
 
 
 def rarest(n_words: int, at: np.ndarray, length: np.ndarray, holders: np.ndarray) -> list[int]:
@@ -507,61 +520,154 @@ def rarest(n_words: int, at: np.ndarray, length: np.ndarray, holders: np.ndarray
     return [int(given[x]) for x in chosen if given[x] >= 0]
 
 
-def met_by_windows(nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different labels among ``nodes`` (node, n_words, label), without any that may link left out.
+def dealt_out(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``nodes`` (node, n_words, label) with the ``unit`` of their component, and (label, held, of): its nodes and units."""
+    sizes = nodes.groupBy("label").agg(F.count("*").alias("held"))
+    sizes = materialise(sizes.withColumn("of", F.ceil(F.col("held") / UNIT).cast("int")), "sizes")
+    unit = F.pmod(F.xxhash64("node"), F.col("of")).cast("int")
+    dealt = nodes.join(sizes, "label").select("node", "n_words", "label", unit.alias("unit"))
+    return materialise(dealt, "nodes"), sizes
+
+
+def units(batch: pa.RecordBatch) -> list[tuple[bytes, list[tuple[str, int]]]]:
+    """(label, texts with their numbers of words) of each run of rows of one unit."""
+    marks = list(zip(batch.column("label").to_pylist(), batch.column("unit").to_pylist()))
+    texts = list(zip(batch.column("text").to_pylist(), batch.column("n_words").to_pylist()))
+    starts = [i for i, mark in enumerate(marks) if not i or mark != marks[i - 1]]
+    return [(marks[i][0], texts[i:end]) for i, end in zip(starts, [*starts[1:], len(marks)])]
+
+
+def met_by_windows(held: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of components, a < b, of which any texts may link; none is left out.
 
     Each edit touches one at most of a text's disjoint windows.  So of
     ``allowed + 1`` disjoint windows of the longer of two texts that link, the
     shorter one holds one, shifted by ``allowed`` words at most.  Those that
-    hardly any other text holds are chosen; a window that no other text holds
-    needs no partner.
+    hardly any other unit holds are chosen; a window that no other unit holds
+    needs no partner.  A component has one row for a window, however many of
+    its texts hold it.
     """
-    spark = nodes.sparkSession
-    held = materialise(texts.join(nodes, "node"), "open-texts")
+    spark = held.sparkSession
     many = held.agg(F.sum("n_words")).first()[0] or 1
     slots = min(SLOTS, 1 << (4 * WINDOW * many).bit_length())
+    known = sizes.where("held > 1").orderBy(F.desc("held"), "label").limit(KNOWN).collect()
+    number = {bytes(row["label"]): i for i, row in enumerate(known, 1)}
+
+    def slot(key: np.ndarray) -> np.ndarray:
+        return (key & np.uint64(slots - 1)).astype(np.int64)
+
+    def count(total: np.ndarray, batch: pa.RecordBatch) -> None:
+        for _, texts in units(batch):
+            np.add.at(total[0], slot(np.unique(np.concatenate([windows(text)[0] for text, _ in texts]))), 1)
+
     counts = spark.sparkContext.broadcast(
-        tally(held.select("text"), slots, lambda batch: (np.unique(windows(text)[0]) for text in batch.column("text").to_pylist()))
+        tally(held.select("text", "n_words", "label", "unit"), slots, 1, np.uint16, count,
+              lambda x, y: np.minimum(x.astype(np.int64) + y, MOST))[0]
     )
 
-    def spread(of_text):
+    def spread(of_text) -> DataFrame:
         def run(batches):
             for batch in batches:
-                fixed = batch.select(["node", "n_words", "label"])
-                for i, text in enumerate(batch.column("text").to_pylist()):
-                    key, first, last = ranges(*of_text(text))
-                    row = fixed.slice(i, 1).take(pa.array(np.zeros(len(key), np.int32)))
+                for label, texts in units(batch):
+                    key, *bounds = ranges([(*of_text(text, n_words, label), n_words) for text, n_words in texts])
                     yield pa.RecordBatch.from_arrays(
-                        [*row.columns, pa.array(key.view(np.int64)), pa.array(first), pa.array(last)],
-                        names=[*row.schema.names, "key", "first", "last"],
+                        [pa.array([label] * len(key), pa.binary()), pa.array(key.view(np.int64)), *map(pa.array, bounds)],
+                        names=["label", "key", "first", "last", "low", "high"],
                     )
 
-        return held.mapInArrow(run, "node binary, n_words int, label binary, key long, first int, last int")
+        made = held.select("text", "n_words", "label", "unit").mapInArrow(
+            run, "label binary, key long, first int, last int, low int, high int"
+        )
+        ends = [fold(name).alias(name) for name, fold in (("first", F.min), ("last", F.max), ("low", F.min), ("high", F.max))]
+        return made.groupBy("key", "label").agg(*ends)
 
-    def rare(text: str):
+    def rare(text: str, n_words: int, label: bytes):
         key, at, length = windows(text)
-        holders = counts.value[key & np.uint64(slots - 1)].astype(np.int64)
+        holders = counts.value[slot(key)].astype(np.int64)
         more = np.flatnonzero(holders > 1)
         chosen = more[rarest(len(words_of(text)), at[more], length[more], holders[more])]
         return key[chosen], at[chosen]
 
     chosen = materialise(spread(rare), "chosen")
+
+    def choosers(total: np.ndarray, batch: pa.RecordBatch) -> None:
+        at = slot(batch.column("key").to_numpy().view(np.uint64))
+        label = np.array([number.get(x, 255) for x in batch.column("label").to_pylist()], np.uint8)
+        shortest, longest = (length_class(batch.column(name).to_numpy()) for name in ("low", "high"))
+        for layer, value in enumerate((longest + 1, 255 - shortest, label, np.where(label == 255, 255, 255 - label))):
+            np.maximum.at(total[layer], at, value.astype(np.uint8))
+
+    # by slot: length of the longest and shortest text that chose it, and the component if only one did that is known
     wanted = spark.sparkContext.broadcast(
-        tally(chosen.select("key"), slots, lambda batch: [batch.column("key").to_numpy().view(np.uint64)])
+        tally(chosen.select("key", "label", "low", "high"), slots, 4, np.uint8, choosers, np.maximum)
     )
 
-    def met(text: str):
+    def met(text: str, n_words: int, label: bytes):
         key, at, _ = windows(text)
-        known = wanted.value[key & np.uint64(slots - 1)] > 0
-        return key[known], at[known]
+        longest, shortest, one, other = wanted.value[:, slot(key)]
+        fits = (longest > length_class(n_words)) & (255 - shortest <= length_class(n_words / SIMILARITY + 2))
+        own = (one == number.get(label, 0)) & (other == 255 - one)
+        found = np.flatnonzero(fits & ~own)
+        return key[found], at[found]
 
-    ours = chosen.select("key", *[F.col(c).alias(f"_{c}") for c in ("node", "n_words", "label", "first", "last")])
-    longer = F.struct("_n_words", "_node") > F.struct("n_words", "node")
-    shift = F.floor((1 - SIMILARITY) * F.col("_n_words") + 1e-9)
+    ours = chosen.select("key", *[F.col(c).alias(f"_{c}") for c in ("label", "first", "last", "low", "high")])
+
+    def edits(n_words: Column) -> Column:
+        return F.floor((1 - SIMILARITY) * n_words + 1e-9)
+
+    shift = edits(F.col("_high"))
     near = (F.col("first") - F.col("_last") <= shift) & (F.col("_first") - F.col("last") <= shift)
-    fits = lengths_fit(F.col("_n_words"), F.col("n_words")) & (F.col("_label") != F.col("label"))
-    pairs = spread(met).join(ours, "key").where(longer & near & fits)
-    return pairs.select(F.col("_node").alias("a"), F.col("node").alias("b"))
+    fits = (F.col("low") <= F.col("_high")) & (F.col("_low") - F.col("high") <= edits(F.col("_low")))
+    pairs = spread(met).join(ours, "key").where(near & fits & (F.col("_label") != F.col("label")))
+    return pairs.select(F.least("_label", "label").alias("a"), F.greatest("_label", "label").alias("b")).distinct()
+
+
+def histogram(words: list[str]) -> np.ndarray:
+    return np.bincount((word_hashes(words) & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS).astype(np.int32)
+
+
+def linked_components(pairs: DataFrame, held: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Links (a, b) of nodes for the pairs (a, b) of components: one at least if any of their texts align.
+
+    Units meet units, not each text each other one: a unit of the larger
+    component is read once for about ``UNIT`` texts of the smaller ones.
+    """
+    for side in ("a", "b"):
+        pairs = pairs.join(sizes.select(F.col("label").alias(side), F.struct("held", "label", "of").alias(f"_{side}")), side)
+    pairs = materialise(pairs.select(F.greatest("_a", "_b").alias("a"), F.least("_a", "_b").alias("b")), "pairs")
+    total = pairs.groupBy(F.col("a.label").alias("label")).agg(F.ceil(F.sum("b.held") / UNIT).alias("parts"))
+    met = pairs.select(F.col("a.label").alias("label"), F.col("a.of").alias("of"), F.col("b.label").alias("other"), F.col("b.of").alias("other_of"))
+    met = met.join(total, "label").withColumn("unit", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
+    met = met.withColumn("other_unit", F.explode(F.sequence(F.lit(0), F.col("other_of") - 1)))
+    met = met.withColumn("part", F.pmod(F.xxhash64("other", "other_unit"), F.col("parts")))
+    met = materialise(met.select("label", "unit", "part", "other", "other_unit"), "met")
+    ours = held.select(*[F.col(c).alias(f"head_{c}") for c in ("label", "unit", "node", "text")])
+    heads = met.select(*[F.col(c).alias(f"head_{c}") for c in ("label", "unit", "part")]).distinct()
+    heads = heads.join(ours, ["head_label", "head_unit"])
+    rest = held.select(F.col("label").alias("other"), F.col("unit").alias("other_unit"), "node", "text")
+    members = met.join(rest, ["other", "other_unit"]).select("label", "unit", "part", "other", "node", "text")
+
+    def check(key, heads: pd.DataFrame, rest: pd.DataFrame) -> pd.DataFrame:
+        ours = [words_of(text) for text in heads["head_text"]]
+        bags, counts = [Counter(words) for words in ours], np.array([histogram(words) for words in ours])
+        lengths, found, done = np.array([len(words) for words in ours]), [], set()
+        for other, node, text in zip(rest["other"], rest["node"], rest["text"]) if len(ours) else ():
+            if other in done:
+                continue
+            words = words_of(text)
+            longer = np.maximum(lengths, len(words))
+            common = np.minimum(counts, histogram(words)).sum(axis=1)  # words of equal counters count as equal
+            near = longer - np.minimum(lengths, len(words)), longer - common
+            for i in np.flatnonzero(np.maximum(*near) <= np.floor((1 - SIMILARITY) * longer + 1e-9)).tolist():
+                if alike(ours[i], words, bags[i]):
+                    found.append((heads["head_node"].iloc[i], node))
+                    done.add(other)
+                    break
+        found = [(min(x), max(x)) for x in found]
+        return pd.DataFrame({"a": [x[0] for x in found], "b": [x[1] for x in found]})
+
+    by_unit = heads.groupBy("head_label", "head_unit", "head_part")
+    return by_unit.cogroup(members.groupBy("label", "unit", "part")).applyInPandas(check, "a binary, b binary")
 
 
 def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -591,20 +697,21 @@ def links_to_largest(rows: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def links_across(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
-    """All links (a, b) across components within the open buckets."""
+    """Links (a, b) across components within the open buckets: all of small buckets, one for two components of large ones."""
     rows = open_members(members, labels)
     small = rows.where(F.col("size") <= SMALL).drop("size")
     other = small.select("bucket", *[F.col(c).alias(f"_{c}") for c in ("node", "label", "n_words")])
     fits = lengths_fit(F.col("n_words"), F.col("_n_words"))
     pairs = small.join(other, "bucket").where((F.col("node") < F.col("_node")) & (F.col("label") != F.col("_label")) & fits)
-    pairs = pairs.select(F.col("node").alias("a"), F.col("_node").alias("b"))
+    pairs = materialise(pairs.select(F.col("node").alias("a"), F.col("_node").alias("b")).distinct(), "pairs")
+    links = verified(pairs.join(pairs.groupBy("a").agg(F.count("*").alias("size")), "a"), texts)
     large = materialise(rows.where(F.col("size") > SMALL).select("node", "n_words", "label").distinct(), "nodes")
-    if not large.isEmpty():
-        met = met_by_windows(large, texts)
-        pairs = pairs.unionAll(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-    pairs = materialise(pairs.distinct(), "pairs")
-    sizes = pairs.groupBy("a").agg(F.count("*").alias("size"))
-    return verified(pairs.join(sizes, "a"), texts)
+    if large.isEmpty():
+        return links
+    dealt, sizes = dealt_out(large)
+    held = texts.join(dealt, "node").repartition("label", "unit").sortWithinPartitions("label", "unit")
+    held = materialise(held, "open-texts")
+    return links.unionAll(linked_components(met_by_windows(held, sizes), held, sizes))
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -113,6 +113,36 @@ def test_two_large_components_of_a_bucket_meet_without_all_pairs(spark):
     assert O.links_across(members, labels, held).isEmpty()
 
 
+def test_a_large_component_meets_lone_texts_without_all_pairs(spark, monkeypatch):
+    # 150 near copies in one component; 20 texts too far from all of them, and three near one of them only
+    rnd = random.Random(13)
+    base = [f"w{i}" for i in range(100)]
+    texts = [edited(rnd, base, 6) for _ in range(150)]
+    texts += [edited(rnd, base, 32) for _ in range(20)] + [edited(rnd, texts[i], 16) for i in (7, 70, 140)]
+    nodes = [f"n{i:03}".encode() for i in range(len(texts))]
+    true = {n: nodes[0] if i < 150 else n for i, n in enumerate(nodes)}
+    linked = [(a, b) for (a, x), (b, y) in itertools.combinations(zip(nodes, texts), 2) if b > nodes[149] and O.alike(x, y)]
+    for a, b in linked:
+        low, high = sorted((true[a], true[b]))
+        true = {n: low if v == high else v for n, v in true.items()}
+    assert 3 <= len(linked) <= 150 and len(set(true.values())) > 10
+    members = spark.createDataFrame([(1, n, len(t), len(texts)) for n, t in zip(nodes, texts)], "bucket long, node binary, n_words int, size long")
+    labels = spark.createDataFrame([(n, nodes[0]) for n in nodes[:150]], "node binary, label binary")
+    held = spark.createDataFrame([(n, " ".join(t)) for n, t in zip(nodes, texts)], "node binary, text string")
+    made, materialise = {}, O.materialise
+
+    def counted(df, name):
+        out = materialise(df, name)
+        made[name] = max(made.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(O, "materialise", counted)
+    got = O.joined_by(O.links_across(members, labels, held), labels)
+    assert made["pairs"] <= 23 + 23 * 22 / 2
+    got = {bytes(r.node): bytes(r.label) for r in got.collect()}
+    assert {n: got.get(n, n) for n in nodes} == true
+
+
 def test_links_join_components_and_lone_nodes(spark):
     labels = spark.createDataFrame([(b"b", b"a"), (b"a", b"a"), (b"d", b"c"), (b"c", b"c"), (b"y", b"x"), (b"x", b"x")], "node binary, label binary")
     links = spark.createDataFrame([(b"d", b"e"), (b"b", b"d"), (b"b", b"c"), (b"x", b"y")], "a binary, b binary")
