@@ -481,6 +481,11 @@ def tally(rows: DataFrame, slots: int, layers: int, kind: type, add, fold) -> np
     return out.reshape(layers, slots)
 
 
+def slots_for(keys: int) -> int:
+    """Counters for so many keys: a power of two, ``SLOTS`` at most."""
+    return min(SLOTS, 1 << (4 * keys).bit_length())
+
+
 def length_class(n_words):
     """A number below 255 that never falls as a text gets longer."""
     return np.minimum(254, 20 * np.log(np.maximum(n_words, 1))).astype(np.uint8)
@@ -549,16 +554,16 @@ def met_by_windows(held: DataFrame, sizes: DataFrame) -> DataFrame:
     """
     spark = held.sparkSession
     many = held.agg(F.sum("n_words")).first()[0] or 1
-    slots = min(SLOTS, 1 << (4 * WINDOW * many).bit_length())
+    slots = slots_for(WINDOW * many)
     known = sizes.where("held > 1").orderBy(F.desc("held"), "label").limit(KNOWN).collect()
     number = {bytes(row["label"]): i for i, row in enumerate(known, 1)}
 
-    def slot(key: np.ndarray) -> np.ndarray:
-        return (key & np.uint64(slots - 1)).astype(np.int64)
+    def slot(key: np.ndarray, of: int) -> np.ndarray:
+        return (key & np.uint64(of - 1)).astype(np.int64)
 
     def count(total: np.ndarray, batch: pa.RecordBatch) -> None:
         for _, texts in units(batch):
-            np.add.at(total[0], slot(np.unique(np.concatenate([windows(text)[0] for text, _ in texts]))), 1)
+            np.add.at(total[0], slot(np.unique(np.concatenate([windows(text)[0] for text, _ in texts])), slots), 1)
 
     counts = spark.sparkContext.broadcast(
         tally(held.select("text", "n_words", "label", "unit"), slots, 1, np.uint16, count,
@@ -583,15 +588,17 @@ def met_by_windows(held: DataFrame, sizes: DataFrame) -> DataFrame:
 
     def rare(text: str, n_words: int, label: bytes):
         key, at, length = windows(text)
-        holders = counts.value[slot(key)].astype(np.int64)
+        holders = counts.value[slot(key, slots)].astype(np.int64)
         more = np.flatnonzero(holders > 1)
         chosen = more[rarest(len(words_of(text)), at[more], length[more], holders[more])]
         return key[chosen], at[chosen]
 
     chosen = materialise(spread(rare), "chosen")
+    counts.destroy()  # what it chose is written
+    wanted_slots = slots_for(chosen.count())
 
     def choosers(total: np.ndarray, batch: pa.RecordBatch) -> None:
-        at = slot(batch.column("key").to_numpy().view(np.uint64))
+        at = slot(batch.column("key").to_numpy().view(np.uint64), wanted_slots)
         label = np.array([number.get(x, 255) for x in batch.column("label").to_pylist()], np.uint8)
         shortest, longest = (length_class(batch.column(name).to_numpy()) for name in ("low", "high"))
         for layer, value in enumerate((longest + 1, 255 - shortest, label, np.where(label == 255, 255, 255 - label))):
@@ -599,12 +606,12 @@ def met_by_windows(held: DataFrame, sizes: DataFrame) -> DataFrame:
 
     # by slot: length of the longest and shortest text that chose it, and the component if only one did that is known
     wanted = spark.sparkContext.broadcast(
-        tally(chosen.select("key", "label", "low", "high"), slots, 4, np.uint8, choosers, np.maximum)
+        tally(chosen.select("key", "label", "low", "high"), wanted_slots, 4, np.uint8, choosers, np.maximum)
     )
 
     def met(text: str, n_words: int, label: bytes):
         key, at, _ = windows(text)
-        longest, shortest, one, other = wanted.value[:, slot(key)]
+        longest, shortest, one, other = wanted.value[:, slot(key, wanted_slots)]
         fits = (longest > length_class(n_words)) & (255 - shortest <= length_class(n_words / SIMILARITY + 2))
         own = (one == number.get(label, 0)) & (other == 255 - one)
         found = np.flatnonzero(fits & ~own)
