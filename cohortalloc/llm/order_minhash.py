@@ -595,7 +595,7 @@ def met_by_windows(held: DataFrame, sizes: DataFrame) -> DataFrame:
 
     chosen = materialise(spread(rare), "chosen")
     counts.destroy()  # what it chose is written
-    wanted_slots = slots_for(chosen.count())
+    wanted_slots = slots_for(WINDOW * chosen.count())
 
     def choosers(total: np.ndarray, batch: pa.RecordBatch) -> None:
         at = slot(batch.column("key").to_numpy().view(np.uint64), wanted_slots)
