@@ -46,7 +46,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cohortalloc.llm.common import materialise, ship_package, table
@@ -291,39 +291,44 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return by_head.cogroup(members.groupBy("a", "of", "unit")).applyInPandas(check, "a binary, b binary")
 
 
+def counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``df`` written and read back, and its number of rows: seen as they are written, not by a job of its own."""
+    seen = Observation()
+    return materialise(df.observe(seen, F.count(F.lit(1)).alias("n")), name), seen.get["n"]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) of every node of ``edges`` (a, b): the least node it is connected with.
 
-    Alternates two steps on written edge tables until nothing changes: every
-    node's larger neighbours, then its smaller ones, are linked to its least
-    neighbour.  The tables have a partition for every ``EDGES`` edges.
+    Alternates two steps on written edge tables: every node's larger
+    neighbours, then its smaller ones, are linked to its least neighbour.  The
+    first step also sees when all are: no node then has a smaller neighbour
+    and another one.  The tables have a partition for every ``EDGES`` edges.
     """
 
-    def step(edges: DataFrame, larger: bool, parts: int) -> DataFrame:
-        both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if larger else edges
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")).coalesce(parts)
-        if larger:
-            joined = edges.join(least.select(F.col("a").alias("b"), "m"), "b")
-            return joined.select("a", F.col("m").alias("b")).distinct().coalesce(parts)
+    def to_least(edges: DataFrame, parts: int, tangled: Observation) -> DataFrame:
+        both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        met = both.groupBy("a").agg(F.min("b").alias("least"), F.count("*").alias("n")).coalesce(parts)
+        met = met.observe(tangled, F.max((F.col("least") < F.col("a")) & (F.col("n") > 1)).alias("any"))
+        met = met.select(F.col("a").alias("b"), F.least("least", "a").alias("m"))
+        return edges.join(met, "b").select("a", F.col("m").alias("b")).distinct().coalesce(parts)
+
+    def smaller_to_least(edges: DataFrame, parts: int) -> DataFrame:
+        least = edges.groupBy("a").agg(F.min("b").alias("m")).coalesce(parts)
         joined = edges.join(least, "a").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         return joined.unionAll(least.select("a", F.col("m").alias("b"))).distinct().coalesce(parts)
 
-    def mark(edges: DataFrame):
-        return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
-    edges = materialise(edges, "links")
-    before = mark(edges)
-    while before[0]:
-        parts = -(-before[0] // EDGES)
-        edges = materialise(step(materialise(step(edges, True, parts), "links"), False, parts), "links")
-        now = mark(edges)
-        if now == before:
+    edges, n = counted(edges, "links")
+    while n:
+        parts, tangled = -(-n // EDGES), Observation()
+        stars = materialise(to_least(edges, parts, tangled), "links")
+        if not tangled.get["any"]:
             break
-        before = now
+        edges, n = counted(smaller_to_least(stars, parts), "links")
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
     nodes = nodes.unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("label"))).distinct()
-    return nodes.coalesce(max(1, -(-before[0] // EDGES)))
+    return nodes.coalesce(max(1, -(-n // EDGES)))
 
 
 def classes(docs: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -392,8 +397,8 @@ def joined_by(links: DataFrame, labels: DataFrame) -> DataFrame:
     node: however many links there are between two of them, they make one edge.
     """
     between = label_of(label_of(links.select("a", "b"), labels, "a", "_of_a"), labels, "b", "_of_b")
-    roots = materialise(components(between.select(F.col("_of_a").alias("a"), F.col("_of_b").alias("b"))), "roots")
-    if roots.isEmpty():
+    roots, found = counted(components(between.select(F.col("_of_a").alias("a"), F.col("_of_b").alias("b"))), "roots")
+    if not found:
         return labels
     known = label_of(labels.select("node", F.col("label").alias("_was")), roots, "_was", "label").select("node", "label")
     return materialise(known.unionAll(roots.join(labels, "node", "left_anti").select("node", "label")), "labels")
@@ -593,9 +598,9 @@ def met_by_windows(held: DataFrame, sizes: DataFrame) -> DataFrame:
         chosen = more[rarest(len(words_of(text)), at[more], length[more], holders[more])]
         return key[chosen], at[chosen]
 
-    chosen = materialise(spread(rare), "chosen")
+    chosen, runs = counted(spread(rare), "chosen")
     counts.destroy()  # what it chose is written
-    wanted_slots = slots_for(WINDOW * chosen.count())
+    wanted_slots = slots_for(WINDOW * runs)
 
     def choosers(total: np.ndarray, batch: pa.RecordBatch) -> None:
         at = slot(batch.column("key").to_numpy().view(np.uint64), wanted_slots)
@@ -712,8 +717,8 @@ def links_across(members: DataFrame, labels: DataFrame, texts: DataFrame) -> Dat
     pairs = small.join(other, "bucket").where((F.col("node") < F.col("_node")) & (F.col("label") != F.col("_label")) & fits)
     pairs = materialise(pairs.select(F.col("node").alias("a"), F.col("_node").alias("b")).distinct(), "pairs")
     links = verified(pairs.join(pairs.groupBy("a").agg(F.count("*").alias("size")), "a"), texts)
-    large = materialise(rows.where(F.col("size") > SMALL).select("node", "n_words", "label").distinct(), "nodes")
-    if large.isEmpty():
+    large, found = counted(rows.where(F.col("size") > SMALL).select("node", "n_words", "label").distinct(), "nodes")
+    if not found:
         return links
     dealt, sizes = dealt_out(large)
     held = texts.join(dealt, "node").repartition("label", "unit").sortWithinPartitions("label", "unit")

@@ -150,6 +150,39 @@ def test_links_join_components_and_lone_nodes(spark):
     assert got == [(bytes([c]), b"a") for c in b"abcde"] + [(b"x", b"x"), (b"y", b"x")]
 
 
+def test_components_need_no_jobs_beside_their_writes(spark, monkeypatch):
+    rnd = random.Random(11)
+    stars = [(5 * i, 5 * i + j) for i in range(40) for j in range(1, 5)]
+    chain = [(i, i + 1) for i in range(300, 340)]
+    mixed = [(rnd.randrange(400, 520), rnd.randrange(400, 520)) for _ in range(90)]
+    frame, node = type(spark.range(1)), lambda i: i.to_bytes(4, "big")
+    writes, write = [], O.materialise
+
+    def kept(df, name):
+        writes.append(name)
+        return write(df, name)
+
+    def refuse(*_):
+        raise AssertionError("a job of its own")
+
+    for edges, most in ((stars, 2), (chain, 99), (stars + chain + mixed * 2 + [(600, 600)], 99), ([], 1)):
+        label = {i: i for edge in edges for i in edge if edge[0] != edge[1]}
+        for _ in label:
+            for a, b in edges:
+                if a != b:
+                    label[a] = label[b] = min(label[a], label[b])
+        rows = spark.createDataFrame([(bytearray(node(b)), bytearray(node(a))) for a, b in edges], "a binary, b binary")
+        writes.clear()
+        with monkeypatch.context() as m:
+            m.setattr(O, "materialise", kept)
+            for action in ("first", "count", "isEmpty", "collect"):
+                m.setattr(frame, action, refuse)
+            found = O.components(rows)
+        assert len(writes) <= most
+        assert {(bytes(r.node), bytes(r.label)) for r in found.collect()} == {(node(i), node(x)) for i, x in label.items()}
+        assert found.count() == len(label)
+
+
 def test_the_rarest_disjoint_windows_are_chosen():
     rnd = random.Random(6)
     for _ in range(300):
