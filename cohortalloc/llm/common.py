@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import math
 import os
 import shutil
@@ -45,18 +46,39 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, row_group: int = 0) -> DataFrame:
     """Write ``df`` to shared storage and read it back: cuts lineage.
 
     The files survive the loss of any executor, and what stands behind them
-    is computed once however often the result is read.
+    is computed once however often the result is read.  ``row_group``: bytes
+    that a writer holds, and a reader loads, at once; for rows of megabytes,
+    of which Parquet otherwise holds 100 before it looks at their size.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    if row_group:
+        writer = writer.options(**{
+            "parquet.block.size": row_group, "parquet.block.size.row.check.min": 1, "parquet.block.size.row.check.max": 1,
+            "parquet.page.size.row.check.min": 1,
+        })
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def arrow_batches(spark: SparkSession, size: int):
+    """What runs inside moves to and from Python in batches of about ``size`` bytes at most."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before) if before[:1] != "-" else 0
+    spark.conf.set(key, str(min(now, size) if now > 0 else size))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def runs_of_texts(column, chars: int = 1 << 20):
     """The texts of an Arrow column (NULL: empty) in lists of about ``chars`` code points."""
     held, size = [], 0

@@ -36,6 +36,12 @@ blocks and shuffles one row per prefix and block.  Only a bitmap of
 ``FILTER_BITS`` bits and counts reach the driver.  Pair sums are made block of
 terms by block of terms, and tile of sources by tile of sources, over small
 matrices, so that no pair of sources becomes a row per term.
+
+Memory.  A worker holds one block of text and ``REMEMBERED`` answers at a time,
+whatever the size of the table; blocks are stored ``ROW_GROUP`` bytes at a time
+and travel in batches of ``BATCH`` bytes.  What the blocks of text have of a
+block of terms is added up as it arrives, so a worker holds no more than the
+sums and ``PENDING`` numbers.
 """
 
 from __future__ import annotations
@@ -43,23 +49,27 @@ from __future__ import annotations
 import itertools
 import zlib
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortalloc.llm.common import materialise, ship_package, table
+from cohortalloc.llm.common import arrow_batches, materialise, ship_package, table
 
 MIN_DOCS = 10
 TOP = 10
 FIRST = 8  # bytes of the first level's prefixes; shorter ones are hardly ever rare
 FILTER_BITS = 1 << 25
-CHARS = 1 << 23  # of text in a block
+CHARS = 1 << 22  # of text in a block
 TERMS = 1 << 12  # kept terms of a block of terms, about
 TILE = 512  # sources of a tile, about
 MATRIX = 1 << 21  # numbers in one matrix
-REMEMBERED = 1 << 17  # answers a worker keeps per language and filter
+REMEMBERED = 1 << 17  # answers a worker keeps per filter
+ROW_GROUP = 1 << 23  # bytes of blocks that are stored and loaded at once
+BATCH = 1 << 23  # bytes of an Arrow batch
+PENDING = 1 << 19  # numbers that wait until they are added up
 
 END = b"\0"  # no term holds it
 BITMAP = 1 << 15  # bits of one of Spark's bitmaps
@@ -89,6 +99,13 @@ def block_of(lang: str, sources: list[str], texts: list[str]) -> dict:
     }
 
 
+def _documents(batches):
+    for batch in batches:
+        for at in range(0, batch.num_rows, 128):  # not all of a batch as Python text at once
+            some = batch.slice(at, 128)
+            yield from zip(*(some.column(c).to_pylist() for c in ("lang", "source", "text")))
+
+
 def blocks(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
     """The documents as blocks of term numbers, one language a block."""
 
@@ -102,14 +119,13 @@ def blocks(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
             sizes.pop(of)
             return pa.RecordBatch.from_pylist([block_of(of, *held.pop(of))], schema)
 
-        for batch in batches:
-            for of, at, whole in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text"))):
-                sources, texts = held.setdefault(of, ([], []))
-                sources.append(at)
-                texts.append(whole)
-                sizes[of] = sizes.get(of, 0) + len(whole) + 1
-                if sizes[of] >= CHARS or sum(sizes.values()) >= 2 * CHARS:
-                    yield made(max(sizes, key=sizes.get))
+        for of, at, whole in _documents(batches):
+            sources, texts = held.setdefault(of, ([], []))
+            sources.append(at)
+            texts.append(whole)
+            sizes[of] = sizes.get(of, 0) + len(whole) + 1
+            if sizes[of] >= CHARS or sum(sizes.values()) >= 2 * CHARS:
+                yield made(max(sizes, key=sizes.get))
         for of in list(held):
             yield made(of)
 
@@ -123,19 +139,23 @@ class Filter:
     def __init__(self, bitmaps: dict[int, bytes], bits: int):
         self.bitmaps, self.bits = bitmaps, bits
         self.known: dict[str, dict[bytes, bool]] = {}
+        self.room = REMEMBERED
 
     def among(self, lang: str, prefixes: list[bytes]) -> list[bool]:
         """For each prefix of the language whether its bit is set; answers are remembered."""
+        if self.room <= 0:
+            self.known, self.room = {}, REMEMBERED
         known = self.known.setdefault(lang, {})
-        if len(known) > REMEMBERED:
-            known.clear()
         start, out = zlib.crc32(lang.encode() + END), []
         for prefix in prefixes:
             held = known.get(prefix)
             if held is None:
                 part, at = divmod(zlib.crc32(prefix, start) % self.bits, BITMAP)
                 bitmap = self.bitmaps.get(part)
-                held = known[prefix] = bitmap is not None and bool(bitmap[at >> 3] >> (at & 7) & 1)
+                held = bitmap is not None and bool(bitmap[at >> 3] >> (at & 7) & 1)
+                if self.room > 0:
+                    known[prefix] = held
+                    self.room -= 1
             out.append(held)
         return out
 
@@ -169,13 +189,19 @@ def _terms(row: dict) -> list[bytes]:
     return row["terms"].split(END) if row["terms"] else []
 
 
+def _rows(batch: pa.RecordBatch):
+    """The rows of a batch, one at a time: they may be large."""
+    for at in range(batch.num_rows):
+        yield batch.slice(at, 1).to_pylist()[0]
+
+
 def counted(held: DataFrame, length: int, before: Filter | None) -> DataFrame:
     """(lang, prefix, docs): documents that hold each prefix of the level."""
     shared = held.sparkSession.sparkContext.broadcast(before)
 
     def count(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 lang, terms, ids = row["lang"], _terms(row), {}
                 at = np.array([
                     ids.setdefault(prefix_of(t, length), len(ids)) if ok else -1
@@ -215,7 +241,7 @@ def cells(held: DataFrame, kept: DataFrame, n_blocks: int, n_tiles: int) -> Data
     """(lang, block, tile, source, term, n): occurrences of every kept term in every group that has it.
 
     What a block of text has of a block of terms and a tile of sources travels
-    as one row of numbers.
+    as one row of numbers, which are added up in the order they arrive.
     """
     shared = held.sparkSession.sparkContext.broadcast(filter_of(kept))
     kinds = {"sources": pa.list_(pa.string()), "terms": pa.binary(), "source": pa.binary(), "term": pa.binary(), "n": pa.binary()}
@@ -223,7 +249,7 @@ def cells(held: DataFrame, kept: DataFrame, n_blocks: int, n_tiles: int) -> Data
 
     def count(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 terms, rows = _terms(row), []
                 kept_here = np.array(shared.value.among(row["lang"], [t + END for t in terms]), bool)
                 doc, of_doc, term, n = _numbers(row, "doc", "doc_source", "term", "n")
@@ -239,49 +265,64 @@ def cells(held: DataFrame, kept: DataFrame, n_blocks: int, n_tiles: int) -> Data
                 order = np.argsort(key, kind="stable")
                 for some in np.split(order, np.flatnonzero(np.diff(key[order])) + 1):
                     names, of = np.unique(term[some], return_inverse=True)
+                    groups, of_group = np.unique(source[some], return_inverse=True)
                     rows.append({
                         "lang": row["lang"], "block": int(key[some[0]] // n_tiles), "tile": int(key[some[0]] % n_tiles),
-                        "sources": row["sources"], "terms": END.join([terms[i] for i in names]),
-                        "source": source[some].astype(np.int32).tobytes(), "term": of.astype(np.int32).tobytes(),
-                        "n": total[some].astype(np.int64).tobytes(),
+                        "sources": [row["sources"][i] for i in groups], "terms": END.join([terms[i] for i in names]),
+                        "source": of_group.astype(np.int32).tobytes(), "term": of.astype(np.int32).tobytes(),
+                        "n": total[some].astype(np.int32).tobytes(),
                     })
                 schema = [("lang", pa.string()), ("block", pa.int32()), ("tile", pa.int32()), *kinds.items()]
                 yield pa.RecordBatch.from_pylist(rows, pa.schema(schema))
 
-    def add_up(pieces: pa.Table, known: pa.Table) -> pa.Table:
-        kept_terms = {t[:-1] for t in known["prefix"].to_pylist()}  # the filter also lets others through
+    def add_up(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_terms: set[bytes] = set()  # the filter also lets others through
         terms: defaultdict[bytes, int] = defaultdict(itertools.count().__next__)
         sources: defaultdict[str, int] = defaultdict(itertools.count().__next__)
+        pair, total = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        pairs, n, waiting = [], [], 0
+
+        def added():
+            summed, at = np.unique(np.concatenate([pair, *pairs]), return_inverse=True)
+            more = np.zeros(len(summed), np.int64)
+            np.add.at(more, at, np.concatenate([total, *n]))
+            return summed, more
+
+        for batch in batches:
+            for row in _rows(batch):
+                if row["kept"] is not None:
+                    kept_terms.update(t[:-1] for t in row["kept"])
+                    continue
+                of_term = np.fromiter(map(terms.__getitem__, _terms(row)), np.int64)
+                of_source = np.fromiter(map(sources.__getitem__, row["sources"]), np.int64)
+                source, term, some = _numbers(row, "source", "term", "n")
+                pairs.append(of_source[source] << 32 | of_term[term])
+                n.append(some)
+                waiting += len(some)
+                if waiting >= max(PENDING, len(pair)):
+                    pair, total = added()
+                    pairs, n, waiting = [], [], 0
+        pair, total = added()
         pairs, n = [], []
-        for row in pieces.to_pylist():
-            of_term = np.fromiter(map(terms.__getitem__, _terms(row)), np.int64)
-            of_source = np.fromiter(map(sources.__getitem__, row["sources"]), np.int64)
-            source, term = _numbers(row, "source", "term")
-            pairs.append(of_source[source] << 32 | of_term[term])
-            n.append(np.frombuffer(row["n"], np.int64))
-        if pairs:
-            pair, at = np.unique(np.concatenate(pairs), return_inverse=True)
-            total = np.zeros(len(pair), np.int64)
-            np.add.at(total, at, np.concatenate(n))
-            true = np.array([t in kept_terms for t in terms], bool)[pair & 0xFFFFFFFF]
-            pair, total = pair[true], total[true]
-        else:
-            pair, total = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        first = pieces if pieces.num_rows else known
-        same = lambda c, kind: pa.array([first[c][0].as_py()] * len(pair), kind)
-        return pa.table({
-            "lang": same("lang", pa.string()), "block": same("block", pa.int32()), "tile": same("tile", pa.int32()),
-            "source": pa.array(list(sources), pa.string()).take(pa.array(pair >> 32)),
-            "term": pa.array(list(terms), pa.binary()).cast(pa.string()).take(pa.array(pair & 0xFFFFFFFF)),
-            "n": pa.array(total, pa.int64()),
-        })
+        true = np.array([t in kept_terms for t in terms], bool)[pair & 0xFFFFFFFF] if terms else np.zeros(0, bool)
+        pair, total = pair[true], total[true]
+        names = pa.array(list(sources), pa.string())
+        items = pa.array(list(terms), pa.binary()).cast(pa.string())
+        same = lambda value, size, kind: pa.array([value.as_py()] * size, kind)
+        for at in range(0, len(pair), PENDING):
+            some, sums = pair[at : at + PENDING], total[at : at + PENDING]
+            lang, block, tile = (same(v, len(some), kind) for v, kind in zip(key, (pa.string(), pa.int32(), pa.int32())))
+            yield pa.record_batch({
+                "lang": lang, "block": block, "tile": tile, "source": names.take(pa.array(some >> 32)),
+                "term": items.take(pa.array(some & 0xFFFFFFFF)), "n": pa.array(sums, pa.int64()),
+            })
 
     schema = "lang string, block int, tile int, sources array<string>, terms binary, source binary, term binary, n binary"
     pieces = held.mapInArrow(count, schema)
     bare = F.substring("prefix", 1, F.octet_length("prefix") - 1)
-    known = kept.select("lang", (F.crc32(bare) % n_blocks).cast("int").alias("block"), "prefix")
+    known = kept.groupBy("lang", (F.crc32(bare) % n_blocks).cast("int").alias("block")).agg(F.collect_list("prefix").alias("kept"))
     known = known.withColumn("tile", F.explode(F.sequence(F.lit(0), F.lit(n_tiles - 1))))
-    met = pieces.groupBy(*keys).cogroup(known.groupBy(*keys))
+    met = pieces.unionByName(known, allowMissingColumns=True).groupBy(*keys)
     return met.applyInArrow(add_up, "lang string, block int, tile int, source string, term string, n long")
 
 
@@ -357,13 +398,15 @@ def audit(
 ) -> DataFrame:
     """(lang, source, part, item, value, rank); see the module."""
     ship_package(docs.sparkSession)
-    held = materialise(blocks(docs, text, lang, source), "term-blocks")
-    kept = kept_terms(held, min_docs)
+    with arrow_batches(docs.sparkSession, BATCH):
+        held = materialise(blocks(docs, text, lang, source), "term-blocks", ROW_GROUP)
+        kept = kept_terms(held, min_docs)
     kinds = kept.groupBy("lang").agg(F.count("*").alias("kinds"))
     groups = held.select("lang", F.explode("sources").alias("source")).distinct()
     most = groups.groupBy("lang").count().agg(F.max("count")).first()[0] or 1
     n_tiles, n_blocks = -(-most // TILE), max(1, -(-kept.count() // TERMS))
-    found = materialise(cells(held, kept, n_blocks, n_tiles), "term-cells")
+    with arrow_batches(docs.sparkSession, BATCH):
+        found = materialise(cells(held, kept, n_blocks, n_tiles), "term-cells")
     used = found.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = groups.join(used, ["lang", "source"], "left").join(kinds, ["lang"], "left").na.fill(0, ["total", "kinds"])
     none = F.when(F.col("kinds") > 0, share(F.lit(0), F.col("total"), F.col("kinds"))).otherwise(F.lit(1))

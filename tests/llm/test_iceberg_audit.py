@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,6 +77,28 @@ def test_small_blocks_tiles_and_a_crowded_filter(spark, texts, monkeypatch):
     assert rows_of(ia.audit(frame(spark, texts))) == brute(texts)
 
 
+def test_counts_are_added_up_as_they_arrive(spark, texts, monkeypatch):
+    monkeypatch.setattr(ia, "CHARS", 300)  # many blocks of text
+    monkeypatch.setattr(ia, "PENDING", 2)
+    monkeypatch.setattr(ia, "TERMS", 3)
+    assert rows_of(ia.audit(frame(spark, texts))) == brute(texts)
+    held = ia.materialise(ia.blocks(frame(spark, texts), "text", "lang", "source"), "test-many")
+    plan = ia.cells(held, ia.kept_terms(held), 2, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInArrow" in plan and "CoGroup" not in plan  # no group is one table
+
+
+def test_remembered_answers_and_stored_rows_are_bounded(spark, texts, monkeypatch):
+    monkeypatch.setattr(ia, "REMEMBERED", 10)
+    known = ia.Filter({0: b"\xff" * 4096}, ia.BITMAP)
+    for lang in ("en", "fr", "de"):
+        assert known.among(lang, [b"%d" % i for i in range(100)]) == [True] * 100
+        assert sum(map(len, known.known.values())) <= 10
+    monkeypatch.setattr(ia, "CHARS", 300)
+    held = ia.materialise(ia.blocks(frame(spark, texts).coalesce(1), "text", "lang", "source"), "test-groups", row_group=1)
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in held.inputFiles()]
+    assert sum(f.num_rows for f in files) > 10 and all(f.num_row_groups == f.num_rows for f in files)
+
+
 def test_levels_keep_exactly_the_frequent_prefixes(spark, texts):
     held = ia.materialise(ia.blocks(frame(spark, texts), "text", "lang", "source"), "test-blocks")
     before = None
