@@ -21,7 +21,7 @@ from cohortalloc.plans.refresh import read_hours, refresh_hours, store_hours
 from cohortalloc.session import configured_checkpoint_dir
 from cohortalloc.sinks.buckets import store_match_facts
 from cohortalloc.sinks.publish import publish, read_published
-from cohortalloc.sinks.writers import append_table, create_table, overwrite_table, write_csv, write_parquet
+from cohortalloc.sinks.writers import append_table, create_table, overwrite_table, store, write_csv, write_parquet
 from cohortalloc.sources import schemas
 from cohortalloc.sources.fixtures import fixture_sources
 from cohortalloc.sources.readers import clean_text, cleaning_report, read_csv
@@ -49,6 +49,8 @@ def published(df: DataFrame) -> DataFrame:
 
 #: What a course query needs for its rows and for their rates, each computed once and stored.
 COURSE_STEPS = ("matched", "year_type_hours", "allocated_rates")
+#: The two sides of the match join, stored one after the other: the shuffles behind a side go before the next one's come.
+MATCH_SIDES = ("passed", "eligible")
 
 
 def _kept(spark: SparkSession, sf_dir: str, query: str, frames: tuple[str, ...], **options) -> Allocation:
@@ -216,9 +218,13 @@ def _degree_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _refreshed_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rates from kept hours of which two years were computed again."""
-    alloc = allocation(spark, sf_dir)
+    alloc = _kept(spark, sf_dir, "refreshed_rates", MATCH_SIDES)
     path = _shared_path(spark, "hours", sf_dir)
-    matched, matrix = alloc.matched, alloc.src.year_matrix
+    # matched once; the hours, of all years and of the changed ones, read what they need of it
+    matched = alloc.matched.select(
+        "class_crse_id", "newid", "class_course", "credit_hours", "time_academic_yr", "calendar_year"
+    )
+    matched, matrix = store(matched, _shared_path(spark, "refreshed_rates_matched", sf_dir)), alloc.src.year_matrix
     changed = [2018, 2019]
     # the state before the change: part of two years' registrations was not there yet
     late = F.col("time_academic_yr").isin(changed) & (F.col("class_crse_id").cast("long") % 3 == 0)

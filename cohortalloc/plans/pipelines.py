@@ -20,7 +20,7 @@ from cohortalloc.functions.expressions import exact_sum
 from cohortalloc.operators import audit, cohorts, degrees, doctoral, payouts, registration
 from cohortalloc.operators.payouts import COURSE_AMOUNTS, DOCTORAL_RATES, PAYOUT_YEARS
 from cohortalloc.session import configured_checkpoint_dir
-from cohortalloc.sinks.writers import delete_folder
+from cohortalloc.sinks.writers import delete_folder, store
 from cohortalloc.sources.lookups import cohort_years
 from cohortalloc.sources.readers import SourceTables
 
@@ -398,9 +398,7 @@ class Allocation:
 
     def keep_at(self, name: str, path: str) -> None:
         """Write the named frame to a folder, which is replaced, and read it back in place of the frame."""
-        frame = getattr(self, name)
-        frame.write.mode("overwrite").parquet(path)
-        self.__dict__[name] = frame.sparkSession.read.schema(frame.schema).parquet(path)
+        self.__dict__[name] = store(getattr(self, name), path)
 
     def keep_shared(self) -> None:
         """Keep the match join, which all course outputs and audits filter."""

@@ -15,6 +15,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortalloc.session import shuffles_removed
+
 
 def _replace_folder(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
     """Write a new folder beside ``path``, then take its name; the old one goes last."""
@@ -45,6 +47,14 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def store(df: DataFrame, path: str) -> DataFrame:
+    """Write a frame to a folder, which is replaced, and read it back: what stands behind it runs once,
+    and its shuffle files are gone before the next step writes its own."""
+    with shuffles_removed(df.sparkSession):
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Header CSV with NULL written as an empty field (a directory of parts).
 

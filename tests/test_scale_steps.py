@@ -4,9 +4,10 @@ import pytest
 
 from cohortalloc import session
 from cohortalloc.operators.audit import model_id_discrepancy_rows
-from cohortalloc.plans import refresh
+from cohortalloc.plans import catalog, refresh
 from cohortalloc.plans.catalog import QUERIES
 from cohortalloc.sinks.buckets import store_match_facts
+from cohortalloc.sinks.writers import store
 from cohortalloc.sources.fixtures import fixture_sources
 from cohortalloc.sources.lookups import read_year_matrix
 
@@ -90,3 +91,33 @@ def test_course_rows_and_rates_share_one_stored_match(spark, name):
     read = QUERIES[name](spark, SF).inputFiles()
     assert not [x for x in read if "lineitem.parquet" in x]
     assert [x for x in read if "_matched_" in x] and [x for x in read if "_allocated_rates_" in x]
+
+
+def shuffle_files(spark) -> int:
+    return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").count("/shuffle_")
+
+
+def test_a_stored_step_leaves_no_shuffle_files(spark, tmp_path):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count().write.parquet(str(tmp_path / "plain"))
+    assert shuffle_files(spark) > 0
+    kept = shuffle_files(spark)
+    held = store(spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count(), str(tmp_path / "held"))
+    assert shuffle_files(spark) <= kept
+    assert sorted(r["count"] for r in held.collect()) == [142] + [143] * 6
+    assert spark.conf.get(setting) == before
+
+
+def test_refreshed_rates_read_one_stored_match(spark, monkeypatch):
+    read = {}
+    for name in ("store_hours", "refresh_hours"):
+        def seen(matched, *args, name=name, run=getattr(catalog, name)):
+            read[name] = matched.inputFiles()
+            return run(matched, *args)
+
+        monkeypatch.setattr(catalog, name, seen)
+    QUERIES["refreshed_rates"](spark, SF)
+    assert set(read) == {"store_hours", "refresh_hours"}
+    for files in read.values():
+        assert files and all("refreshed_rates_matched_" in x for x in files)
