@@ -4,6 +4,7 @@ import pytest
 
 from cohortalloc import session
 from cohortalloc.operators.audit import model_id_discrepancy_rows
+from cohortalloc.operators.registration import REGISTRATION_COLUMNS, distinct_merged_rows, match_outcomes, merged_rows
 from cohortalloc.plans import catalog, refresh
 from cohortalloc.plans.catalog import QUERIES
 from cohortalloc.sinks.buckets import store_match_facts
@@ -121,3 +122,26 @@ def test_refreshed_rates_read_one_stored_match(spark, monkeypatch):
     assert set(read) == {"store_hours", "refresh_hours"}
     for files in read.values():
         assert files and all("refreshed_rates_matched_" in x for x in files)
+
+
+def test_discrepancy_rows_read_one_stored_join(spark):
+    read = QUERIES["model_id_discrepancy_rows"](spark, SF).inputFiles()
+    assert not [x for x in read if "lineitem.parquet" in x] and [x for x in read if "_merged_distinct_" in x]
+
+
+def test_distinct_merged_rows_are_the_distinct_of_the_merged_rows(spark):
+    keys = [(20201, "00001", "P1", "a"), (20201, "00001", "P1", "b"), (20201, "00002", "P2", "a"), (20202, None, "P3", "a"), (None, None, None, None)]
+    passed = spark.createDataFrame(keys, "time_strm int, new_class_number string, campus_id string, class_title_ld string")
+    passed = passed.selectExpr("*", *[f"CAST(NULL AS STRING) AS {c}" for c in REGISTRATION_COLUMNS if c not in passed.columns]).select(*REGISTRATION_COLUMNS)
+    enrolled = [
+        (20201, "00001", "P1", "20201F", 2020, "DOC11", 1), (20201, "00001", "P1", "20201F", 2020, "DOC11", 1),
+        (20201, "00001", "P1", "20201F", 2021, "Doc11", 1), (20201, "00001", "P1", "20201F", 2020, None, None),
+        (20201, "00001", "P1", "20201F", None, None, None), (20202, None, "P3", "20202F", 2020, "MED11", 1), (None, None, None, None, None, None, None),
+    ]
+    kind = "strm int, class_nbr string, student_pid string, term_code string, calendar_year int, newid string, completed_flag int"
+    eligible = spark.createDataFrame(enrolled, kind).selectExpr("*", "1 AS subsidy_eligible_code", "CAST(NULL AS STRING) AS crse_grade_off")
+    merged = merged_rows(match_outcomes(passed, eligible))
+    got = distinct_merged_rows(passed, eligible)
+    assert got.dtypes == merged.dtypes and merged.count() == 13
+    assert sorted(map(str, got.collect())) == sorted(map(str, merged.distinct().collect())) and got.count() == 7
+    assert "Aggregate" not in plan(got).split("Join")[0]
