@@ -316,7 +316,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "course_payouts": _stage("course_payouts", (COURSE_AMOUNT_COLS[:3], RATE_DIGITS), kept=COURSE_STEPS),
     "course_completeness": _stage("course_completeness", (COURSE_AMOUNT_COLS[:3], RATE_DIGITS), kept=COURSE_STEPS),
     "course_completeness_recoded": _recoded_course_completeness,
-    "course_subsidy": _stage("course_subsidy", (COURSE_AMOUNT_COLS, RATE_DIGITS)),
+    # rows and rates share the shuffle of the DISTINCT, so its rows are stored as they come into it
+    "course_subsidy": _stage("course_subsidy", (COURSE_AMOUNT_COLS, RATE_DIGITS), kept=("passing", "eligible")),
     "course_reconciliation": _stage("course_reconciliation", (["total_amount"], MONEY_DIGITS), kept=COURSE_STEPS),
     "doctoral_basis": _stage("doctoral_basis"),
     "doctoral_totals": _stage("doctoral_totals", order_by=["ssi_payout_y1"]),

@@ -129,6 +129,12 @@ def test_discrepancy_rows_read_one_stored_join(spark):
     assert not [x for x in read if "lineitem.parquet" in x] and [x for x in read if "_merged_distinct_" in x]
 
 
+def test_course_subsidy_reads_stored_sides(spark):
+    read = QUERIES["course_subsidy"](spark, SF).inputFiles()
+    assert not [x for x in read if "lineitem.parquet" in x]
+    assert [x for x in read if "_passing_" in x] and [x for x in read if "_eligible_" in x]
+
+
 def test_distinct_merged_rows_are_the_distinct_of_the_merged_rows(spark):
     keys = [(20201, "00001", "P1", "a"), (20201, "00001", "P1", "b"), (20201, "00002", "P2", "a"), (20202, None, "P3", "a"), (None, None, None, None)]
     passed = spark.createDataFrame(keys, "time_strm int, new_class_number string, campus_id string, class_title_ld string")
