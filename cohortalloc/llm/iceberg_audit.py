@@ -208,9 +208,12 @@ def counted(held: DataFrame, length: int, before: Filter | None) -> DataFrame:
                     for t, ok in zip(terms, alive(lang, terms, length, shared.value))], np.int64)
                 if ids:
                     doc, term = _numbers(row, "doc", "term")
+                    # a document holds a complete term once; only longer ones can share a prefix there
+                    long = np.array([len(t) > length for t in terms])[term]
                     used = at[term] >= 0
-                    pairs = np.unique(doc[used] * len(ids) + at[term[used]])
-                    docs = np.bincount(pairs % len(ids), minlength=len(ids))
+                    docs = np.bincount(at[term[used & ~long]], minlength=len(ids))
+                    pairs = np.unique(doc[used & long] * len(ids) + at[term[used & long]])
+                    docs += np.bincount(pairs % len(ids), minlength=len(ids))
                     yield pa.record_batch(
                         [pa.array([lang] * len(ids), pa.string()), pa.array(list(ids), pa.binary()), pa.array(docs, pa.int64())],
                         names=["lang", "prefix", "docs"])
